@@ -76,7 +76,7 @@ def decode_entities(c: Column) -> Column:
 def join_lines(c: Column) -> Column:
     """Blank runs to one blank per line, empty lines dropped, lines joined by an empty line."""
     lines = F.transform(
-        F.split(c, r"\n"), lambda line: F.trim(F.regexp_replace(line, r"[\s ]+", " "))
+        F.split(c, r"\n"), lambda line: F.trim(F.regexp_replace(line, r"[\s\u00a0]+", " "))
     )
     return F.array_join(F.filter(lines, lambda line: line != ""), "\n\n")
 

@@ -57,11 +57,13 @@ def valid_at_join(
     order: str,
     payload: Sequence[str],
     keys: Sequence[str] = (),
+    lookup: DataFrame | None = None,
 ) -> DataFrame:
     """Left join each fact to the first period, by ``order``, with start < date < end.
 
-    Both bounds are strict and a NULL end is open. ``order`` is a unique whole number of
-    ``periods``; ``keys`` are equal on both sides.
+    Both bounds are strict and a NULL end is open. ``order`` is a whole number, unique in
+    ``periods`` (or in ``lookup``, which then holds the payload); ``keys`` are equal on both
+    sides.
 
     The join is by equality only. A period is cut into aligned blocks of days; per (keys,
     block) only the smallest ``order`` is kept, so any number of overlapping periods leaves
@@ -94,8 +96,9 @@ def valid_at_join(
         .groupBy(*keys, "__date")
         .agg(F.min("__first").alias("__order"))
     )
+    source = periods if lookup is None else lookup
     chosen = found.join(
-        periods.select(F.col(order).alias("__order"), *[F.col(c).alias(f"__p_{c}") for c in payload]),
+        source.select(F.col(order).alias("__order"), *[F.col(c).alias(f"__p_{c}") for c in payload]),
         "__order",
     ).drop("__order")
     joined = rows.join(chosen, [*keys, "__date"], "left")
@@ -144,8 +147,6 @@ def resolve_speaker(
     """
     table = members.select(
         "seq",
-        "vardas",
-        "pavarde",
         "nuo",
         "iki",
         F.upper("pavarde").alias("__surname"),
@@ -155,7 +156,7 @@ def resolve_speaker(
         "__variant", speaker_key(F.col(speaker))
     )
     found = valid_at_join(
-        rows, table, date, "nuo", "iki", "seq", ["vardas", "pavarde"], ["__surname", "__variant"]
+        rows, table, date, "nuo", "iki", "seq", ["vardas", "pavarde"], ["__surname", "__variant"], members
     )
     return found.select(
         *speeches.columns,

@@ -33,7 +33,7 @@ def extract_links(pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         "src_url",
         "pos",
         H.decode_entities(href).alias("href"),
-        F.trim(F.regexp_replace(text, r"[\s ]+", " ")).alias("anchor_text"),
+        F.trim(F.regexp_replace(text, r"[\s\u00a0]+", " ")).alias("anchor_text"),
     )
 
 

@@ -184,10 +184,9 @@ def zip_pairs(labels: Column, values: Column) -> Column:
 def last_wins_map(pairs: Column) -> Column:
     """Array of (k, v) to a map without NULL keys; the last of repeated keys wins."""
     # Map building is strict about repeated keys, so earlier repeats go first.
+    pairs = F.filter(pairs, lambda p: p["k"].isNotNull())
     keys = F.transform(pairs, lambda p: p["k"])
     kept = F.filter(
-        pairs,
-        lambda p, i: p["k"].isNotNull()
-        & ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), F.coalesce(p["k"], F.lit(""))),
+        pairs, lambda p, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), p["k"])
     )
     return F.map_from_entries(kept)

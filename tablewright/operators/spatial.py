@@ -21,18 +21,14 @@ def contains_join(points: DataFrame, polygons: DataFrame) -> DataFrame:
     laid on the grid whose cell is just larger than its box, so it covers at most four cells
     whatever its size; a point probes one cell on each grid in use.
     """
+    xs, ys = F.transform("edges", lambda e: e["x1"]), F.transform("edges", lambda e: e["y1"])
     box = polygons.select(
         "polygon_id",
         "edges",
-        *[
-            agg(F.transform("edges", lambda e, f=f: e[f])).alias(name)
-            for f, agg, name in (
-                ("x1", F.array_min, "x_lo"),
-                ("x1", F.array_max, "x_hi"),
-                ("y1", F.array_min, "y_lo"),
-                ("y1", F.array_max, "y_hi"),
-            )
-        ],
+        F.array_min(xs).alias("x_lo"),
+        F.array_max(xs).alias("x_hi"),
+        F.array_min(ys).alias("y_lo"),
+        F.array_max(ys).alias("y_hi"),
     )
     extent = F.greatest(F.col("x_hi") - F.col("x_lo"), F.col("y_hi") - F.col("y_lo"), F.lit(1e-9))
     box = box.withColumn("grid", F.ceil(F.log2(extent)).cast("int"))
