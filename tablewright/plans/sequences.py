@@ -162,7 +162,7 @@ def transcript_turns(t: Tables):
 
 
 INTERVALS_SQL = """
-    l AS (SELECT l_suppkey, date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE)) AS lo FROM lineitem),
+    l AS (SELECT DISTINCT l_suppkey, date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE)) AS lo FROM lineitem),
     s AS (SELECT l_suppkey, lo, lo + 3 AS hi,
                  max(lo + 3) OVER (PARTITION BY l_suppkey ORDER BY lo ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM l),
     i AS (SELECT *, sum((reach IS NULL OR lo > reach)::INTEGER) OVER (PARTITION BY l_suppkey ORDER BY lo
@@ -232,7 +232,7 @@ def latest_forecast(t: Tables):
 @query(
     "A10",
     """
-    SELECT o_custkey, round(avg(o_totalprice), 4) AS mean, max(o_totalprice) AS max,
+    SELECT o_custkey, avg(CAST(round(o_totalprice * 100) AS BIGINT)) AS mean, CAST(round(max(o_totalprice) * 100) AS BIGINT) AS max,
            min(CASE WHEN o_orderstatus = 'P' THEN 0 ELSE o_orderpriority[1]::INTEGER END) AS top,
            min(CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority[1]::INTEGER END) AS best_rank
     FROM orders GROUP BY o_custkey
@@ -240,5 +240,6 @@ def latest_forecast(t: Tables):
 )
 def series_stats(t: Tables):
     rank = F.when(F.col("o_orderstatus") != "P", F.substring("o_orderpriority", 1, 1).cast("int"))
-    rows = t.orders.select("o_custkey", "o_totalprice", rank.alias("rank"))
-    return Q.series_stats(rows, "o_custkey", "o_totalprice", "rank").withColumn("mean", F.round("mean", 4))
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
+    rows = t.orders.select("o_custkey", cents.alias("cents"), rank.alias("rank"))
+    return Q.series_stats(rows, "o_custkey", "cents", "rank")
