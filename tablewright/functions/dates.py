@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import let
+
 # Month names as they stand in long dates.
 MONTHS = {
     "sausio": 1,
@@ -32,22 +34,27 @@ def long_date_to_iso(c: Column) -> Column:
     The shapes are ``1945-04-10``, ``1945 balandžio 10 d.``, ``1945 m. balandžio 10 d.`` and
     ``1945 m. balandžio mėn 10 d.``.
     """
-    part = F.filter(F.split(F.translate(c, "-", " "), r"\s+"), lambda w: w != "")
     table = F.create_map(*[x for name, n in MONTHS.items() for x in (F.lit(name), F.lit(f"{n:02d}"))])
 
-    def shaped(month_at: int, day_at: int) -> Column:
+    def shaped(part: Column, month_at: int, day_at: int) -> Column:
         month = F.try_element_at(table, F.lower(F.get(part, F.lit(month_at))))
         day = _two(F.get(part, F.lit(day_at)))
         return F.concat(F.get(part, F.lit(0)), F.lit("-"), month, F.lit("-"), day)
 
-    n = F.size(part)
-    return (
-        F.when(n == 3, F.array_join(part, "-"))
-        .when(n == 4, shaped(1, 2))
-        .when(n == 5, shaped(2, 3))
-        .when(n == 6, shaped(2, 4))
-        .otherwise(c)
-    )
+    def iso(c: Column, part: Column) -> Column:
+        n = F.size(part)
+        return (
+            F.when(n == 3, F.array_join(part, "-"))
+            .when(n == 4, shaped(part, 1, 2))
+            .when(n == 5, shaped(part, 2, 3))
+            .when(n == 6, shaped(part, 2, 4))
+            .otherwise(c)
+        )
+
+    def split(c: Column) -> Column:
+        return F.filter(F.split(F.translate(c, "-", " "), r"\s+"), lambda w: w != "")
+
+    return let(c, lambda c: let(split(c), lambda part: iso(c, part)))
 
 
 def repair_digits(c: Column) -> Column:

@@ -1,17 +1,20 @@
-"""Expressions on page source, and the small reader for page structure.
+"""Expressions on page source, and two small scanners for page structure.
 
 Links, text and page attributes are regular expressions the JVM runs. Table rows
 and text without given blocks need open/close bookkeeping that an expression
-cannot do, so ``PageReader`` walks one page at a time inside ``mapInPandas``.
+cannot do, so two small scanners walk one page at a time inside ``mapInPandas``.
 """
 
 from __future__ import annotations
 
-from html.parser import HTMLParser
+import re
+from html import unescape
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import let
+
 HIDDEN = (
     r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
 )
@@ -65,12 +68,13 @@ def decode_entities(c: Column) -> Column:
         rest = F.regexp_replace(piece, r"^&#[0-9A-Fa-fxX]+;", "")
         return F.when(code.between(1, 0x10FFFF), F.concat(char, rest)).otherwise(piece)
 
-    decoded = F.array_join(F.transform(F.split(c, "(?=&#)"), numeric), "")
-    c = F.when(F.contains(c, F.lit("&#")), decoded).otherwise(c)
-    named = c
-    for name, char in ENTITIES.items():
-        named = F.replace(named, F.lit(name), F.lit(char))
-    return F.when(F.contains(c, F.lit("&")), named).otherwise(c)
+    def decoded(c: Column) -> Column:
+        c = F.array_join(F.transform(F.split(c, "(?=&#)"), numeric), "")
+        for name, char in ENTITIES.items():
+            c = F.replace(c, F.lit(name), F.lit(char))
+        return c
+
+    return let(c, lambda c: F.when(F.contains(c, F.lit("&")), decoded(c)).otherwise(c))
 
 
 def join_lines(c: Column) -> Column:
@@ -100,83 +104,83 @@ def script_json(html: Column, pattern: str, schema: str) -> Column:
     return F.from_json(found, schema)
 
 
-class PageReader(HTMLParser):
-    """Lines of text outside excluded blocks, and table rows as cells, of one page."""
-
-    VOID = frozenset(
-        "area base br col embed hr img input link meta source track wbr".split()
-    )
-    LINE = frozenset(
-        "p br div li ul ol tr table h1 h2 h3 h4 h5 h6 article section header footer nav title "
-        "body head para literallayout".split()
-    )
-
-    def __init__(self, exclude=()):
-        super().__init__(convert_charrefs=True)
-        self.exclude = frozenset(exclude)  # "tag" or ".class"
-        self.open = []  # (tag, hidden)
-        self.hidden = 0
-        self.pieces = []
-        self.rows = []  # (table, cells) with cell = [text pieces, href, is_header]
-        self.tables = []  # stack of table numbers
-        self.table_count = 0
-        self.row_stack = []
-        self.cell = None
-
-    def handle_starttag(self, tag, attrs):
-        attrs = dict(attrs)
-        if tag in self.LINE and not self.hidden:
-            self.pieces.append("\n")
-        marks = {tag, *("." + name for name in (attrs.get("class") or "").split())}
-        hidden = tag in ("script", "style") or bool(marks & self.exclude)
-        if tag not in self.VOID:
-            self.open.append((tag, hidden))
-            self.hidden += hidden
-        if tag == "table":
-            self.table_count += 1
-            self.tables.append(self.table_count)
-            self.row_stack.append((None, self.cell))
-            self.cell = None
-        elif tag == "tr" and self.tables:
-            row = []
-            self.rows.append((self.tables[-1], row))
-            self.row_stack[-1] = (row, self.row_stack[-1][1])
-            self.cell = None
-        elif tag in ("td", "th") and self.tables and self.row_stack[-1][0] is not None:
-            self.cell = [[], None, tag == "th"]
-            self.row_stack[-1][0].append(self.cell)
-        elif tag == "a" and self.cell is not None and self.cell[1] is None:
-            self.cell[1] = attrs.get("href")
-
-    def handle_endtag(self, tag):
-        if any(name == tag for name, _ in self.open):
-            while True:
-                name, hidden = self.open.pop()
-                self.hidden -= hidden
-                if name == tag:
-                    break
-        if tag in self.LINE and not self.hidden:
-            self.pieces.append("\n")
-        if tag == "table" and self.tables:
-            self.tables.pop()
-            self.cell = self.row_stack.pop()[1]
-        elif tag in ("td", "th", "tr"):
-            self.cell = None
-
-    def handle_data(self, data):
-        if self.hidden:
-            return
-        self.pieces.append(data.replace("\n", " ").replace("\r", " "))
-        if self.cell is not None:
-            self.cell[0].append(data)
-
-    def text(self) -> str:
-        lines = (" ".join(line.split()) for line in " ".join(self.pieces).split("\n"))
-        return "\n\n".join(line for line in lines if line)
-
-    @classmethod
-    def read(cls, html, exclude=()):
-        reader = cls(exclude)
-        reader.feed(html or "")
-        reader.close()
-        return reader
+# ---- page structure, one page at a time -----------------------------------------
+
+_SKIP = r"<!--.*?(?:-->|$)|<[!?][^>]*>|<(?P<raw>script|style)\b.*?(?:</(?P=raw)\s*>|$)"
+_TABLE_TOKEN = re.compile(_SKIP + r"|<(?P<end>/?)(?P<tag>table|tr|td|th|a)\b(?P<attrs>[^>]*)>", re.I | re.S)
+_ANY_TOKEN = re.compile(_SKIP + r"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9]*)\b(?P<attrs>[^>]*)>", re.I | re.S)
+_TAG = re.compile(r"<!--.*?-->|<[^>]*>", re.S)
+_HREF = re.compile(r"""href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+_CLASS = re.compile(r"""class\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+_VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+_LINE = frozenset(LINE_TAGS.replace("h[1-6]", "h1|h2|h3|h4|h5|h6").split("|")) | {"para", "literallayout"}
+
+
+def _attribute(pattern, attrs):
+    found = pattern.search(attrs)
+    return None if found is None else unescape(next((g for g in found.groups() if g is not None), ""))
+
+
+def _plain(source):
+    return " ".join(unescape(_TAG.sub("", source)).split())
+
+
+def table_rows(html):
+    """Rows of all tables as (table number, [(text, href, is header)]); inner tables' text is theirs alone."""
+    rows, tables, count, at = [], [], 0, 0
+
+    def text_until(stop):
+        if tables and tables[-1][1] is not None:
+            tables[-1][1][0].append(html[at:stop])
+
+    for token in _TABLE_TOKEN.finditer(html or ""):
+        text_until(token.start())
+        at = token.end()
+        tag, end = (token["tag"] or "").lower(), token["end"]
+        if tag == "table" and not end:
+            count += 1
+            tables.append([count, None, None])  # number, open cell, open row
+        elif tag == "table" and tables:
+            tables.pop()
+        elif tag in ("tr", "td", "th") and tables:
+            tables[-1][1] = None
+            if tag == "tr":
+                tables[-1][2] = None if end else []
+                if not end:
+                    rows.append((tables[-1][0], tables[-1][2]))
+            elif not end and tables[-1][2] is not None:
+                tables[-1][1] = [[], None, tag == "th"]
+                tables[-1][2].append(tables[-1][1])
+        elif tag == "a" and not end and tables and tables[-1][1] is not None and tables[-1][1][1] is None:
+            tables[-1][1][1] = _attribute(_HREF, token["attrs"])
+    return [(n, [(_plain("".join(parts)), href, th) for parts, href, th in cells]) for n, cells in rows]
+
+
+def text_without(html, exclude):
+    """Lines of text outside the excluded tags and ``.classes``; text after such a block stays."""
+    pieces, opened, hidden, at = [], [], 0, 0
+    html = html or ""
+    for token in _ANY_TOKEN.finditer(html):
+        if not hidden:
+            pieces.append(unescape(html[at : token.start()].replace("\n", " ").replace("\r", " ")))
+        at = token.end()
+        tag = (token["tag"] or "").lower()
+        if not tag:
+            continue
+        if token["end"]:
+            if any(name == tag for name, _ in opened):
+                name = None
+                while name != tag:
+                    name, was_hidden = opened.pop()
+                    hidden -= was_hidden
+        elif tag not in _VOID and not token["attrs"].endswith("/"):
+            classes = (_attribute(_CLASS, token["attrs"]) or "").split()
+            hide = tag in exclude or any("." + name in exclude for name in classes)
+            opened.append((tag, hide))
+            hidden += hide
+        if tag in _LINE and not hidden:
+            pieces.append("\n")
+    if not hidden:
+        pieces.append(unescape(html[at:].replace("\n", " ").replace("\r", " ")))
+    lines = (" ".join(line.split()) for line in " ".join(pieces).split("\n"))
+    return "\n\n".join(line for line in lines if line)

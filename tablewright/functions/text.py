@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -12,6 +13,11 @@ from pyspark.sql.types import StringType
 NON_WORD = r"[^\p{L}\p{N}_]+"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def normalise(c: Column) -> Column:
     """Non-word runs to one blank, trimmed, lower case."""
     return F.lower(F.trim(F.regexp_replace(c, NON_WORD, " ")))
@@ -63,11 +69,16 @@ def case_split(c: Column) -> Column:
 
 def rsplit_once(c: Column, sep: str, part: int) -> Column:
     """``part`` 0 is the text before the last ``sep``, 1 the text after it (NULL without one)."""
-    after = F.substring_index(c, sep, -1)
-    if part == 1:
-        return F.when(F.instr(c, sep) > 0, after)
-    before = c.substr(F.lit(1), F.length(c) - F.length(after) - F.lit(len(sep)))
-    return F.when(F.instr(c, sep) > 0, before).otherwise(c)
+
+
+    def cut(c: Column) -> Column:
+        after = F.substring_index(c, sep, -1)
+        if part == 1:
+            return F.when(F.contains(c, F.lit(sep)), after)
+        before = F.left(c, F.length(c) - F.length(after) - F.lit(len(sep)))
+        return F.when(F.contains(c, F.lit(sep)), before).otherwise(c)
+
+    return let(c, cut)
 
 
 def split_part_strict(c: Column, sep: str, part: int) -> Column:
@@ -86,7 +97,7 @@ def _quote(sep: str) -> str:
 
 def first_group(c: Column, pattern: str, group: int = 1) -> Column:
     """First match of a pattern, NULL when there is none (the caller rejects the row)."""
-    return F.when(c.rlike(pattern), F.regexp_extract(c, pattern, group))
+    return let(c, lambda c: F.when(c.rlike(pattern), F.regexp_extract(c, pattern, group)))
 
 
 def all_matches(c: Column, pattern: str, group: int = 0) -> Column:
@@ -107,7 +118,7 @@ def recode(c: Column, mapping: dict[str, str]) -> Column:
     if not mapping:
         return c
     table = F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
-    return F.coalesce(F.try_element_at(table, c), c)
+    return let(c, lambda c: F.coalesce(F.try_element_at(table, c), c))
 
 
 # The tone marks of Lithuanian dictionaries.
@@ -149,15 +160,16 @@ def clock(c: Column) -> Column:
 
 def bracket_items(c: Column) -> Column:
     """The trimmed items of the first line that starts ``(a, b).``; NULL without one."""
-    inner = F.regexp_extract(c, BRACKETS, 1)
-    return F.when(inner != "", F.transform(F.split(inner, ","), lambda x: F.trim(x)))
+    return let(
+        F.regexp_extract(c, BRACKETS, 1),
+        lambda inner: F.when(inner != "", F.transform(F.split(inner, ","), lambda x: F.trim(x))),
+    )
 
 
 def bracket_rest(c: Column) -> Column:
     """The text after that bracket line, or the text itself."""
     rest = F.regexp_extract(c, BRACKETS + r"([\s\S]*)", 2)
-    stripped = F.regexp_replace(rest, r"^\s+|\s+$", "")
-    return F.when(F.regexp_extract(c, BRACKETS, 1) != "", stripped).otherwise(c)
+    return F.when(c.rlike(BRACKETS), F.regexp_replace(rest, r"^\s+|\s+$", "")).otherwise(c)
 
 
 def is_acronym(c: Column) -> Column:

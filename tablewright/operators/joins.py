@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from ..functions.text import is_upper, title_case, words
 
-# Days since 0001-01-01 fit into RADIX ** LEVELS.
-RADIX = 4
-LEVELS = 11
+# Days since 0001-01-01 fit into RADIX ** LEVELS. A date looks up one block per level, and
+# dates outnumber periods: few levels, more blocks per period.
+RADIX = 16
+LEVELS = 6
 DAY_OFFSET = 719163
 OPEN_END = RADIX**LEVELS
 
@@ -21,7 +22,7 @@ def _day(date: Column) -> Column:
 
 
 def _blocks(lo: Column, hi: Column) -> Column:
-    """The fewest aligned blocks of 1, 4, 16, … days that make up [lo, hi)."""
+    """The fewest aligned blocks of 1, 16, 256, … days that make up [lo, hi)."""
     empty = F.array().cast("array<struct<level:int,block:bigint>>")
 
     def span(level: int, start: Column, stop: Column) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import html as H
 from ..functions.keys import row_hash
+from .project import last_wins_map
 
 
 def valid_pages(pages: DataFrame, check: Column) -> tuple[DataFrame, DataFrame]:
@@ -46,58 +47,71 @@ def extract_text_without(
     pages: DataFrame, exclude: Sequence[str], keep: str = "page_id"
 ) -> DataFrame:
     """Page text without the blocks of the given tags and ``.classes``; their tails stay."""
-    exclude = tuple(exclude)
+    exclude = frozenset(exclude)
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts = [H.PageReader.read(html, exclude).text() for html in batch["html"]]
+            texts = [H.text_without(html, exclude) for html in batch["html"]]
             yield pd.DataFrame({keep: batch[keep], "text": texts})
 
     key = pages.schema[keep].dataType.simpleString()
     return pages.select(keep, "html").mapInPandas(read, f"`{keep}` {key}, text string")
 
 
-def extract_rows(pages: DataFrame, keep: str = "page_id", n_cells: int | None = None) -> DataFrame:
-    """One row per table row: ``table_no, row_no, cells`` with cell = (text, href, is_header)."""
+ROW = "struct<table_no:int,row_no:int,cells:array<struct<text:string,href:string,is_header:boolean>>>"
+
+
+def page_tables(pages: DataFrame, keep: str = "page_id") -> DataFrame:
+    """All table rows of a page in one array: ``rows`` of (table_no, row_no, cells)."""
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
-            for key, html in zip(batch[keep], batch["html"]):
-                for number, (table, cells) in enumerate(H.PageReader.read(html).rows, 1):
-                    row = [
-                        {"text": " ".join("".join(t).split()), "href": href, "is_header": th}
-                        for t, href, th in cells
+            pages_rows = []
+            for html in batch["html"]:
+                pages_rows.append(
+                    [
+                        {
+                            "table_no": table,
+                            "row_no": number,
+                            "cells": [dict(zip(("text", "href", "is_header"), cell)) for cell in cells],
+                        }
+                        for number, (table, cells) in enumerate(H.table_rows(html), 1)
                     ]
-                    out.append((key, table, number, row))
-            yield pd.DataFrame(out, columns=[keep, "table_no", "row_no", "cells"])
+                )
+            yield pd.DataFrame({keep: batch[keep], "rows": pages_rows})
 
     key = pages.schema[keep].dataType.simpleString()
-    rows = pages.select(keep, "html").mapInPandas(
-        read,
-        f"`{keep}` {key}, table_no int, row_no int, "
-        "cells array<struct<text:string,href:string,is_header:boolean>>",
+    return pages.select(keep, "html").mapInPandas(read, f"`{keep}` {key}, rows array<{ROW}>")
+
+
+def _pairs(rows: Column) -> Column:
+    two = F.filter(rows, lambda r: F.size(r["cells"]) == 2)
+    return F.transform(
+        two,
+        lambda r: F.struct(
+            r["row_no"].alias("pos"),
+            r["cells"][0]["text"].alias("k"),
+            F.nullif(r["cells"][1]["text"], F.lit("")).alias("v"),
+        ),
     )
+
+
+def extract_rows(pages: DataFrame, keep: str = "page_id", n_cells: int | None = None) -> DataFrame:
+    """One row per table row: ``table_no, row_no, cells`` with cell = (text, href, is_header)."""
+    rows = page_tables(pages, keep).select(keep, F.inline("rows"))
     return rows if n_cells is None else rows.where(F.size("cells") == n_cells)
 
 
 def extract_pairs(pages: DataFrame, keep: str = "page_id") -> DataFrame:
     """Label/value rows (two cells) in page order: ``pos, label, value``."""
-    rows = extract_rows(pages, keep, n_cells=2)
-    return rows.select(
-        keep,
-        F.col("row_no").alias("pos"),
-        F.col("cells")[0]["text"].alias("label"),
-        F.nullif(F.col("cells")[1]["text"], F.lit("")).alias("value"),
-    )
+    pairs = page_tables(pages, keep).select(keep, F.inline(_pairs(F.col("rows"))))
+    return pairs.withColumnsRenamed({"k": "label", "v": "value"})
 
 
 def extract_kv(pages: DataFrame, keep: str = "page_id") -> DataFrame:
     """A label → value map per page; the last of repeated labels wins."""
-    last = extract_pairs(pages, keep).groupBy(keep, "label").agg(F.max_by("value", "pos").alias("value"))
-    return last.groupBy(keep).agg(
-        F.map_from_entries(F.collect_list(F.struct("label", "value"))).alias("kv")
-    )
+    pairs = F.transform(_pairs(F.col("rows")), lambda p: F.struct(p["k"].alias("k"), p["v"].alias("v")))
+    return page_tables(pages, keep).select(keep, last_wins_map(pairs).alias("kv"))
 
 
 def labelled_fields(kv: DataFrame, labels: dict[str, str], keep: str = "page_id") -> DataFrame:

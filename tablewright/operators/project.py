@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import let
 from .log import as_list
 
 
@@ -183,10 +184,13 @@ def zip_pairs(labels: Column, values: Column) -> Column:
 
 def last_wins_map(pairs: Column) -> Column:
     """Array of (k, v) to a map without NULL keys; the last of repeated keys wins."""
+
     # Map building is strict about repeated keys, so earlier repeats go first.
-    pairs = F.filter(pairs, lambda p: p["k"].isNotNull())
-    keys = F.transform(pairs, lambda p: p["k"])
-    kept = F.filter(
-        pairs, lambda p, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), p["k"])
+    def last_only(pairs: Column, keys: Column) -> Column:
+        return F.filter(pairs, lambda p, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), p["k"]))
+
+    named = F.filter(pairs, lambda p: p["k"].isNotNull())
+    kept = let(
+        named, lambda ps: let(F.transform(ps, lambda p: p["k"]), lambda keys: last_only(ps, keys))
     )
     return F.map_from_entries(kept)

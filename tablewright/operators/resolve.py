@@ -53,9 +53,8 @@ def alias_index(aliases: DataFrame, names: DataFrame) -> DataFrame:
     return joined.select("dictionary", "text", "id", F.coalesce("__v", "target").alias("value"))
 
 
-def direct_hits(choices: DataFrame, aliases: DataFrame) -> DataFrame:
+def direct_hits(names: DataFrame, aliases: DataFrame) -> DataFrame:
     """Names and literal aliases as one lookup table."""
-    names = name_index(choices)
     tagged = [
         table.select(
             "dictionary",
@@ -182,9 +181,8 @@ def _lay_parts(df: DataFrame, kmax: int) -> DataFrame:
     rows multiply in place, and a literal that does not stand where it should drops the row.
     """
     n = F.size("tokens")
-    df = df.withColumn("at", F.lit(0)).withColumn(
-        "spans", F.array().cast("array<struct<start:int,stop:int>>")
-    )
+    rest_columns = df.columns
+    df = df.select("*", F.array().cast("array<struct<start:int,stop:int>>").alias("spans"), F.lit(0).alias("at"))
     for p in range(kmax):
         part = F.get("parts", F.lit(p))
         width = F.size(part["tokens"])
@@ -206,11 +204,13 @@ def _lay_parts(df: DataFrame, kmax: int) -> DataFrame:
             .when((F.col("at") + width <= n) & fits, F.array(F.col("at") + width))
             .otherwise(none)
         )
-        df = df.withColumn("__end", F.explode(ends))
         is_slot = F.coalesce(part["slot"], F.lit(False))
-        span = F.array(F.struct(F.col("at").alias("start"), F.col("__end").alias("stop")))
-        df = df.withColumn("spans", F.when(is_slot, F.concat("spans", span)).otherwise(F.col("spans")))
-        df = df.withColumn("at", F.col("__end")).drop("__end")
+        span = F.array(F.struct(F.col("at").alias("start"), F.col("stop")))
+        df = df.select("*", F.explode(ends).alias("stop")).select(
+            *rest_columns,
+            F.when(is_slot, F.concat("spans", span)).otherwise(F.col("spans")).alias("spans"),
+            F.col("stop").alias("at"),
+        )
     return df.where(F.col("at") == n).drop("at")
 
 
@@ -235,7 +235,7 @@ class _Plan:
 
     def __init__(self, choices, aliases, inflections):
         self.names = cut_lineage(name_index(choices))
-        self.direct = cut_lineage(direct_hits(choices, aliases).distinct())
+        self.direct = cut_lineage(direct_hits(self.names, aliases))
         self.inflect = cut_lineage(inflection_table(inflections)) if inflections is not None else None
         self.templates = cut_lineage(_templates(aliases))
 

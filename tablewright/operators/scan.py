@@ -59,12 +59,21 @@ def running(
     order: str,
     *specs: Running,
     width: int = CHUNK,
+    keep_chunk: bool = False,
 ) -> DataFrame:
-    """Add one running column per spec. ``keys`` are non-null; ``order`` is a whole number."""
+    """Add one running column per spec. ``keys`` are non-null; ``order`` is a whole number.
+
+    With ``keep_chunk`` the result keeps its ``__chunk`` column, and a further pass over it
+    with the same keys and order finds the rows already in place.
+    """
     keys = list(keys)
-    rows = df.withColumn("__chunk", F.floor(F.col(order) / F.lit(width)).cast("bigint"))
-    for i, spec in enumerate(specs):
-        rows = rows.withColumn(f"__v{i}", spec.value)
+    chunk = F.floor(F.col(order) / F.lit(width)).cast("bigint")
+    columns = [c for c in df.columns if c != "__chunk"]
+    rows = df.select(
+        *columns,
+        (F.col("__chunk") if "__chunk" in df.columns else chunk.alias("__chunk")),
+        *[spec.value.alias(f"__v{i}") for i, spec in enumerate(specs)],
+    )
 
     carried = rows.groupBy(*keys, "__chunk").agg(
         *[spec.summary(f"__v{i}", order).alias(f"__s{i}") for i, spec in enumerate(specs)]
@@ -77,12 +86,13 @@ def running(
     )
 
     inside = Window.partitionBy(*keys, "__chunk").orderBy(order)
-    for i, spec in enumerate(specs):
-        frame = inside.rowsBetween(Window.unboundedPreceding, -1 if spec.before else 0)
-        rows = rows.withColumn(f"__l{i}", spec.over(f"__v{i}", frame))
-
-    joined = rows.join(carried, [*keys, "__chunk"], "left")
+    local = [
+        spec.over(f"__v{i}", inside.rowsBetween(Window.unboundedPreceding, -1 if spec.before else 0)).alias(f"__l{i}")
+        for i, spec in enumerate(specs)
+    ]
+    joined = rows.select(*columns, "__chunk", *local).join(carried, [*keys, "__chunk"], "left")
     return joined.select(
-        *df.columns,
+        *columns,
+        *(["__chunk"] if keep_chunk else []),
         *[spec.merge(f"__c{i}", f"__l{i}").alias(spec.out) for i, spec in enumerate(specs)],
     )

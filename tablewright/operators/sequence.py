@@ -90,8 +90,8 @@ def segment_text(docs: DataFrame, pattern: str, keep: Sequence[str], text: str =
     """
     plain = F.translate(F.col(text), _OPEN + _CLOSE, "")
     marked = F.regexp_replace(plain, f"(?m)({pattern})", f"{_OPEN}$1{_CLOSE}")
-    parts = F.split(marked, _OPEN)
-    rows = docs.select(*keep, F.posexplode(F.slice(parts, F.lit(2), F.size(parts))).alias("pos", "__s"))
+    parts = T.let(F.split(marked, _OPEN), lambda p: F.slice(p, F.lit(2), F.size(p)))
+    rows = docs.select(*keep, F.posexplode(parts).alias("pos", "__s"))
     return rows.select(
         *keep,
         "pos",
@@ -220,7 +220,9 @@ def merge_intervals(df: DataFrame, group: Sequence[str], lo: str, hi: str, width
     starts = df.groupBy(*group, F.col(lo).cast("bigint").alias("lo")).agg(
         F.max(F.col(hi).cast("bigint")).alias("hi")
     )
-    reach = running(starts, group, "lo", Running("__reach", "max", F.col("hi"), before=True), width=width)
+    reach = running(
+        starts, group, "lo", Running("__reach", "max", F.col("hi"), before=True), width=width, keep_chunk=True
+    )
     fresh = (F.col("__reach").isNull() | (F.col("lo") > F.col("__reach"))).cast("bigint")
     island = running(reach, group, "lo", Running("__island", "sum", fresh), width=width)
     return (
@@ -267,14 +269,15 @@ def series_stats(series: DataFrame, group: Sequence[str], value: str, rank: str)
 
 def popularity(ranks: Column, values: Column) -> Column:
     """Array of (year, value, rank): values stand in the numeric order of the ranks' years."""
-    years = F.array_sort(F.transform(F.map_keys(ranks), lambda y: y.cast("int")))
-    return F.transform(
-        F.arrays_zip(years.alias("year"), values.alias("value")),
-        lambda p: F.struct(
-            p["year"].alias("year"),
-            p["value"].alias("value"),
-            F.nullif(F.try_element_at(ranks, p["year"].cast("string")), F.lit(""))
-            .cast("int")
-            .alias("rank"),
-        ),
-    )
+    def zipped(ranks: Column) -> Column:
+        years = F.array_sort(F.transform(F.map_keys(ranks), lambda y: y.cast("int")))
+        return F.transform(
+            F.arrays_zip(years.alias("year"), values.alias("value")),
+            lambda p: F.struct(
+                p["year"].alias("year"),
+                p["value"].alias("value"),
+                F.nullif(F.try_element_at(ranks, p["year"].cast("string")), F.lit("")).cast("int").alias("rank"),
+            ),
+        )
+
+    return T.let(ranks, zipped)

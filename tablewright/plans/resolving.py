@@ -142,17 +142,18 @@ def match_aliases(t: Tables):
     "J8",
     r"""
     WITH t AS (
-        SELECT doc_id, string_split(line, ' ') AS w FROM (
-            SELECT doc_id, lower(trim(regexp_replace(regexp_extract(text, '^[^\n]*'), '[^\p{L}\p{N}_]+', ' ', 'g'))) AS line
-            FROM documents) WHERE line <> ''
-    )
-    SELECT doc_id, len(w) AS tokens, unnest(range(1, len(w))) AS cut FROM t
+        SELECT p_partkey, string_split(lower(p_name || ' ' || replace(p_brand, '#', ' ') || ' ' || p_type), ' ') AS w FROM part
+    ), a AS (SELECT p_partkey, w, unnest(range(1, len(w))) AS i FROM t),
+       b AS (SELECT *, unnest(range(i + 1, len(w))) AS j FROM a)
+    SELECT p_partkey, array_to_string(w[:i], ' ') AS first, array_to_string(w[i + 1:j], ' ') AS second,
+           array_to_string(w[j + 1:], ' ') AS third
+    FROM b
     """,
 )
-def two_part_splits(t: Tables):
-    # Every way to split the first line of a document into two parts.
-    line = normalise(F.regexp_extract("text", r"^[^\n]*", 0))
-    docs = t.documents.select("doc_id", words(line).alias("tokens"))
-    splits = R.token_splits(docs, "tokens", 2)
-    cut = F.size(F.split(F.col("split")[0], " ")).cast("bigint")
-    return splits.select("doc_id", F.size("tokens").cast("bigint").alias("tokens"), cut.alias("cut"))
+def three_part_splits(t: Tables):
+    # Every way to split a part's full name into three.
+    full = normalise(F.concat_ws(" ", "p_name", "p_brand", "p_type"))
+    splits = R.token_splits(t.part.select("p_partkey", words(full).alias("tokens")), "tokens", 3)
+    return splits.select(
+        "p_partkey", *[F.col("split")[i].alias(name) for i, name in enumerate(("first", "second", "third"))]
+    )
