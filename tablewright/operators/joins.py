@@ -49,10 +49,9 @@ def _blocks(lo: Column, hi: Column) -> Column:
     return F.concat(*parts)
 
 
-def valid_at_join(
-    facts: DataFrame,
+def period_lookup(
+    dates: DataFrame,
     periods: DataFrame,
-    on_date: str,
     start: str,
     end: str,
     order: str,
@@ -60,16 +59,11 @@ def valid_at_join(
     keys: Sequence[str] = (),
     lookup: DataFrame | None = None,
 ) -> DataFrame:
-    """Left join each fact to the first period, by ``order``, with start < date < end.
-
-    Both bounds are strict and a NULL end is open. ``order`` is a whole number, unique in
-    ``periods`` (or in ``lookup``, which then holds the payload); ``keys`` are equal on both
-    sides.
+    """For each ``keys, __date`` with a valid period: the payload of the first by ``order``.
 
     The join is by equality only. A period is cut into aligned blocks of days; per (keys,
     block) only the smallest ``order`` is kept, so any number of overlapping periods leaves
-    one row. A date then looks up its own block on each level. Only distinct (keys, date)
-    pairs take part, and the facts pick the outcome up by an equality join.
+    one row. A date then looks up its own block on each level.
     """
     keys = list(keys)
     table = periods.withColumn("__lo", _day(F.col(start)) + 1).withColumn(
@@ -80,9 +74,8 @@ def valid_at_join(
     )
     first = blocks.groupBy(*keys, "level", "block").agg(F.min(order).alias("__first"))
 
-    rows = facts.withColumn("__date", F.col(on_date).cast("date"))
     day = _day(F.col("__date"))
-    lookups = F.array(
+    levels = F.array(
         *[
             F.struct(
                 F.lit(n).alias("level"), F.floor(day / F.lit(RADIX**n)).cast("bigint").alias("block")
@@ -90,18 +83,41 @@ def valid_at_join(
             for n in range(LEVELS)
         ]
     )
-    dates = rows.select(*keys, "__date").dropna().distinct()
     found = (
-        dates.select(*keys, "__date", F.inline(lookups))
+        dates.select(*keys, "__date", F.inline(levels))
         .join(first, [*keys, "level", "block"])
         .groupBy(*keys, "__date")
         .agg(F.min("__first").alias("__order"))
     )
     source = periods if lookup is None else lookup
-    chosen = found.join(
-        source.select(F.col(order).alias("__order"), *[F.col(c).alias(f"__p_{c}") for c in payload]),
-        "__order",
-    ).drop("__order")
+    held = source.select(F.col(order).alias("__order"), *[F.col(c).alias(f"__p_{c}") for c in payload])
+    return found.join(held, "__order").drop("__order")
+
+
+def valid_at_join(
+    facts: DataFrame,
+    periods: DataFrame,
+    on_date: str,
+    start: str,
+    end: str,
+    order: str,
+    payload: Sequence[str],
+    keys: Sequence[str] = (),
+    lookup: DataFrame | None = None,
+) -> DataFrame:
+    """Left join each fact to the first period, by ``order``, with start < date < end.
+
+    Both bounds are strict and a NULL end is open. ``order`` is a whole number, unique in
+    ``periods`` (or in ``lookup``, which then holds the payload); ``keys`` are equal on both
+    sides. Only distinct (keys, date) pairs are looked up; the facts pick the outcome up by an
+    equality join.
+    """
+    keys = list(keys)
+    rows = facts.withColumn("__date", F.col(on_date).cast("date"))
+    dates = rows.select(*keys, "__date").distinct()
+    chosen = period_lookup(dates, periods, start, end, order, payload, keys, lookup)
+    if not keys:
+        chosen = F.broadcast(chosen)  # at most one row per day of the calendar
     joined = rows.join(chosen, [*keys, "__date"], "left")
     return joined.select(*facts.columns, *[F.col(f"__p_{c}").alias(c) for c in payload])
 
@@ -135,17 +151,20 @@ def name_variants(first_names: Column, surname: Column) -> Column:
     )
 
 
-def resolve_speaker(
-    speeches: DataFrame,
-    members: DataFrame,
-    speaker: str,
-    date: str,
-    prefix: str = "",
-) -> DataFrame:
-    """Left join a speech to the member in office whose name variant the speaker wrote.
+def _spoken(df: DataFrame, speaker: str, date: str) -> DataFrame:
+    return df.select(
+        "*",
+        speaker_surname(F.col(speaker)).alias("__surname"),
+        speaker_key(F.col(speaker)).alias("__variant"),
+        F.col(date).cast("date").alias("__date"),
+    )
 
-    ``members`` has ``seq, vardas, pavarde, nuo, iki``; the first by ``seq`` is taken.
-    """
+
+SPEAKER = ["__surname", "__variant"]
+
+
+def _members_lookup(spoken: DataFrame, members: DataFrame) -> DataFrame:
+    """Member in office per distinct (name as spoken, date)."""
     table = members.select(
         "seq",
         "nuo",
@@ -153,16 +172,19 @@ def resolve_speaker(
         F.upper("pavarde").alias("__surname"),
         F.explode(name_variants(F.col("vardas"), F.col("pavarde"))).alias("__variant"),
     )
-    rows = speeches.withColumn("__surname", speaker_surname(F.col(speaker))).withColumn(
-        "__variant", speaker_key(F.col(speaker))
-    )
-    found = valid_at_join(
-        rows, table, date, "nuo", "iki", "seq", ["vardas", "pavarde"], ["__surname", "__variant"], members
-    )
+    dates = spoken.select(*SPEAKER, "__date").distinct()
+    return period_lookup(dates, table, "nuo", "iki", "seq", ["vardas", "pavarde"], SPEAKER, members)
+
+
+def resolve_speaker(speeches: DataFrame, members: DataFrame, speaker: str, date: str) -> DataFrame:
+    """Left join a speech to the member in office whose name variant the speaker wrote.
+
+    ``members`` has ``seq, vardas, pavarde, nuo, iki``; the first by ``seq`` is taken.
+    """
+    spoken = _spoken(speeches, speaker, date)
+    found = spoken.join(_members_lookup(spoken, members), [*SPEAKER, "__date"], "left")
     return found.select(
-        *speeches.columns,
-        F.col("vardas").alias(prefix + "vardas"),
-        F.col("pavarde").alias(prefix + "pavarde"),
+        *speeches.columns, F.col("__p_vardas").alias("vardas"), F.col("__p_pavarde").alias("pavarde")
     )
 
 
@@ -171,30 +193,30 @@ def attribute_roles(speeches: DataFrame, members: DataFrame, chairs: DataFrame,
 
     ``speeches`` has ``speaker, is_chair, chair_name`` (the carried chair). A chair with a
     carried name is looked up among the members only; a chair without one is the chair in
-    office; anybody else is a member when found.
+    office; anybody else is a member when found. Both lookups start from the speeches, which
+    then are joined to the two small outcomes.
     """
     asked = speeches.withColumn(
         "__who", F.when(F.col("is_chair"), F.col("chair_name")).otherwise(F.col("speaker"))
     )
-    named = resolve_speaker(asked, members, "__who", date, "__m_")
-    held = valid_at_join(
-        named,
-        chairs.select("seq", "start", "end", F.col("vardas").alias("__c_vardas"), F.col("pavarde").alias("__c_pavarde")),
-        date,
-        "start",
-        "end",
-        "seq",
-        ["__c_vardas", "__c_pavarde"],
-    )
+    spoken = _spoken(asked, "__who", date)
     by_office = F.col("is_chair") & F.col("chair_name").isNull()
+    holders = chairs.withColumnsRenamed({"vardas": "c_vardas", "pavarde": "c_pavarde"})
+    office = period_lookup(
+        spoken.where(by_office).select("__date").distinct(),
+        holders, "start", "end", "seq", ["c_vardas", "c_pavarde"],
+    )
+    joined = spoken.join(_members_lookup(spoken, members), [*SPEAKER, "__date"], "left").join(
+        F.broadcast(office), "__date", "left"  # at most one row per day of the calendar
+    )
 
     def person(field: str) -> Column:
-        return F.when(by_office, F.col(f"__c_{field}")).otherwise(F.col(f"__m_{field}"))
+        return F.when(by_office, F.col(f"__p_c_{field}")).otherwise(F.col(f"__p_{field}"))
 
     position = F.when(F.col("is_chair"), F.lit("pirmininkas")).when(
-        F.col("__m_pavarde").isNotNull(), F.lit("seimo narys")
+        F.col("__p_pavarde").isNotNull(), F.lit("seimo narys")
     )
-    return held.select(
+    return joined.select(
         *speeches.columns,
         position.alias("position"),
         person("vardas").alias("vardas"),

@@ -9,11 +9,13 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import html as H
 from ..functions.keys import row_hash
+from ..session import spread
 from .project import last_wins_map
 
 
@@ -55,7 +57,7 @@ def extract_text_without(
             yield pd.DataFrame({keep: batch[keep], "text": texts})
 
     key = pages.schema[keep].dataType.simpleString()
-    return pages.select(keep, "html").mapInPandas(read, f"`{keep}` {key}, text string")
+    return spread(pages.select(keep, "html")).mapInPandas(read, f"`{keep}` {key}, text string")
 
 
 ROW = "struct<table_no:int,row_no:int,cells:array<struct<text:string,href:string,is_header:boolean>>>"
@@ -64,24 +66,33 @@ ROW = "struct<table_no:int,row_no:int,cells:array<struct<text:string,href:string
 def page_tables(pages: DataFrame, keep: str = "page_id") -> DataFrame:
     """All table rows of a page in one array: ``rows`` of (table_no, row_no, cells)."""
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pages_rows = []
-            for html in batch["html"]:
-                pages_rows.append(
-                    [
-                        {
-                            "table_no": table,
-                            "row_no": number,
-                            "cells": [dict(zip(("text", "href", "is_header"), cell)) for cell in cells],
-                        }
-                        for number, (table, cells) in enumerate(H.table_rows(html), 1)
-                    ]
-                )
-            yield pd.DataFrame({keep: batch[keep], "rows": pages_rows})
+            tables, numbers, cells, page_ends, row_ends = [], [], [], [0], [0]
+            for html in batch.column(1).to_pylist():
+                for number, (table, row) in enumerate(H.table_rows(html), 1):
+                    tables.append(table)
+                    numbers.append(number)
+                    cells.extend(row)
+                    row_ends.append(len(cells))
+                page_ends.append(len(tables))
+            text, href, header = zip(*cells) if cells else ((), (), ())
+            cell = pa.StructArray.from_arrays(
+                [pa.array(text, pa.string()), pa.array(href, pa.string()), pa.array(header, pa.bool_())],
+                ["text", "href", "is_header"],
+            )
+            row = pa.StructArray.from_arrays(
+                [pa.array(tables, pa.int32()), pa.array(numbers, pa.int32()), _lists(row_ends, cell)],
+                ["table_no", "row_no", "cells"],
+            )
+            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(page_ends, row)], [keep, "rows"])
 
     key = pages.schema[keep].dataType.simpleString()
-    return pages.select(keep, "html").mapInPandas(read, f"`{keep}` {key}, rows array<{ROW}>")
+    return spread(pages.select(keep, "html")).mapInArrow(read, f"`{keep}` {key}, rows array<{ROW}>")
+
+
+def _lists(ends: list[int], values: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
 
 
 def _pairs(rows: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.company import clean_company, lt_to_eur
+from ..session import spread, write_once
 from .joins import attribute_roles
 from .log import as_list
 from .project import exclude_pairs
@@ -179,9 +180,10 @@ def parse_transcripts(
     among them ``date``.
     """
     heads = F.array_compact(F.transform("emphasis", T.emphasis_head))
-    marked = docs.withColumn("__heads", heads)
+    marked = spread(docs).withColumn("__heads", heads)
     cut = segment_text(marked, f"(?U:{T.SPEAKER_MARK})", ["key", *keep, "__heads"])
-    segments = classify_segments(cut, F.col("__heads")).drop("__heads")
+    # Text is cut and classified once; the passes below read the columns they need.
+    segments = write_once(classify_segments(cut, F.col("__heads")).drop("__heads"), "segments")
     segments = carry_forward(segments, ["key"], "pos", F.col("pirmininkas"), "chair_name")
     turns = assemble_turns(
         segments,
@@ -191,7 +193,7 @@ def parse_transcripts(
         [*keep, "speaker", "parliamentary_group", "pirmininkas", "is_chair", "chair_name"],
         time=F.col("time"),
     )
-    named = attribute_roles(turns, members, chairs, "date")
+    named = attribute_roles(write_once(turns, "turns"), members, chairs, "date")
     return named.select(
         "key",
         *keep,
