@@ -21,32 +21,24 @@ def _day(date: Column) -> Column:
     return F.unix_date(date.cast("date")).cast("bigint") + DAY_OFFSET
 
 
-def _blocks(lo: Column, hi: Column) -> Column:
-    """The fewest aligned blocks of 1, 16, 256, … days that make up [lo, hi)."""
-    empty = F.array().cast("array<struct<level:int,block:bigint>>")
-
-    def span(level: int, start: Column, stop: Column) -> Column:
-        blocks = F.transform(
-            F.sequence(start, stop - 1),
-            lambda b: F.struct(F.lit(level).alias("level"), b.alias("block")),
-        )
-        return F.when(start < stop, blocks).otherwise(empty)
-
-    parts = []
+def _blocks(periods: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """``level, block``: the fewest aligned blocks of 1, 16, 256, … days that make up [__lo, __hi)."""
+    ranges = []
     for level in range(LEVELS):
         size, parent = RADIX**level, RADIX ** (level + 1)
-        start = F.ceil(lo / F.lit(size)).cast("bigint")
-        stop = F.floor(hi / F.lit(size)).cast("bigint")
-        if level == LEVELS - 1:
-            parts.append(span(level, start, stop))
-            continue
+        start, stop = f"(__lo + {size - 1}) div {size}", f"__hi div {size}"
         # Blocks that a whole parent block covers are left to the next level.
-        inner = F.ceil(lo / F.lit(parent)).cast("bigint") * RADIX
-        outer = F.floor(hi / F.lit(parent)).cast("bigint") * RADIX
-        covered = inner < outer
-        parts.append(span(level, start, F.when(covered, inner).otherwise(stop)))
-        parts.append(F.when(covered, span(level, outer, stop)).otherwise(empty))
-    return F.concat(*parts)
+        inner = f"((__lo + {parent - 1}) div {parent}) * {RADIX}"
+        outer = f"(__hi div {parent}) * {RADIX}"
+        covered = f"{inner} < {outer}" if level < LEVELS - 1 else "false"
+        ranges.append(
+            f"struct({level} AS level, {start} AS a, if({covered}, {inner}, {stop}) AS b, "
+            f"if({covered}, {outer}, 0L) AS c, if({covered}, {stop}, 0L) AS d)"
+        )
+    span = "if({0} < {1}, sequence({0}, {1} - 1), cast(array() AS array<bigint>))".format
+    per_level = periods.select(*keep, F.expr(f"inline(array({', '.join(ranges)}))"))
+    blocks = F.expr(f"explode(concat({span('a', 'b')}, {span('c', 'd')}))")
+    return per_level.select(*keep, "level", blocks.alias("block"))
 
 
 def period_lookup(
@@ -69,9 +61,7 @@ def period_lookup(
     table = periods.withColumn("__lo", _day(F.col(start)) + 1).withColumn(
         "__hi", F.coalesce(_day(F.col(end)), F.lit(OPEN_END))
     )
-    blocks = table.where("__lo < __hi").select(
-        *keys, order, F.inline(_blocks(F.col("__lo"), F.col("__hi")))
-    )
+    blocks = _blocks(table.where("__lo < __hi"), [*keys, order])
     first = blocks.groupBy(*keys, "level", "block").agg(F.min(order).alias("__first"))
 
     day = _day(F.col("__date"))
