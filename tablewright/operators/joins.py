@@ -142,10 +142,11 @@ def name_variants(first_names: Column, surname: Column) -> Column:
 
 
 def _spoken(df: DataFrame, speaker: str, date: str) -> DataFrame:
+    # Never NULL: a NULL test in front of the join would compute the keys a second time.
     return df.select(
         "*",
-        speaker_surname(F.col(speaker)).alias("__surname"),
-        speaker_key(F.col(speaker)).alias("__variant"),
+        F.coalesce(speaker_surname(F.col(speaker)), F.lit("")).alias("__surname"),
+        F.coalesce(speaker_key(F.col(speaker)), F.lit("")).alias("__variant"),
         F.col(date).cast("date").alias("__date"),
     )
 

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-CHUNK = 1 << 18
+CHUNK = 1 << 22  # at most so many rows of one group meet in a task
 
 
 @dataclass(frozen=True)
