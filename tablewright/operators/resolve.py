@@ -18,10 +18,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import normalise, title_case, words
-from ..session import cut_lineage
+from ..session import spread, write_once
 
 EXTENDS = "(extends)"
 SALTS = 32  # templates without a literal spread over this many join keys
+NO_LIMIT = 1 << 30
 _SEP = "\u0001"
 _NODE = ["dictionary", "text", "path"]
 _HIT = ["id", "value", "hit_dictionary", "source"]
@@ -105,35 +106,64 @@ def unknown_names(aliases: DataFrame, choices: DataFrame) -> DataFrame:
     )
 
 
-def _templates(aliases: DataFrame) -> DataFrame:
-    """Templates ready to match: blank literals do not take part in matching, only in rendering."""
+def _templates(aliases: DataFrame, direct: DataFrame) -> DataFrame:
+    """Templates ready to match; blank literals take part in rendering only.
+
+    Per part: the tokens of a literal, the fewest tokens all later parts need, and the most a
+    slot can take. A slot whose dictionary has no templates hits directly or not at all, so
+    it takes no more tokens than the longest text there.
+    """
     table = aliases.where(F.instr("alias", "{") > 0).select(
         "dictionary",
         "alias",
         "target",
         F.filter(parse_template(F.col("alias")), lambda p: p["slot"] | (F.size(p["tokens"]) > 0)).alias("parts"),
-        parse_template(F.col("target")).alias("render"),
+        F.transform(
+            parse_template(F.col("target")),
+            lambda p: F.struct(*[p[f].alias(f) for f in ("slot", "name", "flags", "literal")]),
+        ).alias("render"),
     )
-    table = table.withColumn("slots", F.filter("parts", lambda p: p["slot"])).where(F.size("slots") > 0)
-    # A slot whose dictionary has no templates can only hit directly.
     deep = table.select(F.col("dictionary").alias("name"), F.lit(True).alias("deep")).distinct()
-    slot = table.select("dictionary", "alias", "target", F.posexplode("slots").alias("i", "s"))
-    flat = (
-        slot.select("dictionary", "alias", "target", "i", F.col("s.name").alias("name"))
-        .join(deep, "name", "left")
-        .groupBy("dictionary", "alias", "target")
-        .agg(
-            F.transform(
-                F.array_sort(F.collect_set(F.struct("i", F.coalesce("deep", F.lit(False)).alias("deep")))),
-                lambda x: x["deep"],
-            ).alias("deep")
-        )
+    longest = direct.groupBy(F.col("dictionary").alias("name")).agg(
+        F.max(F.size(F.split("text", " "))).alias("longest")
+    )
+    slot = table.select("dictionary", "alias", "target", F.posexplode("parts").alias("i", "p")).where("p.slot")
+    slot = slot.select("dictionary", "alias", "target", "i", "p.name", "p.flags")
+    free = F.col("deep") | (F.size("flags") > 0)
+    slot = slot.join(deep, "name", "left").join(longest, "name", "left").select(
+        "dictionary",
+        "alias",
+        "target",
+        F.struct(
+            "i",
+            "name",
+            "flags",
+            F.coalesce("deep", F.lit(False)).alias("deep"),
+            F.when(F.coalesce(free, F.lit(False)), NO_LIMIT).otherwise(F.coalesce("longest", F.lit(0))).alias("most"),
+        ).alias("s"),
     )
+    slots = slot.groupBy("dictionary", "alias", "target").agg(F.array_sort(F.collect_set("s")).alias("slots"))
+    width = lambda p: F.greatest(F.size(p["tokens"]), F.lit(1))
+
+    def measured(p: Column, i: Column) -> Column:
+        later = F.slice("parts", i + 2, F.size("parts"))
+        own = F.filter("slots", lambda s: s["i"] == i)
+        return F.struct(
+            p["slot"].alias("slot"),
+            p["tokens"].alias("tokens"),
+            F.aggregate(later, F.lit(0), lambda n, q: n + width(q)).alias("rest"),
+            F.get(own, F.lit(0))["most"].alias("most"),
+        )
+
     literal = F.filter("parts", lambda p: ~p["slot"])
-    return table.join(flat, ["dictionary", "alias", "target"]).select(
-        "*",
+    return table.join(slots, ["dictionary", "alias", "target"]).select(
+        "dictionary",
+        "target",
+        "render",
+        "slots",
+        F.transform("parts", measured).alias("parts"),
         F.get(F.get(literal, F.lit(0))["tokens"], F.lit(0)).alias("anchor"),
-        F.aggregate("parts", F.lit(0), lambda n, p: n + F.greatest(F.size(p["tokens"]), F.lit(1))).alias("least"),
+        F.aggregate("parts", F.lit(0), lambda n, p: n + width(p)).alias("least"),
     )
 
 
@@ -181,25 +211,23 @@ def _lay_parts(df: DataFrame, kmax: int) -> DataFrame:
     rows multiply in place, and a literal that does not stand where it should drops the row.
     """
     n = F.size("tokens")
-    rest_columns = df.columns
+    kept = df.columns
+    none = F.array().cast("array<int>")
     df = df.select("*", F.array().cast("array<struct<start:int,stop:int>>").alias("spans"), F.lit(0).alias("at"))
     for p in range(kmax):
         part = F.get("parts", F.lit(p))
         width = F.size(part["tokens"])
-        rest = F.aggregate(
-            F.slice("parts", F.lit(p + 2), F.greatest(F.size("parts"), F.lit(1))),
-            F.lit(0),
-            lambda acc, x: acc + F.greatest(F.size(x["tokens"]), F.lit(1)),
-        )
-        none = F.array().cast("array<int>")
-        stop = n - rest
+        stop = F.least(n - part["rest"], F.col("at") + part["most"])
         fits = F.slice("tokens", F.col("at") + 1, width) == part["tokens"]
-        last = F.lit(p + 1) == F.size("parts")
-        slot_ends = F.when(stop <= F.col("at"), none).when(last, F.array(n)).otherwise(
-            F.sequence(F.col("at") + 1, stop)
+        last = part["rest"] == 0
+        slot_ends = (
+            F.when(stop <= F.col("at"), none)
+            .when(~last, F.sequence(F.col("at") + 1, stop))
+            .when(stop == n, F.array(n))
+            .otherwise(none)
         )
         ends = (
-            F.when(F.lit(p) >= F.size("parts"), F.array(F.col("at")))
+            F.when(part.isNull(), F.array(F.col("at")))
             .when(part["slot"], slot_ends)
             .when((F.col("at") + width <= n) & fits, F.array(F.col("at") + width))
             .otherwise(none)
@@ -207,7 +235,7 @@ def _lay_parts(df: DataFrame, kmax: int) -> DataFrame:
         is_slot = F.coalesce(part["slot"], F.lit(False))
         span = F.array(F.struct(F.col("at").alias("start"), F.col("stop")))
         df = df.select("*", F.explode(ends).alias("stop")).select(
-            *rest_columns,
+            *kept,
             F.when(is_slot, F.concat("spans", span)).otherwise(F.col("spans")).alias("spans"),
             F.col("stop").alias("at"),
         )
@@ -216,13 +244,26 @@ def _lay_parts(df: DataFrame, kmax: int) -> DataFrame:
 
 def token_splits(df: DataFrame, tokens: str, k: int) -> DataFrame:
     """All splits of a token array into ``k`` consecutive parts, as ``split``; none when too short."""
-    slot = F.struct(F.lit(True).alias("slot"), F.array().cast("array<string>").alias("tokens"))
+    slots = [
+        F.struct(
+            F.lit(True).alias("slot"),
+            F.array().cast("array<string>").alias("tokens"),
+            F.lit(k - 1 - p).alias("rest"),
+            F.lit(NO_LIMIT).alias("most"),
+        )
+        for p in range(k)
+    ]
     asked = df.withColumnRenamed(tokens, "tokens") if tokens != "tokens" else df
-    laid = _lay_parts(asked.withColumn("parts", F.array_repeat(slot, k)).where(F.size("tokens") >= k), k)
+    laid = _lay_parts(asked.where(F.size("tokens") >= k).withColumn("parts", F.array(*slots)), k)
     split = F.transform("spans", lambda s: _span_text("tokens", s))
     return laid.withColumn("split", split).drop("parts", "spans").withColumnRenamed("tokens", tokens)
 
 
+def _count(text) -> Column:
+    """Tokens of a normalised text."""
+    return F.size(F.split(text, " "))
+
+
 def _span_text(tokens: str, span: Column) -> Column:
     return F.array_join(F.slice(tokens, span["start"] + 1, span["stop"] - span["start"]), " ")
 
@@ -234,19 +275,19 @@ class _Plan:
     """The dictionary side of a resolution, written once, with its few size facts."""
 
     def __init__(self, choices, aliases, inflections):
-        self.names = cut_lineage(name_index(choices))
-        self.direct = cut_lineage(direct_hits(self.names, aliases))
-        self.inflect = cut_lineage(inflection_table(inflections)) if inflections is not None else None
-        self.templates = cut_lineage(_templates(aliases))
+        self.names = write_once(name_index(choices), "names")
+        self.direct = write_once(direct_hits(self.names, aliases), "direct")
+        self.inflect = write_once(inflection_table(inflections), "inflections") if inflections is not None else None
+        self.templates = write_once(_templates(aliases, self.direct), "templates")
 
         def flags_of(col):
             return F.max(F.aggregate(col, F.lit(0), lambda n, p: F.greatest(n, F.size(p["flags"]))))
 
         facts = self.templates.agg(
             F.max(F.size("parts")), F.max(F.size("slots")), F.max(F.size("render")),
-            flags_of("parts"), flags_of("render"),
-        ).first()
-        self.parts, self.slots, self.renders, self.part_flags, self.render_flags = (n or 0 for n in facts)
+            flags_of("slots"), flags_of("render"), F.max(F.exists("slots", lambda s: ~s["deep"]).cast("int")),
+        ).first()
+        self.parts, self.slots, self.renders, self.part_flags, self.render_flags, self.leaves = (n or 0 for n in facts)
         # Texts get shorter on the way down unless an inflection adds words.
         grows = self.inflect is not None and not self.inflect.where(
             F.size(words(F.col("result"))) > F.size(words(F.col("form")))
@@ -256,32 +297,35 @@ class _Plan:
 
 def _lay_templates(nodes: DataFrame, plan: _Plan) -> DataFrame:
     """Templates laid over nodes: one row per fitting split with its child questions ``c0, c1, …``."""
-    asked = nodes.withColumn("tokens", words(F.col("text")))
+    asked = spread(nodes).withColumn("tokens", F.filter(F.split("text", " "), lambda w: w != ""))
     anchored = plan.templates.where("anchor IS NOT NULL")
     free = plan.templates.where("anchor IS NULL")
     by_token = asked.withColumn("anchor", F.explode(F.array_distinct("tokens"))).join(
         anchored, ["dictionary", "anchor"]
     )
     salted = asked.withColumn("__salt", F.pmod(F.hash("text"), F.lit(SALTS)))
-    spread = free.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    by_dictionary = salted.join(spread, ["dictionary", "__salt"]).drop("__salt")
+    copies = free.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    by_dictionary = salted.join(copies, ["dictionary", "__salt"]).drop("__salt")
     met = by_token.unionByName(by_dictionary).where(F.size("tokens") >= F.col("least"))
-    rows = _lay_parts(met, plan.parts)
+    rows = _lay_parts(met, plan.parts).select(*_NODE, "target", "render", "slots", "tokens", "spans")
 
     for i in range(plan.slots):
         slot = F.get("slots", F.lit(i))
         there = F.size("slots") > i
-        rows = rows.withColumn(f"__t{i}", F.when(there, _span_text("tokens", F.get("spans", F.lit(i)))))
-        rows = apply_flags(rows, f"__t{i}", slot["flags"], plan.part_flags, plan.inflect)
-        text = normalise(F.col(f"__t{i}"))
-        mark = F.concat_ws(_SEP, slot["name"], text)
-        rows = rows.where(~there | ~F.array_contains("path", F.when(there, mark).otherwise(F.lit(""))))
-        path = F.array_sort(F.array_distinct(F.concat("path", F.array(mark))))
+        rows = rows.withColumn("__t", F.when(there, _span_text("tokens", F.get("spans", F.lit(i)))))
+        if plan.part_flags:
+            rows = apply_flags(rows, "__t", slot["flags"], plan.part_flags, plan.inflect)
+            rows = rows.withColumn("__t", normalise(F.col("__t")))
+        rows = rows.withColumn("__m", F.when(there, F.concat_ws(_SEP, slot["name"], "__t")).otherwise(F.lit("")))
+        rows = rows.where(~F.array_contains("path", F.col("__m")))
+        path = F.array_sort(F.array_distinct(F.concat("path", F.array("__m"))))
         if not plan.keep_path:
-            size = F.size(words(text))
-            path = F.filter(path, lambda e: F.size(words(F.substring_index(e, _SEP, -1))) <= size)
-        child = F.struct(slot["name"].alias("dictionary"), text.alias("text"), path.alias("path"))
-        rows = rows.withColumn(f"c{i}", F.when(there, child)).drop(f"__t{i}")
+            size = _count("__t")
+            path = F.filter(path, lambda e: _count(F.substring_index(e, _SEP, -1)) <= size)
+        child = F.struct(slot["name"].alias("dictionary"), F.col("__t").alias("text"), path.alias("path"))
+        rows = rows.withColumn(f"c{i}", F.when(there, child)).drop("__t", "__m")
+        if not plan.leaves:
+            continue
         # A slot that can only hit directly must do so, or the row goes now.
         direct = plan.direct.select(
             F.col("dictionary").alias("__d"), F.col("text").alias("__x"), F.lit(True).alias("__hit")
@@ -291,7 +335,7 @@ def _lay_templates(nodes: DataFrame, plan: _Plan) -> DataFrame:
             (F.col(f"c{i}.dictionary") == F.col("__d")) & (F.col(f"c{i}.text") == F.col("__x")),
             "left",
         )
-        open_slot = ~there | F.get("deep", F.lit(i)) | F.col("__hit")
+        open_slot = ~there | slot["deep"] | F.col("__hit")
         rows = rows.where(F.coalesce(open_slot, F.lit(False))).drop("__d", "__x", "__hit")
     return rows.select(*_NODE, "target", "render", "slots", *[f"c{i}" for i in range(plan.slots)])
 
@@ -359,14 +403,14 @@ def resolve_entities(
     top = asked.select("dictionary", "text").distinct().withColumn("path", F.array().cast("array<string>"))
 
     levels = []  # (nodes, laid templates)
-    nodes = cut_lineage(top)
+    nodes = write_once(top, "nodes")
     while plan.slots:
-        rows = cut_lineage(_lay_templates(nodes, plan))
+        rows = write_once(_lay_templates(nodes, plan), "laid")
         levels.append((nodes, rows))
         if rows.isEmpty():
             break
         below = rows.select(F.explode(F.array_compact(F.array(*[f"c{i}" for i in range(plan.slots)]))).alias("c"))
-        nodes = cut_lineage(below.select("c.*").distinct())
+        nodes = write_once(below.select("c.*").distinct(), "nodes")
     if not levels:
         levels.append((nodes, None))
 
@@ -375,7 +419,7 @@ def resolve_entities(
         here = nodes.join(plan.direct, ["dictionary", "text"]).select(*_NODE, *_HIT)
         if hits is not None:
             here = here.unionByName(_answer(rows, hits, plan)).distinct()
-        hits = cut_lineage(here)
+        hits = write_once(here, "hits")
     return asked.join(hits.drop("path"), ["dictionary", "text"]).select("dictionary", "mention", *_HIT)
 
 
