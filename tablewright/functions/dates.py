@@ -68,8 +68,9 @@ def repair_digits(c: Column) -> Column:
 
 def forecast_time(c: Column) -> Column:
     """``2017-01-05-13-00`` to ``2017-01-05T13-00``; anything else is NULL."""
-    when = F.try_to_timestamp(c, F.lit("yyyy-MM-dd-HH-mm"))
-    return F.date_format(when, "yyyy-MM-dd'T'HH-mm")
+    # The text is kept as written; parsing only tells whether it is a time.
+    valid = F.try_to_timestamp(c, F.lit("yyyy-MM-dd-HH-mm")).isNotNull()
+    return F.when(valid, F.concat(F.substring(c, 1, 10), F.lit("T"), F.substring(c, 12, 5)))
 
 
 def title_year_ranges(c: Column) -> Column:

@@ -45,7 +45,7 @@ def links_by_host(t: Tables):
 
 @query("P2", "WITH" + LINKS_SQL + "SELECT src_url, pos, href, trim(anchor_text) AS anchor_text FROM links")
 def page_links(t: Tables):
-    return G.extract_links(t.pages)
+    return G.extract_links(t.pages).withColumn("pos", F.col("pos").cast("bigint"))
 
 
 @query(
@@ -60,7 +60,7 @@ def nav_links_filtered(t: Tables):
     rest = t.pages.select("page_id", F.posexplode(P.drop_first(found, 1)).alias("pos", "a"))
     text = F.trim(F.regexp_replace("a", "<[^>]*>", ""))
     return rest.where(text.rlike(r"^\p{Lu}")).select(
-        "page_id", (F.col("pos") + 1).alias("pos"), F.regexp_extract("a", H.HREF, 1).alias("href")
+        "page_id", (F.col("pos") + 1).cast("bigint").alias("pos"), F.regexp_extract("a", H.HREF, 1).alias("href")
     )
 
 

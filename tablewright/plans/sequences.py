@@ -115,7 +115,7 @@ def turns_with_clock(t: Tables):
            AND (r_regionkey = 4 OR make_date(1993 + r_regionkey * 3, 1, 1) > make_date(year, 6, 15))
         GROUP BY key
     )
-    SELECT key, n AS rowno, CASE n WHEN 1 THEN '14:05' ELSE '15:10' END AS time,
+    SELECT key, n::BIGINT AS rowno, CASE n WHEN 1 THEN '14:05' ELSE '15:10' END AS time,
            CASE n WHEN 1 THEN CASE WHEN office THEN 'PIRMININKAS.' ELSE 'PIRMININKAS' END WHEN 2 THEN 'J. ' || sur
                   ELSE 'PIRMININKAS.' END AS speaker,
            CASE n WHEN 1 THEN 'Labas rytas.' || chr(10) || chr(10) || 'Pradedame.'
