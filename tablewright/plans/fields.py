@@ -313,10 +313,9 @@ def long_dates(t: Tables):
         .when(shape == 2, F.concat(F.lit("Biografija. Gimė "), year, F.lit("m. "), month, F.lit(" "), day, F.lit("d. Kaune")))
         .otherwise(F.concat(F.lit("Gimė "), F.date_format("o_orderdate", "yyyy MM dd")))
     )
-    found = X.first_group(
-        D.repair_digits(written),
-        r"Gim[eė] (\d{4} \d{2} \d{2}|\d{4} m\. \p{L}+ \d+ d\.|\d{4} \p{L}+ \d+ d\.)",
-    )
+    # Fixed value: how a biography states a birth date.
+    birth = r"Gim[eė] (\d{4} \d{2} \d{2}|\d{4} m\. \p{L}+ \d+ d\.|\d{4} \p{L}+ \d+ d\.)"
+    found = X.first_group(D.repair_digits(written), birth)
     return t.orders.select("o_orderkey", D.long_date_to_iso(found).alias("born"))
 
 

@@ -245,8 +245,10 @@ def name_popularity(t: Tables):
         F.lit("]})</script>"),
     )
     pages = t.part.select("p_partkey", html.alias("html"))
-    ranks = H.script_json(F.col("html"), r"var tops = (\{[^}]+\});", "map<string,string>")
-    values = H.script_json(F.col("html"), r"data: (\[[^\]]+\])", "array<bigint>")
+    # How the page script assigns its two literals.
+    tops, data = r"var tops = (\{[^}]+\});", r"data: (\[[^\]]+\])"
+    ranks = H.script_json(F.col("html"), tops, "map<string,string>")
+    values = H.script_json(F.col("html"), data, "array<bigint>")
     series = pages.select("p_partkey", F.inline(Q.popularity(ranks, values)))
     return Q.series_stats(series, ["p_partkey"], "value", "rank")
 
