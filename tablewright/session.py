@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,23 +26,15 @@ def build_session(app: str = "tablewright", master: str | None = None, **conf) -
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``; where it is unset, one in the warehouse.
 
-    Only a local session may fall back to a temporary folder: on a cluster the
+    Both are folders that all executors reach. Never a temporary folder: on a cluster the
     executors would each write to their own disk and lose it with the executor.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(root)
-        return root
-    root = spark.sparkContext.getCheckpointDir()
-    if root:
-        return root
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    root = tempfile.mkdtemp(prefix="tablewright-")
-    spark.sparkContext.setCheckpointDir(root)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    root = root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(root)
     return root
 
 

@@ -7,7 +7,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from tablewright.session import build_session
 
     session = build_session(
@@ -17,6 +17,8 @@ def spark():
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "6g",
+            "spark.checkpoint.dir": f"file://{tmp_path_factory.mktemp('shared')}",
+            "spark.sql.warehouse.dir": f"file://{tmp_path_factory.mktemp('warehouse')}",
         },
     )
     session.sparkContext.setLogLevel("ERROR")
