@@ -71,7 +71,7 @@ class CoTrained:
 def inputs(docs: DataFrame, doc_id: str, text: str, lang: str, source: str, n_chars: str) -> DataFrame:
     """Row, id and what the two views are made of."""
     base = packed(docs, doc=col(doc_id), body=whole(text), lang=col(lang), source=col(source), size=col(n_chars))
-    size = F.coalesce(F.col("size").cast("double"), F.lit(0.0))
+    size = F.greatest(F.coalesce(F.col("size").cast("double"), F.lit(0.0)), F.lit(0.0))
     return base.select(
         "row",
         "doc",
@@ -187,7 +187,8 @@ def score_quality(
     Classifiers are fitted on at most ``max_labelled`` labelled and ``max_unlabelled`` other rows,
     taken by the smallest hash of the id. All documents are scored, over their whole texts.
 
-    * Null texts count as empty; null metadata is a value of its own; a null size is zero.
+    * Null texts count as empty; null metadata is a value of its own; a null or negative size is
+      zero.
     * Several labels of an id count by their mean, one half as good. Labels that are null or
       without a document count for nothing; a null id has no label.
     * If the labelled rows are not of two classes nothing can be learned: all scores are one half.

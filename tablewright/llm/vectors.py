@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -52,7 +50,7 @@ def centres(sample: np.ndarray, most: int, threshold: float, rounds: int = 8, se
     return found[stays]
 
 
-def robust_prune(vectors: np.ndarray, near: int = 32, degree: int = 12, alpha: float = 1.2) -> np.ndarray:
+def robust_prune(vectors: np.ndarray, near: int = 40, degree: int = 16, alpha: float = 1.2) -> np.ndarray:
     """Out-neighbours of each vector among all of a block, padded with -1.
 
     Candidates are the nearest ``near``. The closest one is taken, and every candidate that is
@@ -86,6 +84,18 @@ def robust_prune(vectors: np.ndarray, near: int = 32, degree: int = 12, alpha: f
     return out
 
 
+def with_back_links(graph: np.ndarray) -> np.ndarray:
+    """Each vector's list, and behind it up to as many of the vectors that list it."""
+    n, degree = graph.shape
+    order = np.argsort(graph, axis=None, kind="stable")
+    to = graph.ravel()[order]
+    rank = np.arange(len(to)) - np.searchsorted(to, to)
+    take = (to >= 0) & (rank < degree)
+    back = np.full((n, degree), -1, np.int64)
+    back[to[take], rank[take]] = order[take] // degree
+    return np.concatenate([graph, back], 1)
+
+
 def medoids(vectors: np.ndarray, many: int = 16) -> np.ndarray:
     """Entry points: the vector nearest to the mean, then each time the one least like all so far."""
     chosen = [int((vectors @ vectors.mean(0)).argmax())]
@@ -233,7 +243,7 @@ def build_graph(laid: DataFrame) -> DataFrame:
 
     def built(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("node", ignore_index=True)
-        graph = robust_prune(_stack(rows["vector"]))
+        graph = with_back_links(robust_prune(_stack(rows["vector"])))
         names = rows["node"].to_numpy()
         return pd.DataFrame({"node": names, "near": [names[g[g >= 0]] for g in graph]})
 
