@@ -118,30 +118,37 @@ def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[int, ...]]:
 def fillings(counts: np.ndarray, room: int, most: int) -> list[tuple[int, tuple[int, ...]]]:
     """Undominated ways to fill ``room`` from the sizes left, as (waste, sizes), best first.
 
-    For every size that fits, the filling that starts with it and goes on with the largest size
-    that still fits; of those the ``most`` that waste least, without one whose sizes all fit in
-    the places of another's.
+    A size of exactly ``room`` dominates all else. Otherwise, for every size that fits, the
+    filling that starts with it and goes on with the largest size that still fits; of those the
+    ``most`` that waste least, without one whose sizes all fit in the places of another's. The
+    fillings grow together, size by size, until enough of them waste nothing or none can grow.
     """
-    index = np.arange(room + 1)
-    below = np.maximum.accumulate(np.where(counts[: room + 1] > 0, index, 0))
-    first = np.flatnonzero(counts[: room + 1])
+    if not room or counts[room]:
+        return [(0, (room,) if room else ())]
+    first = np.flatnonzero(counts[: room + 1])[::-1]
     if not len(first):
         return [(room, ())]
-    picked, left, last = [first], room - first, first
-    while True:
-        fits = np.minimum(left, last)
-        size = below[fits]
-        if picked[-1] is first:  # a size of which one is left cannot be taken twice
-            again = (size == first) & (counts[first] < 2)
-            size = np.where(again, below[np.maximum(fits - again, 0)], size)
+    below = np.zeros(room + 1, np.int64)
+    below[first] = first
+    below = np.maximum.accumulate(below)
+    left = room - first
+    fits = np.minimum(left, first)
+    size = below[fits]
+    again = (size == first) & (counts[first] < 2)  # a size of which one is left cannot be taken twice
+    if again.any():
+        size[again] = below[size[again] - 1]
+    picked = [first, size]
+    left = left - size
+    while np.count_nonzero(left == 0) < 2 * most:
+        size = below[np.minimum(left, size)]
         if not size.any():
             break
         picked.append(size)
-        left, last = left - size, np.where(size > 0, size, last)
-    order = np.lexsort((-first, left))[: 3 * most]
+        left = left - size
+    order = np.argsort(left, kind="stable")[: 3 * most]
     found: list[tuple[int, tuple[int, ...]]] = []
-    for at in order:
-        sizes = tuple(int(p[at]) for p in picked if p[at])
+    for at in order.tolist():
+        sizes = tuple(x for p in picked if (x := int(p[at])))
         if len(sizes) > 2 and any(sizes.count(s) > counts[s] for s in set(sizes)):
             continue
         if not any(dominates(other, sizes) for _, other in found):
@@ -149,7 +156,7 @@ def fillings(counts: np.ndarray, room: int, most: int) -> list[tuple[int, tuple[
         if len(found) == most:
             break
     if not found:  # all ran out of copies; the largest size alone is always there
-        found = [(room - int(first[-1]), (int(first[-1]),))]
+        found = [(room - int(first[0]), (int(first[0]),))]
     return found
 
 
@@ -161,7 +168,7 @@ def dominates(one: tuple[int, ...], other: tuple[int, ...]) -> bool:
     return len(other) <= len(one) and all(a >= b for a, b in zip(sorted(one, reverse=True), sorted(other, reverse=True), strict=False))
 
 
-def complete_bins(lengths: np.ndarray, capacity: int, *, branches: int = 4, effort: int = 2) -> list[tuple[int, ...]]:
+def complete_bins(lengths: np.ndarray, capacity: int, *, branches: int = 4, effort: float = 1.25) -> list[tuple[int, ...]]:
     """Sizes of each bin, in as few bins as the search finds.
 
     Branch and bound over whole bins: the largest size left opens a bin, which is filled in one
@@ -190,14 +197,16 @@ def complete_bins(lengths: np.ndarray, capacity: int, *, branches: int = 4, effo
         if not stack[-1]:  # nothing more to try here: undo the bin that led here
             stack.pop()
             if bins:
-                np.add.at(counts, list(bins.pop()), 1)
+                for size in bins.pop():
+                    counts[size] += 1
                 spent.pop()
             continue
         waste, sizes = stack[-1].pop()
         if spent[-1] + waste > slack:
             continue
         budget -= 1
-        np.subtract.at(counts, list(sizes), 1)
+        for size in sizes:
+            counts[size] -= 1
         bins.append(sizes)
         spent.append(spent[-1] + waste)
         if counts.any():
