@@ -7,8 +7,10 @@ cannot do, so two small scanners walk one page at a time inside ``mapInPandas``.
 
 from __future__ import annotations
 
+import json
 import re
 from html import unescape
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,36 +20,17 @@ from .text import let
 HIDDEN = (
     r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
 )
-LINK = r"(?is)<a\s[^>]*>.*?</a\s*>"
 HREF = r"""(?is)^<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
 LINE_TAGS = "p|br|div|li|ul|ol|tr|table|h[1-6]|article|section|header|footer|nav|title|body|head"
 
-# The character references that pages use by name.
-ENTITIES = {
-    "&nbsp;": "\u00a0",
-    "&copy;": "©",
-    "&reg;": "®",
-    "&middot;": "·",
-    "&ndash;": "–",
-    "&mdash;": "—",
-    "&hellip;": "…",
-    "&laquo;": "«",
-    "&raquo;": "»",
-    "&bdquo;": "„",
-    "&ldquo;": "“",
-    "&rdquo;": "”",
-    "&lsquo;": "‘",
-    "&rsquo;": "’",
-    "&euro;": "€",
-    "&deg;": "°",
-    "&times;": "×",
-    "&shy;": "\u00ad",
-    "&quot;": '"',
-    "&apos;": "'",
-    "&lt;": "<",
-    "&gt;": ">",
-    "&amp;": "&",
-}
+# The standard's references, from the standard library: names that end in a semicolon by their
+# first letter, the old names that may stand without one, and what numbers below 160 mean.
+NAMED = {letter: {} for letter in sorted({name[0] for name in html5})}
+for _name, _chars in html5.items():
+    if _name.endswith(";"):
+        NAMED[_name[0]][_name[:-1]] = _chars
+BARE = sorted((name for name in html5 if not name.endswith(";")), key=len, reverse=True)
+LOW_CODES = [unescape(f"&#{code};") for code in range(160)]
 
 
 def visible(html: Column) -> Column:
@@ -55,26 +38,61 @@ def visible(html: Column) -> Column:
     return F.regexp_replace(html, HIDDEN, "")
 
 
-def decode_entities(c: Column) -> Column:
-    """Named and numeric character references to characters; text without one is untouched."""
+def anchors(html: Column) -> Column:
+    """The anchor elements in order, each up to its end tag, the next anchor, or the page's end."""
+    pieces = F.filter(F.split(visible(html), r"(?i)(?=<a\s)"), lambda p: p.rlike(r"(?i)^<a\s[^>]*>"))
+    return F.transform(pieces, lambda p: F.regexp_extract(p, r"(?is)^.*?(?=</a\s*>|\z)", 0))
+
 
-    def numeric(piece: Column) -> Column:
-        code = F.coalesce(
-            F.nullif(F.regexp_extract(piece, r"^&#([0-9]{1,7});", 1), F.lit("")).cast("bigint"),
-            F.conv(F.nullif(F.regexp_extract(piece, r"^&#[xX]([0-9A-Fa-f]{1,6});", 1), F.lit("")), 16, 10)
-            .cast("bigint"),
+def decode_entities(c: Column) -> Column:
+    """Character references to characters, each decoded once; text without one is untouched.
+
+    Follows the HTML standard as the standard library does: numbers in both bases, all names
+    with a semicolon, and the old names also without one.
+    """
+    named = F.from_json(F.lit(json.dumps(NAMED)), "map<string,map<string,string>>")
+    low = F.from_json(F.lit(json.dumps(LOW_CODES)), "array<string>")
+    too_large = F.lit(0x110000).cast("bigint")
+
+    def char(code: Column) -> Column:
+        plain = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        return (
+            F.when(code < 160, F.get(low, code.cast("int")))
+            .when((code > 0x10FFFF) | code.between(0xD800, 0xDFFF), F.lit("\ufffd"))
+            .when(code.between(0xFDD0, 0xFDEF) | (code.bitwiseAND(0xFFFE) == 0xFFFE), F.lit(""))
+            .otherwise(plain)
         )
-        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-        rest = F.regexp_replace(piece, r"^&#[0-9A-Fa-fxX]+;", "")
-        return F.when(code.between(1, 0x10FFFF), F.concat(char, rest)).otherwise(piece)
 
-    def decoded(c: Column) -> Column:
-        c = F.array_join(F.transform(F.split(c, "(?=&#)"), numeric), "")
-        for name, char in ENTITIES.items():
-            c = F.replace(c, F.lit(name), F.lit(char))
-        return c
+    def decoded(piece: Column) -> Column:
+        decimal = F.regexp_extract(piece, r"^&#([0-9]+);?", 1)
+        hexadecimal = F.regexp_extract(piece, r"^&#[xX]0*([0-9A-Fa-f]+);?", 1)
+        name = F.regexp_extract(piece, r"^&([A-Za-z][A-Za-z0-9]*);", 1)
+        bare = F.regexp_extract(piece, f"^&({'|'.join(BARE)})", 1)
+        by_name = F.try_element_at(F.try_element_at(named, F.left(name, F.lit(1))), name)
+        old = F.try_element_at(F.try_element_at(named, F.left(bare, F.lit(1))), bare)
+        after = lambda n: piece.substr(n + 1, F.length(piece))
+        number = F.length(F.regexp_extract(piece, r"^&#(?:[0-9]+|[xX][0-9A-Fa-f]+);?", 0))
+        return (
+            F.when(~piece.startswith("&"), piece)
+            .when(decimal != "", F.concat(char(F.coalesce(decimal.try_cast("bigint"), too_large)), after(number)))
+            .when(
+                hexadecimal != "",
+                F.concat(
+                    char(F.when(F.length(hexadecimal) > 6, too_large).otherwise(F.conv(hexadecimal, 16, 10).cast("bigint"))),
+                    after(number),
+                ),
+            )
+            .when(by_name.isNotNull(), F.concat(by_name, after(F.length(name) + 2)))
+            .when(bare != "", F.concat(old, after(F.length(bare) + 1)))
+            .otherwise(piece)
+        )
 
-    return let(c, lambda c: F.when(F.contains(c, F.lit("&")), decoded(c)).otherwise(c))
+    return let(
+        c,
+        lambda c: F.when(
+            F.contains(c, F.lit("&")), F.array_join(F.transform(F.split(c, "(?=&)"), decoded), "")
+        ).otherwise(c),
+    )
 
 
 def join_lines(c: Column) -> Column:

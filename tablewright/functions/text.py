@@ -45,8 +45,8 @@ def is_upper(word: Column) -> Column:
 
 
 def words(c: Column) -> Column:
-    """Blank-separated words; empty text has none."""
-    return F.filter(F.split(F.trim(c), r"\s+"), lambda w: w != "")
+    """Words between blanks of any kind, also no-break ones; empty text has none."""
+    return F.filter(F.split(c, r"(?U)\s+"), lambda w: w != "")
 
 
 def case_split(c: Column) -> Column:
@@ -135,7 +135,8 @@ def strip_tone_accents(names: pd.Series) -> pd.Series:
 
 # ---- transcript lines -------------------------------------------------------
 
-# How a transcript marks a clock line, the chair and a speaker.
+# How a transcript marks a clock line, the chair and a speaker, a clock text, and
+# the bracket line behind a speaker.
 SPEAKER_MARK = (
     r"^\s*\d+\.\d+ val\.$"
     r"|^PIRMININK(?:AS|Ė)\b\.?"
@@ -162,7 +163,10 @@ def bracket_items(c: Column) -> Column:
     """The trimmed items of the first line that starts ``(a, b).``; NULL without one."""
     return let(
         F.regexp_extract(c, BRACKETS, 1),
-        lambda inner: F.when(inner != "", F.transform(F.split(inner, ","), lambda x: F.trim(x))),
+        lambda inner: F.when(
+            inner != "",
+            F.transform(F.split(inner, ","), lambda x: F.regexp_replace(x, r"(?U)^\s+|\s+$", "")),
+        ),
     )
 
 

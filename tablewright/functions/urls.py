@@ -21,18 +21,39 @@ def host(url: Column) -> Column:
     return F.lower(F.try_parse_url(url, F.lit("HOST")))
 
 
+def without_dots(path: Column) -> Column:
+    """A path with its ``.`` and ``..`` segments resolved."""
+    parts = F.split(path, "/")
+    steps = F.aggregate(
+        parts,
+        F.array().cast("array<string>"),
+        lambda done, part: F.when(part == ".", done)
+        .when(part == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.least(F.size(done), F.lit(1)))))
+        .otherwise(F.concat(done, F.array(part))),
+    )
+    ends_in_dots = F.element_at(parts, -1).isin(".", "..")
+    return F.array_join(F.when(ends_in_dots, F.concat(steps, F.array(F.lit("")))).otherwise(steps), "/")
+
+
 def absolute(base: Column, href: Column) -> Column:
-    """A link target against the page it stands on."""
-    scheme = F.substring_index(base, ":", 1)
-    site = F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*", 0)
-    folder = F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(?:/[^?#]*/|/)?", 0)
-    folder = F.when(folder.endswith("/"), folder).otherwise(F.concat(folder, F.lit("/")))
+    """A link target against the page it stands on, merged as RFC 3986 says.
+
+    A target with a scheme stays as it is; an empty one is the page itself, without its fragment.
+    """
+    site = F.regexp_extract(base, r"^[^:/?#]+:(?://[^/?#]*)?", 0)
+    page = F.regexp_extract(base, r"^[^:/?#]+:(?://[^/?#]*)?([^?#]*)", 1)
+    query = F.regexp_extract(base, r"^[^?#]*(\?[^#]*)?", 1)
+    path = F.regexp_extract(href, r"^[^?#]*", 0)
+    tail = href.substr(F.length(path) + 1, F.length(href))
+    folder = F.regexp_extract(page, r"^.*/", 0)
+    folder = F.when(page == "", F.lit("/")).otherwise(folder)
     return (
         F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), href)
-        .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
-        .when(href.startswith("/"), F.concat(site, href))
-        .when(href.startswith("#"), F.concat(F.substring_index(base, "#", 1), href))
-        .otherwise(F.concat(folder, href))
+        .when(href.startswith("//"), F.concat(F.substring_index(base, ":", 1), F.lit(":"), href))
+        .when(path.startswith("/"), F.concat(site, without_dots(path), tail))
+        .when(path != "", F.concat(site, without_dots(F.concat(folder, path)), tail))
+        .when(tail.startswith("?"), F.concat(site, page, tail))
+        .otherwise(F.concat(site, page, query, tail))
     )
 
 

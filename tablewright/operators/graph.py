@@ -5,23 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import scratch_path, write_once
 
 
 def reachable(links: DataFrame, seeds: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """``node, depth`` of everything reached from ``seeds.node``, with the least depth.
 
-    One round per link distance. Each round reads the written edges and the written visited
-    set, so the plan stays short and a lost executor repeats one round only.
+    One round per link distance, each written as a folder of one table. A round joins only the
+    newest folder to the edges and reads the table for what was reached before, so the plan
+    does not grow with the rounds and a lost executor repeats one round only.
     """
-    edges = cut_lineage(links.select(F.col(src).alias("node"), F.col(dst).alias("next")).distinct())
-    frontier = cut_lineage(seeds.select("node").distinct().withColumn("depth", F.lit(0)))
-    visited, rounds = frontier, 0
+    spark = links.sparkSession
+    edges = write_once(links.select(F.col(src).alias("node"), F.col(dst).alias("next")).distinct(), "edges")
+    root, depth = scratch_path(spark, "reached"), 0
+    kept = edges.select("node").schema
+
+    def written(nodes: DataFrame) -> DataFrame:
+        folder = f"{root}/depth={depth}"
+        nodes.write.parquet(folder)
+        return spark.read.schema(kept).parquet(folder)
+
+    frontier = written(seeds.select("node").where("node IS NOT NULL").distinct())
     while not frontier.isEmpty():
-        rounds += 1
-        found = frontier.join(edges, "node").select(F.col("next").alias("node")).distinct()
-        frontier = cut_lineage(
-            found.join(visited, "node", "left_anti").withColumn("depth", F.lit(rounds))
-        )
-        visited = visited.unionByName(frontier)
-    return visited
+        known = spark.read.parquet(root).select("node")
+        depth += 1
+        found = frontier.join(edges, "node").select(F.col("next").alias("node")).where("node IS NOT NULL").distinct()
+        frontier = written(found.join(known, "node", "left_anti"))
+    return spark.read.parquet(root).select("node", "depth")

@@ -84,6 +84,13 @@ def period_lookup(
     return found.join(held, "__order").drop("__order")
 
 
+def days_only(df: DataFrame, *columns: str) -> None:
+    """Refuse columns that hold a time of day, which a join on days would cut off."""
+    for name in columns:
+        if df.schema[name].dataType.typeName().startswith("timestamp"):
+            raise ValueError(f"{name} holds a time of day; cast it to date")
+
+
 def valid_at_join(
     facts: DataFrame,
     periods: DataFrame,
@@ -97,17 +104,18 @@ def valid_at_join(
 ) -> DataFrame:
     """Left join each fact to the first period, by ``order``, with start < date < end.
 
-    Both bounds are strict and a NULL end is open. ``order`` is a whole number, unique in
+    Both bounds are strict and a NULL end is open. Dates are days: a column with a time of day
+    is refused, cast it first. ``order`` is a whole number, unique in
     ``periods`` (or in ``lookup``, which then holds the payload); ``keys`` are equal on both
     sides. Only distinct (keys, date) pairs are looked up; the facts pick the outcome up by an
     equality join.
     """
     keys = list(keys)
+    days_only(facts, on_date)
+    days_only(periods, start, end)
     rows = facts.withColumn("__date", F.col(on_date).cast("date"))
     dates = rows.select(*keys, "__date").distinct()
     chosen = period_lookup(dates, periods, start, end, order, payload, keys, lookup)
-    if not keys:
-        chosen = F.broadcast(chosen)  # at most one row per day of the calendar
     joined = rows.join(chosen, [*keys, "__date"], "left")
     return joined.select(*facts.columns, *[F.col(f"__p_{c}").alias(c) for c in payload])
 
@@ -117,7 +125,7 @@ def valid_at_join(
 
 def speaker_key(speaker: Column) -> Column:
     """Runs of dots and blanks to one blank, upper case, trimmed."""
-    return F.trim(F.upper(F.regexp_replace(speaker, r"[.\s]+", " ")))
+    return F.trim(F.upper(F.regexp_replace(speaker, r"(?U)[.\s]+", " ")))
 
 
 def speaker_surname(speaker: Column) -> Column:
@@ -198,7 +206,7 @@ def attribute_roles(speeches: DataFrame, members: DataFrame, chairs: DataFrame,
         holders, "start", "end", "seq", ["c_vardas", "c_pavarde"],
     )
     joined = spoken.join(_members_lookup(spoken, members), [*SPEAKER, "__date"], "left").join(
-        F.broadcast(office), "__date", "left"  # at most one row per day of the calendar
+        office, "__date", "left"
     )
 
     def person(field: str) -> Column:
@@ -279,17 +287,20 @@ def mayor_flag(name: Column, term: Column) -> tuple[Column, Column]:
 
 
 def code_key(code: Column) -> Column:
-    """A numeric code, read as 123 or 123.0, as plain text."""
-    return code.try_cast("double").try_cast("bigint").cast("string")
+    """A numeric code, read as 123 or 123.0, as plain text; long codes keep all digits."""
+    return F.floor(code.cast("string").try_cast("decimal(38,4)")).cast("string")
+
 
+def enrich_by_code(facts: DataFrame, names: DataFrame, code: str, cols: Sequence[str], order: str) -> DataFrame:
+    """Left join names to facts on the normalised code; the first name row, by ``order``, stands.
 
-def enrich_by_code(facts: DataFrame, names: DataFrame, code: str, cols: Sequence[str]) -> DataFrame:
-    """Left join names to facts on the normalised code; the first name row of a code stands."""
+    Facts without a code are no key of the join: they meet a NULL code, which matches nothing.
+    """
     table = (
-        names.select(code_key(F.col(code)).alias("__code"), *cols)
-        .groupBy("__code")
-        .agg(F.min(F.struct(*cols)).alias("__n"))
+        names.select(code_key(F.col(code)).alias("__code"), F.col(order).alias("__order"), *cols)
         .where("__code IS NOT NULL")
+        .groupBy("__code")
+        .agg(F.min_by(F.struct(*cols), "__order").alias("__n"))
     )
     joined = facts.withColumn("__code", code_key(F.col(code))).join(table, "__code", "left")
     return joined.select(*facts.columns, *[F.col("__n")[c].alias(c) for c in cols])

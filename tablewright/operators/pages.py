@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import html as H
 from ..functions.keys import row_hash
-from ..session import spread
+from ..functions.urls import absolute, redirect_target
 from .project import last_wins_map
 
 
@@ -26,18 +26,23 @@ def valid_pages(pages: DataFrame, check: Column) -> tuple[DataFrame, DataFrame]:
 
 
 def extract_links(pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """One row per link: ``src_url, pos, href, anchor_text`` and the ``keep`` columns."""
-    found = F.regexp_extract_all(H.visible(F.col("html")), F.lit(H.LINK), F.lit(0))
+    """One row per link: ``src_url, pos, href, target, anchor_text`` and the ``keep`` columns.
+
+    ``href`` is as written, ``target`` the same against the page it stands on.
+    """
+    found = H.anchors(F.col("html"))
     links = pages.select(*keep, F.col("url").alias("src_url"), F.posexplode(found).alias("pos", "__a"))
     href = F.concat(*[F.regexp_extract("__a", H.HREF, i) for i in (1, 2, 3)])
     text = H.decode_entities(F.regexp_replace("__a", r"<[^>]*>", " "))
-    return links.where(F.col("__a").rlike(H.HREF)).select(
+    read = links.where(F.col("__a").rlike(H.HREF)).select(
         *keep,
         "src_url",
         "pos",
-        H.decode_entities(href).alias("href"),
+        F.trim(H.decode_entities(href)).alias("href"),
         F.trim(F.regexp_replace(text, r"[\s\u00a0]+", " ")).alias("anchor_text"),
     )
+    target = absolute(F.col("src_url"), F.col("href"))
+    return read.select(*keep, "src_url", "pos", "href", target.alias("target"), "anchor_text")
 
 
 def extract_text(pages: DataFrame, keep: Sequence[str] = ("page_id",)) -> DataFrame:
@@ -57,7 +62,7 @@ def extract_text_without(
             yield pd.DataFrame({keep: batch[keep], "text": texts})
 
     key = pages.schema[keep].dataType.simpleString()
-    return spread(pages.select(keep, "html")).mapInPandas(read, f"`{keep}` {key}, text string")
+    return pages.select(keep, "html").mapInPandas(read, f"`{keep}` {key}, text string")
 
 
 ROW = "struct<table_no:int,row_no:int,cells:array<struct<text:string,href:string,is_header:boolean>>>"
@@ -88,7 +93,7 @@ def page_tables(pages: DataFrame, keep: str = "page_id") -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), _lists(page_ends, row)], [keep, "rows"])
 
     key = pages.schema[keep].dataType.simpleString()
-    return spread(pages.select(keep, "html")).mapInArrow(read, f"`{keep}` {key}, rows array<{ROW}>")
+    return pages.select(keep, "html").mapInArrow(read, f"`{keep}` {key}, rows array<{ROW}>")
 
 
 def _lists(ends: list[int], values: pa.Array) -> pa.Array:
@@ -144,8 +149,6 @@ def follow_redirects(pages: DataFrame, links: DataFrame) -> DataFrame:
 
     ``pages`` has ``url, html``; ``links`` has ``href, source``.
     """
-    from ..functions.urls import redirect_target
-
     target = redirect_target(H.meta_content(F.col("html"), "http-equiv", "refresh"))
     hops = pages.select(F.col("url").alias("href"), target.alias("target")).where("target IS NOT NULL")
     onward = links.join(hops, "href").select(F.col("target").alias("href"), "source")

@@ -126,6 +126,11 @@ def conditional_column(df: DataFrame, name: str, code: Column, codes: Sequence[s
     return df.withColumn(name, F.when(code.isin(*codes), value))
 
 
+def in_list(df: DataFrame, col: str, change: Callable[[Column], Column]) -> DataFrame:
+    """Rewrite every element of an array of structs; the list keeps its order and length."""
+    return df.withColumn(col, F.transform(col, change))
+
+
 def union_tagged(sources: dict, tag: str) -> DataFrame:
     """Tables of one shape, or nearly, under a tag column."""
     parts = [df.withColumn(tag, F.lit(value)) for value, df in sources.items()]

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import normalise, title_case, words
-from ..session import spread, write_once
+from ..session import write_once
 
 EXTENDS = "(extends)"
 SALTS = 32  # templates without a literal spread over this many join keys
@@ -78,7 +78,7 @@ def parse_template(c: Column) -> Column:
         slot = piece.rlike(r"^\{[^}]+\}$")
         inner = F.regexp_replace(piece, r"^\{|\}$", "")
         flags = F.filter(
-            F.transform(F.split(F.substring(F.regexp_extract(inner, ":.*", 0), 2, 1 << 20), ","), lambda f: F.trim(f)),
+            F.transform(F.split(F.regexp_extract(inner, "(?s):(.*)", 1), ","), lambda f: F.trim(f)),
             lambda f: f != "",
         )
         return F.struct(
@@ -297,7 +297,7 @@ class _Plan:
 
 def _lay_templates(nodes: DataFrame, plan: _Plan) -> DataFrame:
     """Templates laid over nodes: one row per fitting split with its child questions ``c0, c1, …``."""
-    asked = spread(nodes).withColumn("tokens", F.filter(F.split("text", " "), lambda w: w != ""))
+    asked = nodes.withColumn("tokens", F.filter(F.split("text", " "), lambda w: w != ""))
     anchored = plan.templates.where("anchor IS NOT NULL")
     free = plan.templates.where("anchor IS NULL")
     by_token = asked.withColumn("anchor", F.explode(F.array_distinct("tokens"))).join(

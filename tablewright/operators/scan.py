@@ -5,13 +5,16 @@ one group may hold a third of all rows. Here the sequence of each group is cut
 into chunks of ``width`` order units: running values are taken inside a chunk,
 every chunk is summarised with a map-side combined aggregate, the summaries are
 scanned per group, and the carried-in value is joined back on (group, chunk).
-The detail rows are shuffled once; the join reuses that partitioning.
+The detail rows are shuffled once; the join reuses that partitioning. Give all values of a
+sequence in one call: every call reads its input for the rows and for the summaries.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -61,7 +64,7 @@ def running(
     width: int = CHUNK,
     keep_chunk: bool = False,
 ) -> DataFrame:
-    """Add one running column per spec. ``keys`` are non-null; ``order`` is a whole number.
+    """Add one running column per spec. ``order`` is a whole number; NULL keys are a group too.
 
     With ``keep_chunk`` the result keeps its ``__chunk`` column, and a further pass over it
     with the same keys and order finds the rows already in place.
@@ -90,7 +93,9 @@ def running(
         spec.over(f"__v{i}", inside.rowsBetween(Window.unboundedPreceding, -1 if spec.before else 0)).alias(f"__l{i}")
         for i, spec in enumerate(specs)
     ]
-    joined = rows.select(*columns, "__chunk", *local).join(carried, [*keys, "__chunk"], "left")
+    named = carried.withColumnsRenamed({k: f"__k{i}" for i, k in enumerate([*keys, "__chunk"])})
+    same = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate([*keys, "__chunk"])]
+    joined = rows.select(*columns, "__chunk", *local).join(named, reduce(and_, same), "left")
     return joined.select(
         *columns,
         *(["__chunk"] if keep_chunk else []),

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.company import clean_company, lt_to_eur
-from ..session import spread, write_once
+from ..session import write_once
 from .joins import attribute_roles
 from .log import as_list
 from .project import exclude_pairs
@@ -41,6 +43,7 @@ def fold_kv_runs(
 ) -> DataFrame:
     """One record per run of pairs ``pos, k, v``: ``run, record`` (a map, last value wins).
 
+    ``unlabelled`` is the last value that stands under a NULL label, which no map can hold.
     Listed pairs are left out and a run without pairs gives no record. Within a run the last
     value per field is taken by a combining aggregate, so only the fields of a record, not its
     pairs, come together in one row.
@@ -48,9 +51,10 @@ def fold_kv_runs(
     keys = as_list(keys)
     kept = exclude_pairs(run_numbers(pairs, keys, first_key, width), "k", "v", skip)
     fields = kept.groupBy(*keys, "run", "k").agg(F.max_by("v", "pos").alias("v"))
-    fields = fields.where("k IS NOT NULL")
+    pair = F.when(F.col("k").isNotNull(), F.struct("k", "v"))
     return fields.groupBy(*keys, "run").agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "v")))).alias("record")
+        F.map_from_entries(F.array_sort(F.collect_list(pair))).alias("record"),
+        F.max(F.when(F.col("k").isNull(), F.col("v"))).alias("unlabelled"),
     )
 
 
@@ -81,7 +85,21 @@ def declaration_pairs(pairs: DataFrame) -> DataFrame:
 
 # ---- segments and turns -------------------------------------------------------
 
-_OPEN, _CLOSE = "\u0001", "\u0002"
+# Signs that mark places in a text; a text's own are written as an escape meanwhile.
+_OPEN, _CLOSE, _ESCAPE = "\u0001", "\u0002", "\u0003"
+_ESCAPES = ((_ESCAPE, "c"), (_OPEN, "a"), (_CLOSE, "b"))
+
+
+def _escaped(c: Column) -> Column:
+    for sign, letter in _ESCAPES:
+        c = F.replace(c, F.lit(sign), F.lit(_ESCAPE + letter))
+    return c
+
+
+def _unescaped(c: Column) -> Column:
+    for sign, letter in reversed(_ESCAPES):
+        c = F.replace(c, F.lit(_ESCAPE + letter), F.lit(sign))
+    return c
 
 
 def segment_text(docs: DataFrame, pattern: str, keep: Sequence[str], text: str = "text") -> DataFrame:
@@ -89,15 +107,14 @@ def segment_text(docs: DataFrame, pattern: str, keep: Sequence[str], text: str =
 
     Text before the first marker is dropped. Map-only: the text is marked in place and split.
     """
-    plain = F.translate(F.col(text), _OPEN + _CLOSE, "")
-    marked = F.regexp_replace(plain, f"(?m)({pattern})", f"{_OPEN}$1{_CLOSE}")
+    marked = F.regexp_replace(_escaped(F.col(text)), f"(?m)({pattern})", f"{_OPEN}$1{_CLOSE}")
     parts = T.let(F.split(marked, _OPEN), lambda p: F.slice(p, F.lit(2), F.size(p)))
     rows = docs.select(*keep, F.posexplode(parts).alias("pos", "__s"))
     return rows.select(
         *keep,
         "pos",
-        F.substring_index("__s", _CLOSE, 1).alias("marker"),
-        F.substring_index("__s", _CLOSE, -1).alias("tail"),
+        _unescaped(F.substring_index("__s", _CLOSE, 1)).alias("marker"),
+        _unescaped(F.substring_index("__s", _CLOSE, -1)).alias("tail"),
     )
 
 
@@ -110,15 +127,18 @@ def assemble_turns(
     time: Column | None = None,
     sep: str = "\n\n",
     width: int = CHUNK,
+    also: Sequence[Running] = (),
 ) -> DataFrame:
     """Merge segments ``pos`` into turns: ``rowno`` (from 1), ``text``, the opener's columns.
 
+    ``also`` are further values running along the segments, which ``carried`` may name.
+
     A segment that opens no turn belongs to the open one; segments before the first opener
     vanish. ``time`` is the last clock up to the end of the turn, or the document's first.
     """
     doc = as_list(doc)
     base = segments.withColumn("__open", F.coalesce(is_speaker, F.lit(False))).withColumn("__text", text)
-    specs = [Running("rowno", "sum", F.col("__open").cast("bigint"))]
+    specs = [Running("rowno", "sum", F.col("__open").cast("bigint")), *also]
     if time is not None:
         base = base.withColumn("__time", time)
         specs.append(Running("__clock", "last", F.col("__time")))
@@ -134,15 +154,12 @@ def assemble_turns(
     turns = numbered.where("rowno > 0").groupBy(*doc, "rowno").agg(*aggs)
     if time is None:
         return turns
-    opening = (
-        base.where("__time IS NOT NULL")
-        .groupBy(*doc)
-        .agg(F.min_by("__time", "pos").alias("__first"))
-    )
-    timed = turns.join(opening, doc, "left")
-    return timed.select(
-        *doc, "rowno", F.coalesce("__t", "__first").alias("time"), "text", *carried
-    )
+    # A turn before the first clock has the document's first: only documents are joined.
+    opening = base.where("__time IS NOT NULL").groupBy(*doc).agg(F.min_by("__time", "pos").alias("__first"))
+    opening = opening.withColumnsRenamed({d: f"__d{i}" for i, d in enumerate(doc)})
+    same = reduce(and_, [F.col(d).eqNullSafe(F.col(f"__d{i}")) for i, d in enumerate(doc)])
+    timed = turns.join(opening, same, "left")
+    return timed.select(*doc, "rowno", F.coalesce("__t", "__first").alias("time"), "text", *carried)
 
 
 def classify_segments(segments: DataFrame, emphasis: Column) -> DataFrame:
@@ -180,11 +197,10 @@ def parse_transcripts(
     among them ``date``.
     """
     heads = F.array_compact(F.transform("emphasis", T.emphasis_head))
-    marked = spread(docs).withColumn("__heads", heads)
+    marked = docs.withColumn("__heads", heads)
     cut = segment_text(marked, f"(?U:{T.SPEAKER_MARK})", ["key", *keep, "__heads"])
     # Text is cut and classified once; the passes below read the columns they need.
     segments = write_once(classify_segments(cut, F.col("__heads")).drop("__heads"), "segments")
-    segments = carry_forward(segments, ["key"], "pos", F.col("pirmininkas"), "chair_name")
     turns = assemble_turns(
         segments,
         ["key"],
@@ -192,6 +208,7 @@ def parse_transcripts(
         F.col("text"),
         [*keep, "speaker", "parliamentary_group", "pirmininkas", "is_chair", "chair_name"],
         time=F.col("time"),
+        also=[Running("chair_name", "last", F.col("pirmininkas"))],
     )
     named = attribute_roles(write_once(turns, "turns"), members, chairs, "date")
     return named.select(
@@ -215,12 +232,13 @@ def parse_transcripts(
 def merge_intervals(df: DataFrame, group: Sequence[str], lo: str, hi: str, width: int = CHUNK) -> DataFrame:
     """Union of whole-number intervals per group: ``group, lo, hi``; touching ones merge.
 
-    Intervals of one start are combined before the shuffle, and the running maximum of ends
-    goes over chunks of starts.
+    Intervals of one start are combined before the shuffle and written once, as the two passes
+    over chunks of starts read them more than once.
     """
     group = as_list(group)
-    starts = df.groupBy(*group, F.col(lo).cast("bigint").alias("lo")).agg(
-        F.max(F.col(hi).cast("bigint")).alias("hi")
+    starts = write_once(
+        df.groupBy(*group, F.col(lo).cast("bigint").alias("lo")).agg(F.max(F.col(hi).cast("bigint")).alias("hi")),
+        "starts",
     )
     reach = running(
         starts, group, "lo", Running("__reach", "max", F.col("hi"), before=True), width=width, keep_chunk=True

@@ -11,15 +11,19 @@ from ..functions import geo
 from ..session import cut_lineage
 
 LEAF = 32  # distinct places a grid cell may hold before the search refines it
-MAX_DEPTH = 24
+
+
+FINE = 4  # a polygon's box is laid on a grid of up to 2 ** FINE + 1 cells a side
 
 
 def contains_join(points: DataFrame, polygons: DataFrame) -> DataFrame:
     """``point_id, polygon_id`` for every point strictly inside a polygon.
 
-    ``points`` has ``point_id, x, y``; ``polygons`` has ``polygon_id, edges``. A polygon is
-    laid on the grid whose cell is just larger than its box, so it covers at most four cells
-    whatever its size; a point probes one cell on each grid in use.
+    ``points`` has ``point_id, x, y``; ``polygons`` has ``polygon_id, edges``. A polygon is cut
+    into cells in proportion to its box. A cell that no edge comes near lies inside as a whole,
+    and answers without a test, or is left out; any other holds only the edges of its band that
+    a ray to the right can meet. So the points of a large polygon are spread over many keys, and
+    none meets the whole outline. A point probes one cell on each grid in use.
     """
     xs, ys = F.transform("edges", lambda e: e["x1"]), F.transform("edges", lambda e: e["y1"])
     box = polygons.select(
@@ -31,26 +35,38 @@ def contains_join(points: DataFrame, polygons: DataFrame) -> DataFrame:
         F.array_max(ys).alias("y_hi"),
     )
     extent = F.greatest(F.col("x_hi") - F.col("x_lo"), F.col("y_hi") - F.col("y_lo"), F.lit(1e-9))
-    box = box.withColumn("grid", F.ceil(F.log2(extent)).cast("int"))
+    box = box.withColumn("grid", (F.ceil(F.log2(extent)) - FINE).cast("int"))
     # At most one number per power of two in the data: a handful.
     grids = [r.grid for r in box.select("grid").distinct().collect()]
-
-    def cell(v: Column, grid: Column) -> Column:
-        return F.floor(v / F.pow(F.lit(2.0), grid)).cast("bigint")
-
-    g = F.col("grid")
-    covered = box.withColumn(
-        "cx", F.explode(F.sequence(cell(F.col("x_lo"), g), cell(F.col("x_hi"), g)))
-    ).withColumn("cy", F.explode(F.sequence(cell(F.col("y_lo"), g), cell(F.col("y_hi"), g))))
+    size = F.pow(F.lit(2.0), F.col("grid"))
+
+    def cells(lo: str, hi: str) -> Column:
+        return F.explode(F.sequence(F.floor(F.col(lo) / size).cast("bigint"), F.floor(F.col(hi) / size).cast("bigint")))
+
+    def banded(axis: str, lo: Column, hi: Column | None) -> Column:
+        ends = lambda e: (e[f"{axis}1"], e[f"{axis}2"])
+        above = lambda e: F.greatest(*ends(e)) >= lo
+        return F.filter("edges", lambda e: above(e) if hi is None else above(e) & (F.least(*ends(e)) <= hi))
+
+    hair = size * 1e-9  # an edge that ends at a cell's border counts for both sides
+    x0, y0 = F.col("cx") * size, F.col("cy") * size
+    covered = (
+        box.withColumn("cy", cells("y_lo", "y_hi"))
+        .withColumn("edges", banded("y", y0 - hair, y0 + size + hair))
+        .withColumn("cx", cells("x_lo", "x_hi"))
+        .withColumn("edges", banded("x", x0 - hair, None))
+        .withColumn("near", F.exists("edges", lambda e: F.least(e["x1"], e["x2"]) <= x0 + size + hair))
+        .where(F.col("near") | geo.inside(F.col("edges"), x0 + size / 2, y0 + size / 2))
+        .select("polygon_id", "grid", "cx", "cy", F.when(F.col("near"), F.col("edges")).alias("edges"))
+    )
     probes = points.select(
         "point_id", "x", "y", F.explode(F.array(*[F.lit(n) for n in grids]).cast("array<int>")).alias("grid")
     )
-    probes = probes.withColumn("cx", cell(F.col("x"), g)).withColumn("cy", cell(F.col("y"), g))
-    near = probes.join(covered, ["grid", "cx", "cy"]).where(
-        F.col("x").between(F.col("x_lo"), F.col("x_hi"))
-        & F.col("y").between(F.col("y_lo"), F.col("y_hi"))
-    )
-    return near.where(geo.inside(F.col("edges"), F.col("x"), F.col("y"))).select("point_id", "polygon_id")
+    probes = probes.withColumn("cx", F.floor(F.col("x") / size).cast("bigint"))
+    probes = probes.withColumn("cy", F.floor(F.col("y") / size).cast("bigint"))
+    met = probes.join(covered, ["grid", "cx", "cy"])
+    held = F.col("edges").isNull() | geo.inside(F.col("edges"), F.col("x"), F.col("y"))
+    return met.where(held).select("point_id", "polygon_id")
 
 
 def nearest_join(
@@ -98,7 +114,7 @@ def nearest_join(
         return [F.floor(F.col(f"{prefix}{d}") / F.lit(size)).cast("bigint") for d in dims]
 
     depth = 0
-    while depth < MAX_DEPTH:
+    while True:  # ends: distinct places part once cells are smaller than what a double tells apart
         if depth == 1:  # dense: the places are read once per level from here on
             right_places = cut_lineage(right_places)
         crowd = right_places.groupBy(*cells("r", depth)).count().agg(F.max("count")).first()[0]

@@ -105,10 +105,42 @@ def legacy_report(t: Tables):
 @query(
     "S11 S12",
     """
-    SELECT 'http://www.example.org/archive?channel=0&page=' || i AS key
-    FROM (SELECT unnest(range(1, (SELECT count(*) + 1 FROM documents))) AS i)
+    SELECT doc_id, 'http://www.example.org/' || source || '/archive?doc=' || doc_id || '&page=' || page AS key
+    FROM (SELECT doc_id, source, unnest(range(1, n_chars // 2000 + 2)) AS page FROM documents)
     """,
 )
 def archive_seeds(t: Tables):
-    # One archive page per document.
-    return R.seed_urls(t.spark, "http://www.example.org/archive?channel=0&page={page}", 1, t.documents.count() + 1)
+    # An archive page for every 2,000 characters of a document.
+    last = F.floor(F.col("n_chars") / 2000) + 2
+    template = "http://www.example.org/{source}/archive?doc={doc_id}&page={page}"
+    return R.seed_urls(t.documents, template, F.lit(1).cast("bigint"), last, keep=["doc_id"])
+
+
+@query(
+    "S6",
+    """
+    WITH a AS (
+        SELECT 'thing' AS dictionary, split_part(p_name, ' ', 2) AS target, split_part(p_name, ' ', 1) AS alias FROM part
+    )
+    SELECT 'choice' AS kind, 'client' AS dictionary, c_custkey::VARCHAR AS name, c_name AS value FROM customer
+    UNION ALL SELECT 'choice', 'product', p_partkey::VARCHAR, p_name || ', ' || p_brand FROM part
+    UNION ALL SELECT DISTINCT 'alias', dictionary, target, alias FROM a
+    """,
+)
+def dictionary_folder(t: Tables):
+    # A folder per dictionary: choices of clients and products, and things with indented aliases.
+    root = scratch_path(t.spark, "index")
+    comma = lambda *parts: F.concat_ws(",", *parts).alias("value")
+    t.customer.select(comma(F.col("c_custkey"), "c_name")).write.text(f"{root}/client/choices.txt")
+    product = F.concat_ws(", ", "p_name", "p_brand")
+    t.part.select(comma(F.col("p_partkey"), product)).write.text(f"{root}/product/choices.txt")
+    thing, alias = F.substring_index("p_name", " ", -1), F.substring_index("p_name", " ", 1)
+    block = t.part.groupBy(thing.alias("thing")).agg(F.array_sort(F.collect_set(alias)).alias("aliases"))
+    lines = F.concat(F.col("thing"), F.array_join(F.transform("aliases", lambda a: F.concat(F.lit("\n    "), a)), ""))
+    block.select(lines.alias("value")).coalesce(1).write.text(f"{root}/thing/aliases.txt")
+    choices, aliases = R.load_dictionary(t.spark, root)
+    return choices.select(
+        F.lit("choice").alias("kind"), "dictionary", F.col("id").cast("string").alias("name"), F.col("name").alias("value")
+    ).unionByName(
+        aliases.select(F.lit("alias").alias("kind"), "dictionary", F.col("target").alias("name"), F.col("alias").alias("value"))
+    )

@@ -17,7 +17,7 @@ from .base import Tables, query
 
 
 @query(
-    "P1 S8 P17",
+    "S8 P17",
     """
     SELECT l_orderkey, l_linenumber, o_orderdate AS "order.date", o_orderpriority AS "order.priority"
     FROM (SELECT l_orderkey, l_linenumber, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority
@@ -93,7 +93,7 @@ def override_prices(t: Tables):
 
 
 @query(
-    "P12 U4",
+    "P12",
     """
     SELECT event_id, event_type, CASE WHEN event_type IN ('click', 'view') THEN props END AS download FROM events
     """,
@@ -226,26 +226,22 @@ def declared_other(t: Tables):
     return P.section_keys(declarations(t), "entries", "KITI DUOMENYS", ["key"]).select("key", "other")
 
 
-FIRST_LINE = r"regexp_extract(text, '^[^\n]*')"
-
-
 @query(
     "X1 X2",
-    rf"""
-    SELECT doc_id, lower(trim(regexp_replace(line, '[^\p{{L}}\p{{N}}_]+', ' ', 'g'))) AS norm,
-           array_to_string(list_transform(regexp_extract_all(line, '\p{{L}}+|[^\p{{L}}]+'),
+    r"""
+    SELECT doc_id, lower(trim(regexp_replace(text, '[^\p{L}\p{N}_]+', ' ', 'g'))) AS norm,
+           array_to_string(list_transform(regexp_extract_all(text, '\p{L}+|[^\p{L}]+'),
                lambda w: upper(w[1]) || lower(w[2:])), '') AS title
-    FROM (SELECT doc_id, replace({FIRST_LINE}, 'ß', 'ss') AS line FROM documents)
+    FROM (SELECT doc_id, replace(text, 'ß', 'ss') AS text FROM documents)
     """,
 )
 def normalise_names(t: Tables):
-    line = F.replace(F.regexp_extract("text", r"^[^\n]*", 0), F.lit("ß"), F.lit("ss"))
-    docs = t.documents.select("doc_id", line.alias("line"))
-    return docs.select("doc_id", X.normalise(F.col("line")).alias("norm"), X.title_case(F.col("line")).alias("title"))
+    docs = t.documents.select("doc_id", F.replace("text", F.lit("ß"), F.lit("ss")).alias("text"))
+    return docs.select("doc_id", X.normalise(F.col("text")).alias("norm"), X.title_case(F.col("text")).alias("title"))
 
 
 @query(
-    "X4 X26",
+    "X4",
     r"""
     WITH raw AS (
         SELECT c_custkey, CASE c_custkey % 6
@@ -398,7 +394,7 @@ def tagged_titles(t: Tables):
     "X18 X19",
     """
     SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment END AS party,
-           CASE c_custkey % 3 WHEN 0 THEN 'V. Pavardenis|XYZ' WHEN 1 THEN 'V. Pavardenis' END AS others,
+           CASE c_custkey % 3 WHEN 0 THEN 'A. Keliautojas|KLM' WHEN 1 THEN 'A. Keliautojas' END AS others,
            CASE WHEN c_custkey % 3 = 2 THEN 'Ačiū (a, b). ' || c_name ELSE c_name END AS rest
     FROM customer
     """,
@@ -406,8 +402,8 @@ def tagged_titles(t: Tables):
 def bracket_lists(t: Tables):
     kind = F.col("c_custkey") % 3
     said = (
-        F.when(kind == 0, F.concat(F.lit(" (V. Pavardenis , "), "c_mktsegment", F.lit(", XYZ) .\n"), "c_name"))
-        .when(kind == 1, F.concat(F.lit("(V. Pavardenis). "), "c_name"))
+        F.when(kind == 0, F.concat(F.lit(" (A. Keliautojas\u00a0, "), "c_mktsegment", F.lit(",\nKLM) .\n"), "c_name"))
+        .when(kind == 1, F.concat(F.lit("(A. Keliautojas). "), "c_name"))
         .otherwise(F.concat(F.lit("Ačiū (a, b). "), "c_name"))
     )
     items = X.bracket_items(said)
@@ -447,7 +443,7 @@ def emphasis_heads(t: Tables):
     written = (
         F.when(kind == 0, F.concat(F.lit("PIRMININKĖ ("), "s_name"))
         .when(kind == 1, F.lit(" PIRMININKAS."))
-        .when(kind == 2, F.lit("PIRMININKAS (V. PAVARDENIS, FRAK)."))
+        .when(kind == 2, F.lit("PIRMININKAS (A. KELIAUTOJAS, KLM)."))
         .when(kind == 3, F.concat(F.lit("A. B. "), F.upper("s_name")))
         .otherwise(F.lit("Svarstymas"))
     )
@@ -455,7 +451,7 @@ def emphasis_heads(t: Tables):
 
 
 @query(
-    "X27 A8 S9",
+    "X27 A8",
     """
     SELECT p_partkey, p_name AS parish, 1800 + p_size AS start,
            CASE WHEN p_size % 2 = 0 THEN 1820 + p_size ELSE 1860 + p_size END AS end,
@@ -485,7 +481,7 @@ def parish_books(t: Tables):
     return out.select("p_partkey", "parish", *[F.coalesce(c, F.lit(0)).cast("int").alias(c) for c in ("start", "end", "duration")])
 
 
-@query("X13", "SELECT p_partkey, p_name || ' ąžuolė' AS name FROM part")
+@query("X13 U1", "SELECT p_partkey, p_name || ' ąžuolė' AS name FROM part")
 def plain_names(t: Tables):
     # Tone marks after the first letter of the name, and on letters with marks of their own.
     marked = F.concat(
@@ -607,7 +603,7 @@ def zipped_cells(t: Tables):
 
 
 @query(
-    "A12 P5",
+    "A12",
     "SELECT p_partkey, 'b' AS a, p_type AS kind FROM part",
 )
 def last_label_wins(t: Tables):
@@ -623,7 +619,7 @@ def last_label_wins(t: Tables):
     "SELECT p_partkey, p_name AS first_names, upper(p_brand) || ' ' || upper(p_type) AS surname FROM part",
 )
 def case_run_split(t: Tables):
-    runs = X.case_split(F.concat_ws("  ", "p_name", F.upper("p_brand"), F.upper("p_type")))
+    runs = X.case_split(F.concat_ws("\u00a0 ", "p_name", F.upper("p_brand"), F.upper("p_type")))
     return t.part.select("p_partkey", F.get(runs, F.lit(0)).alias("first_names"), F.get(runs, F.lit(1)).alias("surname"))
 
 
@@ -645,7 +641,7 @@ def line_children(t: Tables):
 
 
 @query(
-    "A6 P7",
+    "A6",
     """
     SELECT o_orderkey AS p_asm_id, o_custkey AS unit_id, 'F' || o_orderstatus AS unit, 'narys' AS duty, 'Frakcijose' AS kind
     FROM orders WHERE o_orderstatus <> 'P'
@@ -686,13 +682,14 @@ def row_keys(t: Tables):
 
 
 @query(
-    "X26 P4",
+    "X26 X8",
     r"""
-    SELECT page_id, trim(regexp_replace(replace(replace(regexp_extract(html, '<footer>([^<]*)', 1),
+    SELECT page_id, trim(regexp_replace(replace(replace(array_to_string(regexp_extract_all(html, '<footer>([^<]*)', 1), ' '),
                '&copy;', '©'), '&middot;', '·'), '\s+', ' ', 'g')) || ' ą€' AS footer
     FROM pages
     """,
 )
 def decoded_footers(t: Tables):
-    footer = F.concat(F.regexp_extract("html", r"<footer>([^<]*)", 1), F.lit("  &#261;­&#x20AC; "))
+    every = F.array_join(X.all_matches(F.col("html"), r"<footer>([^<]*)", 1), " ")
+    footer = F.concat(every, F.lit("\u00a0 &#261;\u00ad&#x20AC; "))
     return t.pages.select("page_id", X.clean_space(H.decode_entities(footer)).alias("footer"))

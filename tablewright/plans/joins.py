@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions import geo
+from ..functions.text import tagged_title
 from ..operators import joins as J
 from ..operators import project as P
 from ..operators import spatial as S
@@ -45,7 +46,7 @@ def valid_at(t: Tables):
         day("1995-01-01", first).alias("start"),
         F.when(F.col("s_suppkey") % 10 != 9, day("1995-01-01", first + F.col("s_suppkey") % 200)).alias("end"),
     )
-    orders = t.orders.select("o_orderkey", "o_orderdate")
+    orders = t.orders.select("o_orderkey", F.col("o_orderdate").cast("date").alias("o_orderdate"))
     found = J.valid_at_join(orders, periods, "o_orderdate", "start", "end", "seq", ["s_suppkey", "s_name"])
     return found.drop("o_orderdate")
 
@@ -66,7 +67,7 @@ MEMBERS_SQL = """
         FROM (SELECT *, list_transform(string_split(vardas, ' '), lambda w: w[1]) AS l FROM m)
     ), s AS (
         SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS d, l_linestatus = 'O' AS is_chair,
-               CASE l_linenumber % 5 WHEN 0 THEN 'J. ' WHEN 1 THEN 'J. P. ' WHEN 2 THEN 'K. J. Ą. ' WHEN 3 THEN '' ELSE 'Ą.J.K.' END
+               CASE l_linenumber % 5 WHEN 0 THEN 'J.' || chr(160) WHEN 1 THEN 'J. P. ' WHEN 2 THEN 'K. J. Ą. ' WHEN 3 THEN '' ELSE 'Ą.J.K.' END
                || upper('Pav' || translate(l_suppkey::VARCHAR, '0123456789', 'abcdefghij'))
                || CASE WHEN l_linenumber % 2 = 0 THEN '.' ELSE '' END AS speaker,
                l_returnflag
@@ -98,7 +99,7 @@ def speeches(t: Tables):
     """A speech per order line, its speaker written in one of five ways."""
     way = F.col("l_linenumber") % 5
     lead = (
-        F.when(way == 0, "J. ").when(way == 1, "J. P. ").when(way == 2, "K. J. Ą. ").when(way == 3, "").otherwise("Ą.J.K.")
+        F.when(way == 0, "J.\u00a0").when(way == 1, "J. P. ").when(way == 2, "K. J. Ą. ").when(way == 3, "").otherwise("Ą.J.K.")
     )
     dot = F.when(F.col("l_linenumber") % 2 == 0, ".").otherwise("")
     return t.lineitem.select(
@@ -113,7 +114,7 @@ def speeches(t: Tables):
 
 NAMED_SQL = r"""
     , asked AS (
-        SELECT DISTINCT speaker AS who, d, trim(upper(regexp_replace(speaker, '[.\s]+', ' ', 'g'))) AS variant FROM s
+        SELECT DISTINCT speaker AS who, d, trim(upper(regexp_replace(speaker, '[.\s\x{00A0}]+', ' ', 'g'))) AS variant FROM s
     ), named AS (
         SELECT who, d, arg_min(vardas, seq) AS vardas, arg_min(pavarde, seq) AS pavarde
         FROM asked JOIN v USING (variant) WHERE nuo < d AND (iki > d OR iki IS NULL) GROUP BY who, d
@@ -174,21 +175,27 @@ def role_attribution(t: Tables):
 @query(
     "J14",
     r"""
-    WITH heads AS (
-        SELECT conv_id, turn, role, upper(regexp_extract(text, '^[^\s]+')) AS head FROM conversations
+    WITH lines AS (
+        SELECT conv_id, turn, role, lines[i] AS line, i - 1 AS pos
+        FROM (SELECT *, unnest(range(1, len(lines) + 1)) AS i
+              FROM (SELECT conv_id, turn, role, string_split(text, chr(10)) AS lines FROM conversations))
+    ), heads AS (
+        SELECT conv_id, turn, role, pos, upper(regexp_extract(line, '^[^\s]+')) AS head FROM lines
     )
-    SELECT conv_id, turn, head FROM heads u
+    SELECT conv_id, turn, pos, head FROM heads u
     WHERE role = 'user' AND regexp_matches(head, '\p{Lu}') AND NOT regexp_matches(head, '[\p{Ll}\p{Lt}]')
       AND EXISTS (SELECT 1 FROM heads a WHERE a.role = 'assistant' AND a.conv_id = u.conv_id AND a.head = u.head)
     """,
 )
 def emphasised_heads(t: Tables):
-    heads = t.conversations.select(
-        "conv_id", "turn", "role", F.upper(F.regexp_extract("text", r"^[^\s]+", 0)).alias("head")
+    # Every line of a turn starts with a head.
+    lines = t.conversations.select("conv_id", "turn", "role", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    heads = lines.select(
+        "conv_id", "turn", "role", F.col("pos").cast("bigint").alias("pos"), F.upper(F.regexp_extract("line", r"^[^\s]+", 0)).alias("head")
     )
     marks = heads.where("role = 'assistant'").select("conv_id", F.col("head").alias("mark"))
     said = heads.where("role = 'user'").drop("role")
-    return J.emphasised(said, marks, "conv_id", "head", "mark").select("conv_id", "turn", "head")
+    return J.emphasised(said, marks, "conv_id", "head", "mark").select("conv_id", "turn", "pos", "head")
 
 
 # ---- space -------------------------------------------------------------------------
@@ -249,7 +256,7 @@ def points_in_areas(t: Tables):
 
 
 @query(
-    "J4 A7 S7",
+    "J4 A7",
     f"""
     WITH {AREAS_SQL}, p AS (SELECT c_custkey, {lon('(c_custkey + 5)')}::DOUBLE AS x, {lat('(c_custkey + 5)')}::DOUBLE AS y FROM customer)
     SELECT c_custkey AS osm_id,
@@ -272,16 +279,59 @@ def places_with_levels(t: Tables):
 @query(
     "A7",
     """
-    SELECT o_custkey, arg_max(o_orderstatus, o_orderkey) FILTER (WHERE o_orderpriority[1] = '1') AS admin_level_1,
-           max(o_orderkey) FILTER (WHERE o_orderpriority[1] = '1') AS admin_level_1_osm_id,
-           arg_max(o_orderstatus, o_orderkey) FILTER (WHERE o_orderpriority[1] = '2') AS admin_level_2,
-           max(o_orderkey) FILTER (WHERE o_orderpriority[1] = '2') AS admin_level_2_osm_id
-    FROM orders GROUP BY o_custkey
-    """,
+    SELECT o_custkey, """
+    + ", ".join(
+        f"""arg_max(o_orderstatus, o_orderkey) FILTER (WHERE o_orderpriority[1] = '{n}') AS admin_level_{n},
+            max(o_orderkey) FILTER (WHERE o_orderpriority[1] = '{n}') AS admin_level_{n}_osm_id"""
+        for n in range(1, 6)
+    )
+    + " FROM orders GROUP BY o_custkey",
 )
 def pivot_levels(t: Tables):
     orders = t.orders.withColumn("level", F.substring("o_orderpriority", 1, 1).cast("int"))
-    return P.pivot_levels(orders, "o_custkey", "level", [1, 2], "o_orderstatus", "o_orderkey")
+    return P.pivot_levels(orders, "o_custkey", "level", [1, 2, 3, 4, 5], "o_orderstatus", "o_orderkey")
+
+
+@query(
+    "J4 A7 X17 P1",
+    f"""
+    WITH {AREAS_SQL}, p AS (
+        SELECT *, {lon('(c_custkey + 5)')}::DOUBLE AS x, {lat('(c_custkey + 5)')}::DOUBLE AS y FROM customer
+    ), held AS (
+        SELECT c_custkey, max(n_nationkey) FILTER (WHERE level = 5) AS admin_level_5_osm_id,
+               arg_max(n_name, n_nationkey) FILTER (WHERE level = 5) AS admin_level_5,
+               max(n_nationkey) FILTER (WHERE level = 4) AS admin_level_4_osm_id,
+               arg_max(n_name, n_nationkey) FILTER (WHERE level = 4) AS admin_level_4
+        FROM p JOIN areas ON x > x0 AND y > y0 AND y < y0 + h AND x < x0 + w AND (y < y0 + h / 2 OR x < x0 + w / 2)
+        GROUP BY c_custkey
+    )
+    SELECT p.c_custkey AS osm_id, lower(c_mktsegment) AS type, c_nationkey * 1000 AS population,
+           CASE WHEN c_custkey % 3 > 0 THEN 'lt' END AS wikipedia_lang,
+           CASE WHEN c_custkey % 3 < 2 THEN c_name ELSE c_name || ': x' END AS wikipedia_title,
+           admin_level_5_osm_id, admin_level_5, admin_level_4_osm_id, admin_level_4
+    FROM p LEFT JOIN held USING (c_custkey)
+    """,
+)
+def place_records(t: Tables):
+    # A place with its tags, its article split into language and title, and the areas around it.
+    kind = F.col("c_custkey") % 3
+    article = (
+        F.when(kind == 0, F.col("c_name")).when(kind == 1, F.concat(F.lit("lt:"), "c_name")).otherwise(F.concat(F.lit("lt:"), "c_name", F.lit(": x")))
+    )
+    lang, title = tagged_title(article)
+    tags = P.project(
+        t.customer,
+        F.col("c_custkey"),
+        {
+            "type": F.lower("c_mktsegment"),
+            "population": F.col("c_nationkey") * 1000,
+            "wikipedia_lang": lang,
+            "wikipedia_title": title,
+        },
+    ).select(F.col("key").alias("osm_id"), "value.*")
+    held = points_in_areas(t).join(areas(t).drop("edges"), "polygon_id")
+    levels = P.pivot_levels(held, "point_id", "level", [5, 4], "n_name", "polygon_id")
+    return P.with_parent(tags, levels.withColumnRenamed("point_id", "osm_id"), "osm_id", levels.columns[1:])
 
 
 NEAR_SQL = f"""
@@ -344,7 +394,7 @@ def split_names(t: Tables):
     kind = F.col("p_partkey") % 4
     name = (
         F.when(kind == 0, F.concat_ws(" ", word[1], word[0]))
-        .when(kind == 1, F.concat_ws("  ", word[1], word[0], word[0]))
+        .when(kind == 1, F.concat_ws("\u00a0 ", word[1], word[0], word[0]))
         .when(kind == 2, word[1])
         .otherwise(F.concat_ws(" ", word[1], word[1], word[1]))
     )
@@ -356,15 +406,34 @@ def split_names(t: Tables):
 @query(
     "J15 X25",
     """
-    SELECT l_orderkey, l_linenumber, s_name, s_nationkey FROM lineitem
-    LEFT JOIN supplier ON l_suppkey = s_suppkey AND s_suppkey % 7 > 0
+    SELECT l_orderkey, l_linenumber, line, s_name, s_nationkey
+    FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey, (VALUES ('short'), ('long')) AS lines(line)
+    UNION ALL SELECT l_orderkey, l_linenumber, 'unknown', NULL, NULL FROM lineitem
     """,
 )
 def enrich_by_code(t: Tables):
-    lines = t.lineitem.select(
-        "l_orderkey", "l_linenumber", F.col("l_suppkey").cast("double").cast("string").alias("kodas")
+    # Codes of a few and of 17 digits, some written as 12.0, and codes that nobody has. Every code has
+    # a later name row that sorts before the first.
+    def rows(names, *values):
+        struct = lambda v: F.struct(*[F.lit(x).alias(n) for n, x in zip(names, v, strict=True)])
+        return F.inline(F.array(*map(struct, values)))
+
+    text = lambda c: F.col(c).cast("string")
+    long = lambda c: (F.lit(90071992547400001) + F.col(c)).cast("string")
+    written = rows(
+        ("line", "kodas"),
+        ("short", F.concat(text("l_suppkey"), F.lit(".0"))),
+        ("long", long("l_suppkey")),
+        ("unknown", "-1"),
     )
-    names = t.supplier.where("s_suppkey % 7 > 0").select(
-        F.col("s_suppkey").cast("string").alias("kodas"), "s_name", "s_nationkey"
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", written)
+    name, nation = F.col("s_name"), F.col("s_nationkey")
+    held = rows(
+        ("seq", "kodas", "s_name", "s_nationkey"),
+        (1, text("s_suppkey"), name, nation),
+        (1, long("s_suppkey"), name, nation),
+        (2, text("s_suppkey"), "A", nation),
+        (2, long("s_suppkey"), "A", nation),
     )
-    return J.enrich_by_code(lines, names, "kodas", ["s_name", "s_nationkey"]).drop("kodas")
+    names = t.supplier.select(held)
+    return J.enrich_by_code(lines, names, "kodas", ["s_name", "s_nationkey"], "seq").drop("kodas")

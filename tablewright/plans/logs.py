@@ -96,12 +96,15 @@ def filled_by_source(t: Tables):
 
 @query(
     "A14",
-    r"SELECT DISTINCT lower(regexp_extract(text, '^[^\s]+')) AS word FROM documents WHERE regexp_matches(text, '^[^\s]')",
+    r"""
+    SELECT DISTINCT lower(regexp_extract(line, '[^\s]+')) AS word
+    FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents) WHERE regexp_matches(line, '[^\s]')
+    """,
 )
 def distinct_first_words(t: Tables):
-    return L.distinct_values(
-        t.documents.where(F.col("text").rlike(r"^[^\s]")), F.lower(F.regexp_extract("text", r"^[^\s]+", 0)), "word"
-    )
+    # The first word of every line.
+    lines = t.documents.select(F.explode(F.split("text", "\n")).alias("line")).where(F.col("line").rlike(r"[^\s]"))
+    return L.distinct_values(lines, F.lower(F.regexp_extract("line", r"[^\s]+", 0)), "word")
 
 
 @query(
@@ -157,7 +160,7 @@ def required_labels(t: Tables):
 
 
 @query(
-    "S1 S2 A2 T8",
+    "S1 S2 A2",
     """
     SELECT user_id, event_id, event_type FROM events
     QUALIFY row_number() OVER (
@@ -213,3 +216,45 @@ def reachable_links(t: Tables):
     chain = links.join(following, ["page_id", "pos"]).select(F.col("href").alias("src"), "dst")
     seeds = links.where((F.col("pos") == 0) & F.col("src_url").rlike(r"^https?://[^/]*\.org/"))
     return reachable(chain, seeds.select(F.col("href").alias("node"))).select("node")
+
+
+@query(
+    "T8 S1",
+    """
+    SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type FROM events GROUP BY user_id
+    """,
+)
+def refreshed_table(t: Tables):
+    # A table, then its latest rows in its own place.
+    path = scratch_path(t.spark, "latest")
+    S.overwrite_table(t.events.select("user_id", "event_id", "event_type"), path)
+    S.overwrite_table(L.compact(t.spark.read.parquet(path), "user_id", "event_id"), path)
+    return t.spark.read.parquet(path)
+
+
+@query(
+    "T6 S2",
+    """
+    SELECT event_id, user_id, ts FROM events WHERE ts >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 20 DAY
+    """,
+)
+def cleaned_log(t: Tables):
+    path = scratch_path(t.spark, "log")
+    S.append_log(t.events.select("event_id", "user_id", "ts"), path)
+    S.clean_log(t.spark, path, "ts", F.lit("2024-01-31 00:00:00").cast("timestamp_ntz"), F.expr("INTERVAL 20 DAYS"))
+    return S.read_log(t.spark, path).drop("seq")
+
+
+@query(
+    "U4 P12",
+    """
+    SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag IN ('R', 'A') THEN l_linestatus END AS content FROM lineitem
+    """,
+)
+def nested_line_hook(t: Tables):
+    # The lines of an order as one list; a hook adds a field to those with a listed code.
+    line = F.struct("l_linenumber", "l_returnflag", "l_linestatus")
+    orders = t.lineitem.groupBy("l_orderkey").agg(F.collect_list(line).alias("lines"))
+    content = lambda x: F.when(x["l_returnflag"].isin("R", "A"), x["l_linestatus"])
+    hooked = P.in_list(orders, "lines", lambda x: x.withField("content", content(x)))
+    return hooked.select("l_orderkey", F.inline("lines")).select("l_orderkey", "l_linenumber", "content")

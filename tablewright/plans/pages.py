@@ -35,9 +35,8 @@ LINKS_SQL = r"""
 )
 def links_by_host(t: Tables):
     links = L.dedup(G.extract_links(t.pages).drop("anchor_text"), ["src_url", "href"], "pos")
-    target = U.absolute(F.col("src_url"), F.col("href"))
     return (
-        links.select("src_url", U.host(target).alias("host"))
+        links.select("src_url", U.host(F.col("target")).alias("host"))
         .groupBy("host")
         .agg(F.count(F.lit(1)).alias("links"), F.count_distinct("src_url").alias("pages"))
     )
@@ -45,23 +44,61 @@ def links_by_host(t: Tables):
 
 @query("P2", "WITH" + LINKS_SQL + "SELECT src_url, pos, href, trim(anchor_text) AS anchor_text FROM links")
 def page_links(t: Tables):
-    return G.extract_links(t.pages).withColumn("pos", F.col("pos").cast("bigint"))
+    return G.extract_links(t.pages).drop("target").withColumn("pos", F.col("pos").cast("bigint"))
 
 
 @query(
-    "P3 P13",
+    "P3",
     "WITH"
     + LINKS_SQL
     + r"SELECT page_id, pos, href FROM links WHERE pos > 0 AND regexp_matches(anchor_text, '^\p{Lu}')",
 )
 def nav_links_filtered(t: Tables):
     # All but the first link of the navigation, those whose text starts with a capital.
-    found = F.regexp_extract_all(H.visible(F.col("html")), F.lit(H.LINK), F.lit(0))
-    rest = t.pages.select("page_id", F.posexplode(P.drop_first(found, 1)).alias("pos", "a"))
-    text = F.trim(F.regexp_replace("a", "<[^>]*>", ""))
-    return rest.where(text.rlike(r"^\p{Lu}")).select(
-        "page_id", (F.col("pos") + 1).cast("bigint").alias("pos"), F.regexp_extract("a", H.HREF, 1).alias("href")
-    )
+    links = G.extract_links(t.pages, keep=["page_id"]).where((F.col("pos") > 0) & F.col("anchor_text").rlike(r"^\p{Lu}"))
+    return links.select("page_id", F.col("pos").cast("bigint").alias("pos"), "href")
+
+
+@query(
+    "P2 X12",
+    r"""
+    WITH p AS (
+        SELECT page_id, regexp_extract(url, '^[^:]+://[^/?#]+', 0) AS site, regexp_extract(url, '^[^:]+:', 0) AS scheme,
+               regexp_extract(url, '^[^:]+://[^/?#]+([^?#]*)', 1) AS path, regexp_extract(url, '^[^#]*', 0) AS whole
+        FROM pages
+    ), f AS (SELECT *, regexp_extract(path, '^.*/', 0) AS folder FROM p)
+    SELECT page_id, pos, target FROM f, LATERAL (VALUES
+        (0, site || path || '?p=2&q=a%20b'), (1, site || folder || 'other'), (2, site || '/root/x?y#z'),
+        (3, whole), (4, whole || '#part'), (5, scheme || '//cdn.example.org/a'),
+        (6, 'mailto:a@example.org'), (7, site || regexp_replace(folder, '[^/]+/$', '') || 'up'), (8, site || folder),
+        (9, site || '/b/d')) AS v(pos, target)
+    """,
+)
+def link_targets(t: Tables):
+    # Every way to write a target, quoted, single-quoted or bare, on every captured page.
+    hrefs = ('"?p=2&amp;q=a%20b"', "'./other'", "/root/x?y#z", '""', '"#part"', "'//cdn.example.org/a'", '"mailto:a@example.org"', '"../up"', '"."', '"/a/../b/./c/../d"')
+    html = "".join(f"<p><a class=x href={h}>go</a>" for h in hrefs)
+    links = G.extract_links(t.pages.withColumn("html", F.lit(html)), keep=["page_id"])
+    return links.select("page_id", F.col("pos").cast("int").alias("pos"), "target")
+
+
+REFERENCES = "&scaron;&eacute;&notin; &#38;lt; &copy 2020 &notit; &#x41;&#0065 &#128; &unknown; &amp;amp; a&b"
+
+
+@query(
+    "P4 X26",
+    """
+    SELECT page_id, lang || ' šé∉ &lt; © 2020 ¬it; AA € &unknown; &amp; a&b' AS text, true AS same
+    FROM (SELECT page_id, regexp_extract(html, '<html lang="([^"]*)"', 1) AS lang FROM pages)
+    """,
+)
+def decoded_references(t: Tables):
+    # Both ways to the text of a page read character references alike.
+    lang = F.regexp_extract("html", '<html lang="([^"]*)"', 1)
+    pages = t.pages.select("page_id", F.concat(F.lit("<p>"), lang, F.lit(f" {REFERENCES}</p>")).alias("html"))
+    other = G.extract_text_without(pages, []).withColumnRenamed("text", "other")
+    both = G.extract_text(pages).join(other, "page_id")
+    return both.select("page_id", "text", (F.col("text") == F.col("other")).alias("same"))
 
 
 TEXT_SQL = r"""
@@ -223,7 +260,7 @@ def redirect_hops(t: Tables):
 
 
 @query(
-    "A10 X23 U1",
+    "A10 X23",
     """
     SELECT p_partkey, (p_size + p_partkey % 7 + 3) / 3.0 AS mean,
            greatest(p_size, p_partkey % 7, 3)::BIGINT AS max,

@@ -31,7 +31,7 @@ def dictionaries(t: Tables):
     choices = union(
         names("shade", adjective, t.part),
         names("thing", noun, t.part),
-        names("product", F.col("p_name"), t.part.where("length(p_name) % 2 = 0")),
+        names("product", F.col("p_name"), t.part),
         clients,
     )
     plural = t.part.select(
@@ -70,8 +70,8 @@ def mentions(t: Tables):
 
 
 PARTS_SQL = """
-    p AS (SELECT DISTINCT p_partkey % 6 AS kind, p_name, split_part(p_name, ' ', 1) AS a, split_part(p_name, ' ', 2) AS b,
-                 length(p_name) % 2 = 0 AS known FROM part),
+    p AS (SELECT DISTINCT p_partkey % 6 AS kind, p_name, split_part(p_name, ' ', 1) AS a, split_part(p_name, ' ', 2) AS b
+          FROM part),
     m AS (
         SELECT CASE kind WHEN 3 THEN 'item' WHEN 4 THEN 'thing' ELSE 'product' END AS dictionary,
                CASE kind WHEN 1 THEN b || ' ' || a WHEN 2 THEN 'UAB "' || p_name || '"' WHEN 4 THEN upper(b || 's')
@@ -80,11 +80,11 @@ PARTS_SQL = """
     ),
     hits AS (
         SELECT DISTINCT dictionary, mention,
-               CASE WHEN kind = 4 THEN length(b) WHEN known THEN length(p_name) END::BIGINT AS id,
+               CASE WHEN kind = 4 THEN length(b) ELSE length(p_name) END::BIGINT AS id,
                CASE WHEN kind = 4 THEN b ELSE p_name END AS value,
                CASE WHEN kind = 4 THEN 'thing' ELSE 'product' END AS hit_dictionary,
                CASE kind WHEN 0 THEN 'index' WHEN 3 THEN 'extends' WHEN 4 THEN 'alias' ELSE 'pattern' END AS source
-        FROM m WHERE kind IN (1, 4) OR (known AND kind IN (0, 2, 3))
+        FROM m WHERE kind < 5
         UNION ALL
         SELECT 'client', upper(c_name) || ', UAB', c_custkey, c_name, 'client', 'pattern' FROM customer
     )
@@ -100,7 +100,7 @@ def resolve_parts(t: Tables):
     "J11 J10",
     f"""
     WITH {PARTS_SQL}
-    SELECT DISTINCT dictionary, mention FROM m WHERE NOT (kind IN (1, 4) OR (known AND kind IN (0, 2, 3)))
+    SELECT DISTINCT dictionary, mention FROM m WHERE kind = 5
     """,
 )
 def unresolved_mentions(t: Tables):

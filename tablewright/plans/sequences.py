@@ -32,15 +32,13 @@ def kv_runs(t: Tables):
         SELECT doc_id, string_split(regexp_replace(text, '(?m)(^\p{Lu}\p{L}+)', chr(1) || '\1' || chr(2), 'g'), chr(1))[2:] AS p
         FROM documents
     ), rows AS (SELECT doc_id, unnest(range(1, len(p) + 1)) AS i, p FROM parts)
-    SELECT doc_id, i - 1 AS pos, string_split(p[i], chr(2))[1] AS marker, length(string_split(p[i], chr(2))[2]) AS tail_length
+    SELECT doc_id, i - 1 AS pos, string_split(p[i], chr(2))[1] AS marker, string_split(p[i], chr(2))[2] AS tail
     FROM rows
     """,
 )
 def text_segments(t: Tables):
     cut = Q.segment_text(t.documents, r"^\p{Lu}\p{L}+", ["doc_id"])
-    return cut.select(
-        "doc_id", F.col("pos").cast("bigint").alias("pos"), "marker", F.length("tail").cast("bigint").alias("tail_length")
-    )
+    return cut.select("doc_id", F.col("pos").cast("bigint").alias("pos"), "marker", "tail")
 
 
 @query(

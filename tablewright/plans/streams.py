@@ -39,22 +39,20 @@ def stream_dedup(t: Tables):
     stream, out, checkpoint = events(t)
     keys = ["user_id", "event_type"]
     S.stream_dedup(stream.select(*keys, "event_id", "props"), keys, "event_id", out, checkpoint)
-    return t.spark.read.parquet(out).drop("batch_id")
+    return S.read_dedup(t.spark, out)
 
 
 @query(
-    "T4 T5 U3",
+    "T4 U3",
     """
-    SELECT event_id, user_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events WHERE event_type = 'purchase'
+    SELECT event_id, user_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events
     """,
 )
 def stream_incremental(t: Tables):
     stream, out, checkpoint = events(t)
     S.run_incremental(
         stream,
-        lambda df: df.where("event_type = 'purchase'").select(
-            "event_id", "user_id", F.from_json("props", "k int")["k"].alias("k")
-        ),
+        lambda df: df.select("event_id", "user_id", F.from_json("props", "k int")["k"].alias("k")),
         out,
         checkpoint,
     )
@@ -62,10 +60,25 @@ def stream_incremental(t: Tables):
     return t.spark.read.parquet(out).drop("batch_id")
 
 
-@query("T1 S2", "SELECT event_id, user_id, event_type, value, props FROM events")
+@query(
+    "T5 T4",
+    "SELECT event_id, user_id, event_type FROM events WHERE event_id % 2 = 1",
+)
+def stream_skipped(t: Tables):
+    # Even events are there and marked as seen; the odd ones come later.
+    source, out, checkpoint = (scratch_path(t.spark, name) for name in ("source", "out", "checkpoint"))
+    rows = t.events.select("event_id", "user_id", "event_type")
+    rows.where("event_id % 2 = 0").write.parquet(source)
+    S.skip_to_end(S.read_stream(t.spark, source, rows.schema), checkpoint)
+    rows.where("event_id % 2 = 1").write.mode("append").parquet(source)
+    S.run_incremental(S.read_stream(t.spark, source, rows.schema), lambda df: df, out, checkpoint)
+    return t.spark.read.parquet(out).drop("batch_id")
+
+
+@query("T1", "SELECT event_id, user_id, event_type, value, props, ts FROM events")
 def stream_captures(t: Tables):
     stream, out, checkpoint = events(t)
-    S.stream_captures(stream.drop("ts"), out, checkpoint)
+    S.stream_captures(stream, out, checkpoint)
     return t.spark.read.parquet(out)
 
 

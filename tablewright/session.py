@@ -6,8 +6,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-READ_TASK_BYTES = 128 << 20  # what Spark reads per task unless told otherwise
-
 
 def build_session(app: str = "tablewright", master: str | None = None, **conf) -> SparkSession:
     """A session with the settings the jobs are tuned for; a cluster keeps its own."""
@@ -43,18 +41,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/scratch/{uuid.uuid4().hex}/{name}"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a small input to all cores before costly work per row.
-
-    A table of a few small files is read by a few tasks. One that fills a read task per core
-    stays as it is: moving it would cost more than it gains.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(cores) if size < cores * READ_TASK_BYTES else df
-
-
 def write_once(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it from there.
 

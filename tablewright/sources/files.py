@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import io
+import re
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -88,15 +89,20 @@ def read_legacy_report(
 
 
 def _dictionary_lines(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    file = F.col("_metadata.file_path")
-    text = spark.read.text(f"{folder.rstrip('/')}/*/{name}", wholetext=True).select(
-        F.url_decode(F.element_at(F.split(file, "/"), -2)).alias("dictionary"),
-        file.alias("file"),
-        "value",
-    )
-    return text.select("dictionary", "file", F.posexplode(F.split("value", r"\r?\n")).alias("pos", "line")).withColumn(
-        "pos", F.col("pos") + 1
+    """``dictionary, file, pos, line`` of the files ``<dictionary>/<name>``, line by line.
+
+    Such a file may also be a folder of part files; lines count from 1 in each dictionary.
+    """
+    lines = spark.read.text([f"{folder.rstrip('/')}/*/{name}"]).select("value", "_metadata")
+    rows = with_row_numbers(lines, "__n").select(
+        F.url_decode(F.regexp_extract("_metadata.file_path", rf"([^/]+)/{re.escape(name)}(?:/[^/]*)?$", 1)).alias("dictionary"),
+        F.col("_metadata.file_path").alias("file"),
+        "__n",
+        F.col("value").alias("line"),
     )
+    first = rows.groupBy("dictionary").agg(F.min("__n").alias("__first"))
+    numbered = rows.join(first, "dictionary")
+    return numbered.select("dictionary", "file", (F.col("__n") - F.col("__first") + 1).cast("int").alias("pos"), "line")
 
 
 def load_choices(spark: SparkSession, folder: str) -> DataFrame:
@@ -142,9 +148,15 @@ def load_missing(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("dictionary", F.trim("line").alias("mention")).where("mention != ''")
 
 
-def seed_urls(spark: SparkSession, template: str, lo: int, hi: int) -> DataFrame:
-    """``key`` for every page number from ``lo`` up to, not with, ``hi``."""
-    return spark.range(lo, hi).select(strformat(template, page=F.col("id")).alias("key"))
+def seed_urls(df: DataFrame, template: str, lo: Column, hi: Column, keep: Sequence[str] = ()) -> DataFrame:
+    """``key`` of every page number of every row, from ``lo`` up to, not with, ``hi``.
+
+    The template names ``page`` and columns of ``df``; a row whose range is empty gives none.
+    """
+    pages = F.when(hi > lo, F.sequence(lo, hi - 1))
+    values = {c: F.col(c) for c in df.columns if "{" + c + "}" in template}
+    numbered = df.select("*", F.explode(pages).alias("page"))
+    return numbered.select(*keep, strformat(template, **{**values, "page": F.col("page")}).alias("key"))
 
 
 def strformat(template: str, **values: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,18 +16,21 @@ def read_log(spark: SparkSession, path: str, schema=None) -> DataFrame:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a parquet table can be read at ``path``."""
+    """Whether there is a parquet table at ``path``; a folder without files is none."""
     try:
         spark.read.parquet(path)
-    except AnalysisException:
-        return False
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
     return True
 
 
 def append_log(df: DataFrame, path: str, order: str | None = None, codec: str = "zstd") -> None:
     """Append rows; ``seq`` grows over appends and, within one, along ``order`` if given.
 
-    The number is written with the rows, so no later read computes it anew.
+    The number is written with the rows, so no later read computes it anew. A log has one
+    writer at a time: it is the one that reads how far the numbers go.
     """
     spark = df.sparkSession
     top = 0
@@ -37,17 +42,30 @@ def append_log(df: DataFrame, path: str, order: str | None = None, codec: str =
 
 
 def overwrite_table(df: DataFrame, path: str, codec: str = "zstd") -> None:
-    """Full refresh of a table. ``df`` must not read from ``path``."""
-    df.write.mode("overwrite").option("compression", codec).parquet(path)
+    """Full refresh of a table, which ``df`` may itself read from.
+
+    The new rows are written next to the table and take its place when they are complete. A
+    failure before that leaves the table as it is; one between the two renames leaves the old
+    table under ``<path>.old-…``.
+    """
+    spark = df.sparkSession
+    mark = uuid.uuid4().hex
+    here, new, old = path.rstrip("/"), f"{path.rstrip('/')}.new-{mark}", f"{path.rstrip('/')}.old-{mark}"
+    df.write.option("compression", codec).parquet(new)
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    files = place(here).getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(place(here)) and not files.rename(place(here), place(old)):
+        raise OSError(f"cannot move {here}")
+    if not files.rename(place(new), place(here)):
+        raise OSError(f"cannot move {new}")
+    files.delete(place(old), True)
 
 
 def clean_log(spark: SparkSession, path: str, ts: str, asof, age) -> None:
     """Drop rows older than ``age`` at ``asof``: the rows that stay are written, then take over."""
     from ..operators.log import retain
-    from ..session import cut_lineage
 
-    kept = cut_lineage(retain(spark.read.parquet(path), ts, asof, age))
-    overwrite_table(kept, path)
+    overwrite_table(retain(spark.read.parquet(path), ts, asof, age), path)
 
 
 def with_row_numbers(df: DataFrame, out: str) -> DataFrame:

@@ -8,6 +8,8 @@ already written is rewritten per batch.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,24 +88,38 @@ def fold_latest(spark: SparkSession, out: str, folded: str, keys: Keys, order: s
     read_latest(spark, out, keys, order).write.mode("overwrite").parquet(_folder(folded, -1))
 
 
-def stream_dedup(stream: DataFrame, keys: Keys, order: str, out: str, checkpoint: str) -> None:
+def stream_dedup(
+    stream: DataFrame, keys: Keys, order: str, out: str, checkpoint: str, buckets: int = 64
+) -> None:
     """Keep the first row per key for good; no key is ever forgotten.
 
-    Known keys are read from the earlier batches' key columns, so there is no state to lose
-    and the batch's own first row is chosen by ``order``, not by arrival within the batch.
+    Every batch folder is split by a bucket of the key's hash. A batch reads the keys of earlier
+    batches in the buckets it touches itself, so a small batch reads a small part of the
+    history. There is no state to lose, and the batch's own first row is chosen by ``order``,
+    not by arrival within the batch.
     """
+    names = as_list(keys)
 
     def batch(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
-        fresh = dedup(df, keys, order)
+        bucket = F.pmod(F.xxhash64(*names), F.lit(buckets)).cast("int")
+        fresh = dedup(df, keys, order).withColumn("bucket", bucket)
         if exists(spark, out):
-            known = spark.read.parquet(out).where(F.col("batch_id") < batch_id)
-            fresh = fresh.join(known.select(*as_list(keys)), as_list(keys), "left_anti")
-        fresh.write.mode("overwrite").parquet(_folder(out, batch_id))
+            touched = [r.bucket for r in df.select(bucket.alias("bucket")).distinct().collect()]  # at most ``buckets``
+            known = spark.read.parquet(out).where((F.col("batch_id") < batch_id) & F.col("bucket").isin(touched))
+            known = known.select(*[F.col(k).alias(f"__{k}") for k in names])
+            same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in names]
+            fresh = fresh.join(known, reduce(and_, same), "left_anti")
+        fresh.repartition("bucket").write.partitionBy("bucket").mode("overwrite").parquet(_folder(out, batch_id))
 
     _run(stream, batch, checkpoint)
 
 
+def read_dedup(spark: SparkSession, out: str) -> DataFrame:
+    """The first row per key over all batches."""
+    return spark.read.parquet(out).drop("batch_id", "bucket")
+
+
 def dedup_within(stream: DataFrame, keys: Keys, ts: str, delay: str) -> DataFrame:
     """First row per key with keys forgotten after ``delay``: bounded state for long streams."""
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(as_list(keys))

@@ -117,3 +117,47 @@ def test_inside_with_hole_and_edge(spark):
     edges = F.concat(geo.ring_edges(outer), geo.ring_edges(hole))
     points = spark.createDataFrame([(1.0, 1.0), (5.0, 5.0), (0.0, 5.0), (10.0, 10.0), (11.0, 5.0)], "x double, y double")
     assert [r[0] for r in points.select(geo.inside(edges, F.col("x"), F.col("y"))).collect()] == [True, False, False, False, False]
+
+
+# The normal and abnormal examples of RFC 3986, section 5.4, against its base.
+RFC_BASE = "http://a/b/c/d;p?q"
+RFC_TARGETS = {
+    "g:h": "g:h", "g": "http://a/b/c/g", "./g": "http://a/b/c/g", "g/": "http://a/b/c/g/", "/g": "http://a/g", "//g": "http://g",
+    "?y": "http://a/b/c/d;p?y", "g?y": "http://a/b/c/g?y", "#s": "http://a/b/c/d;p?q#s", "g#s": "http://a/b/c/g#s",
+    "g?y#s": "http://a/b/c/g?y#s", ";x": "http://a/b/c/;x", "g;x": "http://a/b/c/g;x", "": "http://a/b/c/d;p?q",
+    ".": "http://a/b/c/", "./": "http://a/b/c/", "..": "http://a/b/", "../": "http://a/b/", "../g": "http://a/b/g",
+    "../..": "http://a/", "../../": "http://a/", "../../g": "http://a/g", "../../../g": "http://a/g", "/./g": "http://a/g",
+    "/../g": "http://a/g", "g.": "http://a/b/c/g.", ".g": "http://a/b/c/.g", "..g": "http://a/b/c/..g", "./../g": "http://a/b/g",
+    "./g/.": "http://a/b/c/g/", "g/./h": "http://a/b/c/g/h", "g/../h": "http://a/b/c/h", "g?y/../x": "http://a/b/c/g?y/../x",
+}
+
+
+def test_targets_merge_as_the_rfc_says(spark):
+    rows = spark.createDataFrame([(k,) for k in RFC_TARGETS], "h string")
+    got = rows.select("h", urls.absolute(F.lit(RFC_BASE), F.col("h")).alias("t")).collect()
+    assert {r.h: r.t for r in got} == RFC_TARGETS
+    bare = rows.limit(1).select(urls.absolute(F.lit("http://a"), F.lit("x")).alias("t"), urls.absolute(F.lit("http://a#f"), F.lit("")).alias("e"))
+    assert tuple(bare.first()) == ("http://a/x", "http://a")
+
+
+def test_references_as_the_standard_library_reads_them(spark):
+    import random
+    from html import unescape
+    from html.entities import html5
+
+    rng = random.Random(9)
+    names = sorted(html5)
+    texts = [f"&{name}" for name in names]
+    texts += [f"x&{name.rstrip(';')} y&{rng.choice(names)}z" for name in rng.sample(names, 300)]
+    texts += [f"&#{n};&#x{n:X};&#{n} " for n in [*range(0, 260), 0xD800, 0xDFFF, 0xFDD0, 0xFFFE, 0x1FFFF, 0x10FFFF, 0x110000, 10**12, 10**30]]
+    texts += ["&#38;lt;", "&copy 2020", "&scaron;&eacute;", "&", "&&amp;", "&;", "&#;", "&#x;", "a&b", "&notit;", "&AMP", "no reference", "&#0000000065;"]
+    rows = spark.createDataFrame([(t,) for t in texts], "c string")
+    got = rows.select("c", html.decode_entities(F.col("c")).alias("d")).collect()
+    assert {r.c: r.d for r in got} == {t: unescape(t) for t in texts}
+
+
+def test_blanks_of_any_kind_part_words(spark):
+    assert one(spark, "Jonas Petraitis X", text.words) == ["Jonas", "Petraitis", "X"]
+    assert one(spark, "J. PETRAITIS.", joins.speaker_key) == "J PETRAITIS"
+    assert one(spark, "J. Petraitis", joins.speaker_surname) == "PETRAITIS"
+    assert one(spark, "(A. Pirma ,\nKLM).", text.bracket_items) == ["A. Pirma", "KLM"]

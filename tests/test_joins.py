@@ -113,6 +113,42 @@ def test_nearest_matches_brute_force(spark, metric, leaf):
 
 def test_codes(spark):
     facts = spark.createDataFrame([("1.0",), ("2",), ("x",)], "code string")
-    names = spark.createDataFrame([("1", "a"), ("01", "b"), (None, "n")], "code string, name string")
-    out = {r.code: r.name for r in J.enrich_by_code(facts, names, "code", ["name"]).collect()}
-    assert out == {"1.0": "a", "2": None, "x": None}
+    names = spark.createDataFrame([("1", "z", 1), ("01", "a", 2), (None, "n", 3)], "code string, name string, seq int")
+    out = {r.code: r.name for r in J.enrich_by_code(facts, names, "code", ["name"], "seq").collect()}
+    assert out == {"1.0": "z", "2": None, "x": None}
+
+
+def test_long_codes_keep_their_digits(spark):
+    codes = ["9007199254740993", "12345678901234567890", "12.0", "1e3", " 7 ", "12.7", "-", None]
+    out = [r.k for r in spark.createDataFrame([(c,) for c in codes], "c string").select(J.code_key(F.col("c")).alias("k")).collect()]
+    assert out == ["9007199254740993", "12345678901234567890", "12", "1000", "7", "12", None, None]
+
+
+def test_a_time_of_day_is_refused(spark):
+    facts = spark.sql("SELECT 1 AS id, timestamp '2020-01-02 09:00:00' AS at")
+    periods = spark.sql("SELECT 1 AS seq, date '2020-01-01' AS lo, date '2020-01-03' AS hi, 'x' AS name")
+    with pytest.raises(ValueError, match="time of day"):
+        J.valid_at_join(facts, periods, "at", "lo", "hi", "seq", ["name"])
+
+
+def test_one_polygon_over_all_points(spark):
+    """A star of thousands of edges: every key holds a part of the points, every cell a part of the edges."""
+    import math
+    import random
+
+    n = 4000
+    corner = [((1 + 0.4 * (i % 2)) * math.cos(2 * math.pi * i / n), (1 + 0.4 * (i % 2)) * math.sin(2 * math.pi * i / n)) for i in range(n)]
+    ring = [{"x1": a[0], "y1": a[1], "x2": b[0], "y2": b[1]} for a, b in zip(corner, corner[1:] + corner[:1])]
+    rng = random.Random(1)
+    points = [(i, rng.uniform(-1.5, 1.5), rng.uniform(-1.5, 1.5)) for i in range(400)] + [(1000, 0.0, 0.0), (1001, corner[0][0], corner[0][1])]
+
+    def held(x, y):
+        odd = False
+        for e in ring:
+            if (e["y1"] > y) != (e["y2"] > y) and x < e["x1"] + (y - e["y1"]) * (e["x2"] - e["x1"]) / (e["y2"] - e["y1"]):
+                odd = not odd
+        return odd
+
+    shapes = spark.createDataFrame([(7, ring)], "polygon_id int, edges array<struct<x1:double,y1:double,x2:double,y2:double>>")
+    out = S.contains_join(spark.createDataFrame(points, "point_id int, x double, y double"), shapes)
+    assert {r.point_id for r in out.collect()} == {i for i, x, y in points if i != 1001 and held(x, y)}

@@ -67,3 +67,76 @@ def test_hot_groups_are_cut_into_chunks(spark):
     # The detail window is partitioned by (group, chunk), never by the group alone.
     windows = re.findall(r"Window \[.*?\], \[([^\]]*)\], \[", plan(spark, "carry_clock"))
     assert any("__chunk" in keys for keys in windows)
+
+
+@pytest.mark.parametrize("name, table", [("merge_ship_intervals", "lineitem"), ("ship_totals", "lineitem")])
+def test_facts_are_scanned_once(spark, name, table):
+    """Passes over a sequence read what was written once, so the plan itself scans no fact table."""
+    scans = re.findall(r"FileScan parquet .*?Location: \S+ \[([^\]]*)\]", plan(spark, name))
+    assert sum(table in s for s in scans) <= 1
+
+
+#: By operator: the functions one of which a query that claims it must reach.
+OPERATORS = {
+    "S1": "read_log overwrite_table", "S2": "append_log", "S3": "valid_pages split_required", "S4": "read_keyed_csv",
+    "S5": "read_legacy_report", "S6": "load_dictionary", "S7": "export_table", "S8": "flatten export_table", "S9": "export_table export_frame",
+    "S10": "export_jsonl", "S11": "seed_urls", "S12": "strformat", "P1": "project", "P2": "extract_links", "P3": "extract_links",
+    "P4": "extract_text extract_text_without", "P5": "extract_kv", "P6": "extract_rows", "P7": "explode_children", "P8": "labelled_fields project",
+    "P9": "first_complete split_required recode", "P10": "apply_overrides", "P11": "recode", "P12": "conditional_column in_list",
+    "P13": "drop_first", "P14": "prefer", "P15": "exclude_pairs", "P16": "sections", "P17": "with_parent explode_children",
+    "P18": "follow_redirects", "J1": "valid_at_join period_lookup", "J2": "resolve_speaker attribute_roles", "J3": "attribute_roles",
+    "J4": "contains_join", "J5": "nearest_join", "J6": "match_index resolve_entities", "J7": "match_alias resolve_entities",
+    "J8": "resolve_entities token_splits", "J9": "resolve_entities", "J10": "resolve_entities", "J11": "unresolved", "J12": "split_names",
+    "J13": "unprocessed reachable", "J14": "emphasised classify_segments", "J15": "enrich_by_code", "A1": "dedup", "A2": "compact latest_forecast",
+    "A3": "merge_records", "A4": "union_tagged", "A5": "union_tagged", "A6": "explode_roles", "A7": "pivot_levels", "A8": "merge_intervals interval_totals",
+    "A9": "with_group_min", "A10": "series_stats", "A11": "latest requeue_latest", "A12": "zip_pairs last_wins_map", "A13": "filled",
+    "A14": "distinct_values", "W1": "fold_kv_runs", "W2": "segment_text", "W3": "carry_forward running", "W4": "assemble_turns",
+    "W5": "running", "W6": "segment_text assemble_turns", "W7": "case_split", "W8": "latest_forecast", "X1": "normalise", "X2": "title_case",
+    "X3": "apply_flags", "X4": "clean_company", "X5": "lt_to_eur", "X6": "long_date_to_iso", "X7": "", "X8": "first_group all_matches regexp_extract",
+    "X9": "rsplit_once", "X10": "split_part_strict split_part_safe", "X11": "host query_int path", "X12": "build_url redirect_target absolute",
+    "X13": "strip_tone_accents", "X14": "header_param", "X15": "attachment_row", "X16": "packed_items", "X17": "tagged_title",
+    "X18": "bracket_items", "X19": "first_acronym", "X20": "clock", "X21": "emphasis_head", "X22": "row_hash", "X23": "script_json from_json",
+    "X24": "forecast_time clock date_format", "X25": "cast from_json", "X26": "clean_space extract_links extract_text decode_entities", "X27": "", "X28": "mayor_flag",
+    "X29": "", "X30": "mercator_x", "X31": "centroid", "T1": "stream_captures stream_latest", "T2": "stream_latest", "T3": "stream_dedup",
+    "T4": "run_incremental", "T5": "mark_seen skip_to_end", "T6": "retain clean_log", "T7": "reachable", "T8": "overwrite_table",
+    "U1": "strip_tone_accents", "U2": "extract_text_without packed_items classify_segments", "U3": "latest run_incremental requeue_latest", "U4": "in_list",
+}
+
+
+def reached():
+    """By function of the package: every name it reaches through functions of the package."""
+    import ast
+    from pathlib import Path
+
+    uses = {}
+    for file in Path(compare.__file__).parent.parent.joinpath("tablewright").rglob("*.py"):
+        if "llm" in file.parts:
+            continue
+        for node in ast.walk(ast.parse(file.read_text(encoding="utf-8"))):
+            if isinstance(node, ast.FunctionDef):
+                named = {n.id for n in ast.walk(node) if isinstance(n, ast.Name)} | {n.attr for n in ast.walk(node) if isinstance(n, ast.Attribute)}
+                uses.setdefault((file.parent.name == "plans", node.name), set()).update(named)
+    out = {}
+    for name in REGISTRY:
+        seen, todo = set(), set(uses[True, name])
+        while todo:
+            one = todo.pop()
+            if one not in seen:
+                seen.add(one)
+                todo |= uses.get((False, one), set()) | uses.get((True, one), set())
+        out[name] = seen
+    return out
+
+
+def test_queries_reach_the_operators_they_claim():
+    missed = [
+        (name, op)
+        for name, names in reached().items()
+        for op in REGISTRY[name].ops
+        if (wanted := OPERATORS[op].split()) and not names & set(wanted)
+    ]
+    assert missed == []
+
+
+def test_every_operator_is_claimed():
+    assert {op for q in REGISTRY.values() for op in q.ops} == set(OPERATORS)

@@ -135,3 +135,23 @@ def test_transcript(spark):
         (3, "15:30", "PIRMININKAS.", "Ačiū.", None, "pirmininkas", "Vytenis Povilas", "Andriukaitis", None),
         (4, "15:30", "K. NIEKAS.", "Kas?\n\nV. Pavardė tik tekstas.", None, None, None, None, None),
     ]
+
+
+def test_a_value_without_a_label_is_kept(spark):
+    df = spark.createDataFrame([("d", 0, "who", "A"), ("d", 1, None, "first"), ("d", 2, None, "kept")], "key string, pos int, k string, v string")
+    row = Q.fold_kv_runs(df, "key", "who").first()
+    assert (row.record, row.unlabelled) == ({"who": "A"}, "kept")
+
+
+def test_control_signs_of_a_text_stay(spark):
+    docs = spark.createDataFrame([(1, "\u0003a# one\u0001b\u0002\n# two\u0003c\n\u0001")], "id int, text string")
+    out = Q.segment_text(docs, r"# \w+", ["id"]).orderBy("pos").collect()
+    assert [(r.marker, r.tail) for r in out] == [("# one", "\u0001b\u0002\n"), ("# two", "\u0003c\n\u0001")]
+
+
+@pytest.mark.parametrize("width", [1, 2, 1 << 18])
+def test_null_is_a_group_too(spark, width):
+    rows = [(None, i, "x" if i == 1 else None) for i in range(6)] + [("g", i, "y" if i == 0 else None) for i in range(4)]
+    df = spark.createDataFrame(rows, "key string, pos int, v string")
+    out = Q.carry_forward(df, ["key"], "pos", F.col("v"), "seen", width=width).collect()
+    assert {(r.key, r.pos): r.seen for r in out} == {(None, i): "x" if i else None for i in range(6)} | {("g", i): "y" for i in range(4)}

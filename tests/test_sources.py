@@ -83,5 +83,17 @@ def test_export_files(spark, tmp_path):
 
 
 def test_seeds(spark):
-    assert [r.key for r in R.seed_urls(spark, "http://a/?page={page}", 1, 4).orderBy("key").collect()] == [
-        f"http://a/?page={i}" for i in (1, 2, 3)]
+    rows = spark.createDataFrame([("a", 3), ("b", 0), ("c", None)], "site string, n int")
+    seeds = R.seed_urls(rows, "http://{site}/?page={page}", F.lit(1), F.col("n") + 1, keep=["site"])
+    assert sorted((r.site, r.key) for r in seeds.collect()) == [("a", f"http://a/?page={i}") for i in (1, 2, 3)]
+
+
+def test_a_table_is_refreshed_from_itself(spark, tmp_path):
+    from tablewright.sources import tables as T
+
+    path = str(tmp_path / "table")
+    assert not T.exists(spark, path)
+    T.overwrite_table(spark.range(10), path)
+    T.overwrite_table(spark.read.parquet(path).where("id > 6"), path)
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [7, 8, 9]
+    assert [p.name for p in tmp_path.iterdir()] == ["table"]
