@@ -149,21 +149,23 @@ def name_variants(first_names: Column, surname: Column) -> Column:
     )
 
 
-def _spoken(df: DataFrame, speaker: str, date: str) -> DataFrame:
-    # Never NULL: a NULL test in front of the join would compute the keys a second time.
-    return df.select(
-        "*",
-        F.coalesce(speaker_surname(F.col(speaker)), F.lit("")).alias("__surname"),
-        F.coalesce(speaker_key(F.col(speaker)), F.lit("")).alias("__variant"),
-        F.col(date).cast("date").alias("__date"),
-    )
+SPEAKER = ["__surname", "__variant"]
 
 
-SPEAKER = ["__surname", "__variant"]
+def _asked(speeches: DataFrame, who: Column, date: str) -> DataFrame:
+    """``__who`` and ``__date`` next to the speeches.
 
+    A speech without a speaker gets a key of its own that nobody has, so that such rows are
+    spread over the join instead of meeting in one place.
+    """
+    hashed = [F.col(f.name) for f in speeches.schema if f.dataType.typeName() != "map"]
+    nobody = F.concat(F.lit("\u0000"), F.xxhash64(*hashed).cast("string"))
+    named = F.when(who.rlike(r"[\p{L}\p{N}]"), who)
+    return speeches.withColumn("__who", F.coalesce(named, nobody)).withColumn("__date", F.col(date).cast("date"))
 
-def _members_lookup(spoken: DataFrame, members: DataFrame) -> DataFrame:
-    """Member in office per distinct (name as spoken, date)."""
+
+def _members_lookup(asked: DataFrame, members: DataFrame) -> DataFrame:
+    """Member in office per distinct ``__who, __date``: names are taken apart once each."""
     table = members.select(
         "seq",
         "nuo",
@@ -171,8 +173,13 @@ def _members_lookup(spoken: DataFrame, members: DataFrame) -> DataFrame:
         F.upper("pavarde").alias("__surname"),
         F.explode(name_variants(F.col("vardas"), F.col("pavarde"))).alias("__variant"),
     )
-    dates = spoken.select(*SPEAKER, "__date").distinct()
-    return period_lookup(dates, table, "nuo", "iki", "seq", ["vardas", "pavarde"], SPEAKER, members)
+    names = asked.select("__who", "__date").where(~F.col("__who").startswith("\u0000")).distinct()
+    keyed = names.select(
+        "*", speaker_surname(F.col("__who")).alias("__surname"), speaker_key(F.col("__who")).alias("__variant")
+    ).where("__surname IS NOT NULL")
+    dates = keyed.select(*SPEAKER, "__date").distinct()
+    found = period_lookup(dates, table, "nuo", "iki", "seq", ["vardas", "pavarde"], SPEAKER, members)
+    return keyed.join(found, [*SPEAKER, "__date"]).drop(*SPEAKER)
 
 
 def resolve_speaker(speeches: DataFrame, members: DataFrame, speaker: str, date: str) -> DataFrame:
@@ -180,8 +187,9 @@ def resolve_speaker(speeches: DataFrame, members: DataFrame, speaker: str, date:
 
     ``members`` has ``seq, vardas, pavarde, nuo, iki``; the first by ``seq`` is taken.
     """
-    spoken = _spoken(speeches, speaker, date)
-    found = spoken.join(_members_lookup(spoken, members), [*SPEAKER, "__date"], "left")
+    days_only(speeches, date)
+    asked = _asked(speeches, F.col(speaker), date)
+    found = asked.join(_members_lookup(asked, members), ["__who", "__date"], "left")
     return found.select(
         *speeches.columns, F.col("__p_vardas").alias("vardas"), F.col("__p_pavarde").alias("pavarde")
     )
@@ -195,19 +203,15 @@ def attribute_roles(speeches: DataFrame, members: DataFrame, chairs: DataFrame,
     office; anybody else is a member when found. Both lookups start from the speeches, which
     then are joined to the two small outcomes.
     """
-    asked = speeches.withColumn(
-        "__who", F.when(F.col("is_chair"), F.col("chair_name")).otherwise(F.col("speaker"))
-    )
-    spoken = _spoken(asked, "__who", date)
+    days_only(speeches, date)
+    asked = _asked(speeches, F.when(F.col("is_chair"), F.col("chair_name")).otherwise(F.col("speaker")), date)
     by_office = F.col("is_chair") & F.col("chair_name").isNull()
     holders = chairs.withColumnsRenamed({"vardas": "c_vardas", "pavarde": "c_pavarde"})
     office = period_lookup(
-        spoken.where(by_office).select("__date").distinct(),
+        asked.where(by_office).select("__date").distinct(),
         holders, "start", "end", "seq", ["c_vardas", "c_pavarde"],
     )
-    joined = spoken.join(_members_lookup(spoken, members), [*SPEAKER, "__date"], "left").join(
-        office, "__date", "left"
-    )
+    joined = asked.join(_members_lookup(asked, members), ["__who", "__date"], "left").join(office, "__date", "left")
 
     def person(field: str) -> Column:
         return F.when(by_office, F.col(f"__p_c_{field}")).otherwise(F.col(f"__p_{field}"))

@@ -272,12 +272,12 @@ def _span_text(tokens: str, span: Column) -> Column:
 
 
 class _Plan:
-    """The dictionary side of a resolution, written once, with its few size facts."""
+    """The dictionary side of a resolution: lookups and templates written once, with few size facts."""
 
     def __init__(self, choices, aliases, inflections):
-        self.names = write_once(name_index(choices), "names")
+        self.names = name_index(choices)
         self.direct = write_once(direct_hits(self.names, aliases), "direct")
-        self.inflect = write_once(inflection_table(inflections), "inflections") if inflections is not None else None
+        self.inflect = inflection_table(inflections) if inflections is not None else None
         self.templates = write_once(_templates(aliases, self.direct), "templates")
 
         def flags_of(col):
@@ -403,14 +403,14 @@ def resolve_entities(
     top = asked.select("dictionary", "text").distinct().withColumn("path", F.array().cast("array<string>"))
 
     levels = []  # (nodes, laid templates)
-    nodes = write_once(top, "nodes")
+    nodes = top
     while plan.slots:
         rows = write_once(_lay_templates(nodes, plan), "laid")
         levels.append((nodes, rows))
         if rows.isEmpty():
             break
         below = rows.select(F.explode(F.array_compact(F.array(*[f"c{i}" for i in range(plan.slots)]))).alias("c"))
-        nodes = write_once(below.select("c.*").distinct(), "nodes")
+        nodes = below.select("c.*").distinct()  # from the written rows: cheap to read twice
     if not levels:
         levels.append((nodes, None))
 
