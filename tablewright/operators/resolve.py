@@ -396,8 +396,13 @@ def resolve_entities(
     choices: DataFrame,
     aliases: DataFrame,
     inflections: DataFrame | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """All distinct hits of every mention, by name, alias, template and taxonomy."""
+    """All distinct hits of every mention, by name, alias, template and taxonomy.
+
+    Laying templates multiplies few rows into many; with ``partitions`` the texts of each level
+    are dealt out so far before.
+    """
     plan = _Plan(choices, aliases, inflections)
     asked = mentions.select("dictionary", "mention").distinct().withColumn("text", normalise(F.col("mention")))
     top = asked.select("dictionary", "text").distinct().withColumn("path", F.array().cast("array<string>"))
@@ -405,7 +410,8 @@ def resolve_entities(
     levels = []  # (nodes, laid templates)
     nodes = top
     while plan.slots:
-        rows = write_once(_lay_templates(nodes, plan), "laid")
+        dealt = nodes.repartition(partitions) if partitions else nodes
+        rows = write_once(_lay_templates(dealt, plan), "laid")
         levels.append((nodes, rows))
         if rows.isEmpty():
             break

@@ -41,5 +41,18 @@ class Tables:
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
 
+    @property
+    def parts(self) -> int:
+        """The partition count the session is set to."""
+        return int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def dealt(self, df: DataFrame) -> DataFrame:
+        """Rows dealt out before costly work per row.
+
+        Only for the given tables: each is one file of one row group, which one task would read.
+        Captures that come in many files need no such step, so no operator takes it by itself.
+        """
+        return df.repartition(self.parts)
+
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))

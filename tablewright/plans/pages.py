@@ -133,7 +133,7 @@ def page_text(t: Tables):
     ),
 )
 def article_text(t: Tables):
-    return G.extract_text_without(t.pages, ["nav", ".ad", "footer"])
+    return G.extract_text_without(t.dealt(t.pages), ["nav", ".ad", "footer"])
 
 
 @query(
@@ -199,7 +199,7 @@ def order_pages(t: Tables):
     """,
 )
 def labelled_order_pages(t: Tables):
-    kv = G.extract_kv(order_pages(t))
+    kv = G.extract_kv(t.dealt(order_pages(t)))
     return G.labelled_fields(
         kv, {"status": "Būsena:", "kind": "Rūšis:", "price": "Kaina:", "language": "Kalba:"}
     )
@@ -232,7 +232,7 @@ def customer_table_rows(t: Tables):
         F.lit("<td>mName</table>"),
     )
     pages = t.customer.select(F.col("c_custkey").alias("page_id"), html.alias("html"))
-    rows = G.keyed_rows(G.extract_rows(pages, n_cells=3), ["street", "species", "cls"])
+    rows = G.keyed_rows(G.extract_rows(t.dealt(pages), n_cells=3), ["street", "species", "cls"])
     from ..functions.text import recode
 
     return rows.select(

@@ -93,7 +93,7 @@ PARTS_SQL = """
 
 @query("J6 J7 J8 J9 J10", f"WITH {PARTS_SQL} SELECT * FROM hits")
 def resolve_parts(t: Tables):
-    return R.resolve_entities(mentions(t), *dictionaries(t))
+    return R.resolve_entities(mentions(t), *dictionaries(t), partitions=t.parts)
 
 
 @query(
@@ -105,7 +105,7 @@ def resolve_parts(t: Tables):
 )
 def unresolved_mentions(t: Tables):
     asked = mentions(t)
-    return R.unresolved(asked, R.resolve_entities(asked, *dictionaries(t)))
+    return R.unresolved(asked, R.resolve_entities(asked, *dictionaries(t), partitions=t.parts))
 
 
 @query(
