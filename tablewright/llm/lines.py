@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.session import write_once
+
 from .frames import BLANKS, col, lower_ascii, packed, whole
 
 
@@ -29,8 +31,9 @@ def dedup_lines(
 
     Only (hash, id, text hash, position) of long lines is shuffled for the count, combined
     before each shuffle, so a line in a third of all documents is one row per task when
-    counted. The join that brings a hot line back to its documents is a plain sort-merge join
-    that adaptive execution splits. Texts move once, to meet their dropped positions.
+    counted. The lines found common are written once, so the join that brings a hot line back
+    to its documents shuffles both sides anew and adaptive execution can split it. Texts move
+    once, to meet their dropped positions.
     """
     lines = F.split(F.col("txt"), "\n", -1)
     base = packed(docs, doc=col(doc_id), txt=whole(text)).withColumn("version", F.xxhash64("txt"))
@@ -48,13 +51,14 @@ def dedup_lines(
             F.col("line.at").alias("at"),
         )
     )
-    common = (
+    common = write_once(
         places.groupBy("h1", "h2", "doc")
         .agg(F.lit(1).alias("one"))
         .groupBy("h1", "h2")
         .agg(F.count("*").alias("n_docs"), F.max("doc").alias("keeper"))
         .where(F.col("n_docs") >= min_docs)
-        .drop("n_docs")
+        .drop("n_docs"),
+        "common_lines",
     )
     gone = (
         places.join(common, ["h1", "h2"])
