@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tablewright.session import write_once
 
-from .frames import col, held_out, packed, whole
+from .frames import col, held_out, packed
 
 TEXT, META = "text", "meta"
 
@@ -68,18 +68,20 @@ class CoTrained:
     exchanged: dict[str, int]
 
 
-def inputs(docs: DataFrame, doc_id: str, text: str, lang: str, source: str, n_chars: str) -> DataFrame:
-    """Row, id and what the two views are made of."""
-    base = packed(docs, doc=col(doc_id), body=whole(text), lang=col(lang), source=col(source), size=col(n_chars))
-    size = F.greatest(F.coalesce(F.col("size").cast("double"), F.lit(0.0)), F.lit(0.0))
-    return base.select(
-        "row",
-        "doc",
-        shapes(F.col("body")).alias("words"),
-        *[v.cast("double").alias(k) for k, v in measures(F.col("body")).items()],
+def inputs(rows: DataFrame, text: str, lang: str, source: str, n_chars: str) -> DataFrame:
+    """What the two views are made of, next to the columns of ``rows``; ``row`` is the document."""
+    body = F.coalesce(F.col("row").getField(text).cast("string"), F.lit(""))
+    size = F.greatest(F.coalesce(F.col("row").getField(n_chars).cast("double"), F.lit(0.0)), F.lit(0.0))
+    fact = lambda name, field: F.concat(
+        F.lit(f"{name} "), F.coalesce(F.col("row").getField(field).cast("string"), F.lit(""))
+    )
+    return rows.select(
+        "*",
+        shapes(body).alias("words"),
+        *[v.cast("double").alias(k) for k, v in measures(body).items()],
         F.array(
-            F.concat(F.lit("lang "), F.coalesce(F.col("lang").cast("string"), F.lit(""))),
-            F.concat(F.lit("source "), F.coalesce(F.col("source").cast("string"), F.lit(""))),
+            fact("lang", lang),
+            fact("source", source),
             F.concat(F.lit("size "), F.floor(F.log2(size + 1)).cast("string")),
         ).alias("facts"),
         (F.log1p(size) / 10).alias("meta_size"),
@@ -98,16 +100,20 @@ def scored(frame: DataFrame, models: dict) -> DataFrame:
     return frame
 
 
+def bounded(ids: DataFrame, most: int) -> DataFrame:
+    """The ids with the smallest hashes."""
+    return ids.orderBy(F.xxhash64("doc"), "doc").limit(most)
+
+
 def co_train(
     labelled: DataFrame,
     unlabelled: DataFrame,
     *,
     rounds: int,
     confident: float,
-    max_labelled: int,
-    max_unlabelled: int,
     text_features: int,
     meta_features: int,
+    steps: int = 15,
 ) -> CoTrained | None:
     """Fit both views; None if the labelled rows are not of two classes.
 
@@ -116,25 +122,19 @@ def co_train(
     A row keeps the label of the round that comes last, and none if no view is sure any more.
     """
     views = Pipeline(stages=[*view_of_text(text_features), *view_of_meta(meta_features)])
-    bounded = lambda rows, most: rows.orderBy(F.xxhash64("doc"), "doc").limit(most)
-    gold = write_once(bounded(labelled, max_labelled), "labelled")
-    known = {r.label for r in gold.select("label").distinct().collect()}
-    if len(known) < 2:
+    if labelled.select("label").distinct().count() < 2:
         return None
-    made = views.fit(gold)
+    made = views.fit(labelled)
     keep = ["doc", "label", "text_features", "meta_features"]
-    gold = write_once(made.transform(gold).select("fold", *keep), "labelled_views")
+    gold = write_once(made.transform(labelled).select("fold", *keep), "labelled_views")
     train, check = gold.where("not fold").drop("fold"), gold.where("fold")
-    pool = write_once(
-        made.transform(bounded(unlabelled, max_unlabelled).withColumn("label", F.lit(None).cast("double"))).select(keep),
-        "unlabelled_views",
-    )
+    pool = write_once(made.transform(unlabelled).select(keep), "unlabelled_views")
     if train.select("label").distinct().count() < 2 or check.select("label").distinct().count() < 2:
         train = check = gold.drop("fold")
 
     fit = lambda view, rows: LogisticRegression(
         featuresCol=f"{view}_features", probabilityCol=f"{view}_probability", predictionCol=f"{view}_prediction",
-        rawPredictionCol=f"{view}_raw", regParam=1e-4, maxIter=40,
+        rawPredictionCol=f"{view}_raw", regParam=1e-3, maxIter=steps,
     ).fit(rows)
     given = {TEXT: train, META: train}
     exchanged = {TEXT: 0, META: 0}
@@ -151,7 +151,7 @@ def co_train(
             given[taker] = train.unionByName(sure.select(keep))
     calibration, judged = {}, write_once(scored(check, models).select("label", "text_logit", "meta_logit"), "checked")
     for view in (TEXT, META):
-        platt = LogisticRegression(maxIter=50).fit(
+        platt = LogisticRegression(maxIter=10).fit(
             VectorAssembler(inputCols=[f"{view}_logit"], outputCol="features").transform(judged)
         )
         calibration[view] = (float(platt.coefficients[0]), float(platt.intercept))
@@ -194,25 +194,30 @@ def score_quality(
     * If the labelled rows are not of two classes nothing can be learned: all scores are one half.
     * Rows that repeat an id are scored each. An empty table gives an empty result.
     """
-    base = inputs(docs, doc_id, text, lang, source, n_chars)
+    base, fields = packed(docs, doc=col(doc_id)), (text, lang, source, n_chars)
     judged = labels.groupBy(col(doc_id).alias("doc")).agg((F.avg(col(label)) >= 0.5).cast("double").alias("label"))
     judged = judged.where(F.col("doc").isNotNull() & F.col("label").isNotNull())
-    rows = base.drop("row").withColumn("fold", held_out(F.col("doc")))
+    ids = docs.select(col(doc_id).alias("doc")).distinct()
+    chosen = {
+        "labelled": bounded(ids.join(judged, "doc"), max_labelled),
+        "unlabelled": bounded(ids.join(judged, "doc", "left_anti"), max_unlabelled).withColumn(
+            "label", F.lit(None).cast("double")
+        ),
+    }
+    # Only the ids of the samples are sent to the documents, which are not shuffled.
+    met = {name: base.join(F.broadcast(some), "doc") for name, some in chosen.items()}
+    samples = [
+        write_once(inputs(rows, *fields).drop("row").withColumn("fold", held_out(F.col("doc"))), name)
+        for name, rows in met.items()
+    ]
     learned = co_train(
-        rows.join(judged, "doc"),
-        rows.drop("fold").join(judged, "doc", "left_anti"),
-        rounds=rounds,
-        confident=confident,
-        max_labelled=max_labelled,
-        max_unlabelled=max_unlabelled,
-        text_features=text_features,
-        meta_features=meta_features,
+        *samples, rounds=rounds, confident=confident, text_features=text_features, meta_features=meta_features
     )
     named = [F.col("row"), F.col("doc"), held_out(F.col("doc")).alias("held_out")]
     if learned is None:
         half = [F.lit(0.5).alias(n) for n in ("text_score", "meta_score", "score")]
         return base.select(*named, *half, F.lit(1).alias("quality"))
-    frame = scored(learned.views.transform(base), learned.models)
+    frame = scored(learned.views.transform(inputs(base, *fields)), learned.models)
     odds = {v: a * F.col(f"{v}_logit") + b for v, (a, b) in learned.calibration.items()}
     share = lambda x: 1 / (1 + F.exp(-x))
     both = odds[TEXT] + odds[META] - F.log(F.lit(learned.prior / (1 - learned.prior)))
