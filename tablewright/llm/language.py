@@ -15,6 +15,9 @@ from .frames import col
 
 UNKNOWN = "und"
 NOT_LETTERS = regex.compile(r"\P{L}+")
+#: Stands before every piece. It costs all languages the same few bytes, and keeps short pieces
+#: from being stored as they are, which would cost all languages exactly the same.
+PADDING = b" " * 64
 RESULT = "struct<lang:string,score:double,margin:double>"
 
 
@@ -47,7 +50,7 @@ class Encoder:
             return UNKNOWN, 0.0, 0.0
         pieces = [plain[at : at + self.piece] for at in range(0, len(plain), self.piece)]
         sizes = sorted(
-            (sum(len(c.compress(p)) for p in pieces), lang) for lang, c in self.compressors.items()
+            (sum(len(c.compress(PADDING + p)) for p in pieces), lang) for lang, c in self.compressors.items()
         )
         margin = 1 - sizes[0][0] / sizes[1][0] if len(sizes) > 1 else 1.0
         return sizes[0][1], 0.5 + margin / 2, margin
@@ -65,17 +68,25 @@ def learn_dictionaries(
 ) -> dict[str, bytes]:
     """One dictionary per language from a bounded sample of the ``usable`` rows.
 
-    Of each language, the ``sample_docs`` different texts with the smallest hash are taken,
-    ``sample_chars`` characters of each, and cut to ``dictionary_bytes`` together. Different
-    texts, as a language may hold one text very often. What is collected is bounded by the
-    number of languages.
+    Of each language, at most ``sample_docs`` different texts are taken, those with the smallest
+    hash, ``sample_chars`` characters of each, and cut to ``dictionary_bytes`` together. Different
+    texts, as a language may hold one text very often. A first pass counts the rows of each
+    language; the second only looks at hashes so small that a few times ``sample_docs`` rows are
+    below them. What is collected is bounded by the number of languages.
     """
-    labelled = docs.where(usable & col(lang).isNotNull() & col(text).isNotNull()).select(
+    labelled = docs.where(usable & col(lang).isNotNull()).select(
         col(lang).cast("string").alias("lang"), F.xxhash64(col(text)).alias("hash"), col(text).alias("text")
     )
+    most = []
+    for row in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect():
+        share = min(1.0, 4 * sample_docs / row.n)
+        most += [F.lit(row.lang), F.lit(min(int(share * 2**64) - 2**63, 2**63 - 1))]
+    if not most:
+        return {}
     first = Window.partitionBy("lang").orderBy("hash")
     chosen = (
-        labelled.groupBy("lang", "hash")
+        labelled.where(F.col("text").isNotNull() & (F.col("hash") <= F.create_map(*most)[F.col("lang")]))
+        .groupBy("lang", "hash")
         .agg(F.first(F.substring("text", 1, sample_chars)).alias("piece"))
         .withColumn("rank", F.row_number().over(first))
         .where(F.col("rank") <= sample_docs)
@@ -117,6 +128,6 @@ def language_of(text: Column, dictionaries: dict[str, bytes], *, level: int = 5,
     return judge(text)
 
 
-def accepted(result: Column, min_margin: float = 0.002) -> Column:
+def accepted(result: Column, min_margin: float = 0.001) -> Column:
     """False for what the operator rejects: no letters, or a margin too narrow to tell."""
     return (result["lang"] != UNKNOWN) & (result["margin"] >= min_margin)
