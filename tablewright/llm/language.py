@@ -70,22 +70,23 @@ def learn_dictionaries(
 
     Of each language, at most ``sample_docs`` different texts are taken, those with the smallest
     hash, ``sample_chars`` characters of each, and cut to ``dictionary_bytes`` together. Different
-    texts, as a language may hold one text very often. A first pass counts the rows of each
-    language; the second only looks at hashes so small that a few times ``sample_docs`` rows are
-    below them. What is collected is bounded by the number of languages.
+    texts, as a language may hold one text very often. A first pass counts the different texts
+    of each language, to about two per cent; the second only looks at hashes so small that a few
+    times ``sample_docs`` texts are below them. Rows of null texts count for nothing. What is
+    collected is bounded by the number of languages.
     """
-    labelled = docs.where(usable & col(lang).isNotNull()).select(
+    labelled = docs.where(usable & col(lang).isNotNull() & col(text).isNotNull()).select(
         col(lang).cast("string").alias("lang"), F.xxhash64(col(text)).alias("hash"), col(text).alias("text")
     )
     most = []
-    for row in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect():
+    for row in labelled.groupBy("lang").agg(F.approx_count_distinct("hash", 0.02).alias("n")).collect():
         share = min(1.0, 4 * sample_docs / row.n)
         most += [F.lit(row.lang), F.lit(min(int(share * 2**64) - 2**63, 2**63 - 1))]
     if not most:
         return {}
     first = Window.partitionBy("lang").orderBy("hash")
     chosen = (
-        labelled.where(F.col("text").isNotNull() & (F.col("hash") <= F.create_map(*most)[F.col("lang")]))
+        labelled.where(F.col("hash") <= F.create_map(*most)[F.col("lang")])
         .groupBy("lang", "hash")
         .agg(F.first(F.substring("text", 1, sample_chars)).alias("piece"))
         .withColumn("rank", F.row_number().over(first))

@@ -1,5 +1,6 @@
 import random
 
+import xxhash
 from pyspark.sql import functions as F
 
 from tablewright.llm import language
@@ -67,6 +68,19 @@ def test_one_very_common_text_takes_one_place_in_the_sample(spark):
     assert found.count(b"the same text again and again") == 1
 
 
+def test_copies_and_null_texts_do_not_thin_the_sample(spark):
+    rows = [(i, f"wort{chr(97 + i % 10)}{chr(97 + i // 10 % 10)}", "de") for i in range(5_000)] + [(5_000 + i, None, "de") for i in range(5_000)]
+    found = language.learn_dictionaries(docs_of(spark, rows), F.lit(True))["de"]
+    assert set(found.split()) == {t.encode() for _, t, _ in rows if t}
+
+
+def test_the_sample_is_the_smallest_hashes_of_all_texts(spark):
+    texts = [f"wort{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(3_000)]
+    docs = docs_of(spark, [(i, t, "de") for i, t in enumerate(texts * 2)])
+    found = language.learn_dictionaries(docs, F.lit(True), sample_docs=20)["de"]
+    assert found.decode().split() == sorted(texts, key=lambda t: xxhash.xxh64(t.encode(), seed=42).intdigest() ^ (1 << 63))[:20]
+
+
 def test_one_language_has_the_whole_margin(spark):
     found = docs_of(spark, [(1, "and so on")]).select(language.language_of(F.col("text"), {"en": b"and so on it goes"}).alias("f"))
     assert tuple(found.first().f) == ("en", 1.0, 1.0)
