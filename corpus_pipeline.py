@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.llm import language, lines, packing, secrets, simhash
-from tablewright.llm.frames import held_out
+from tablewright.llm.frames import held_out, whole
 from tablewright.llm.queries import VOCABULARY
 from tablewright.session import write_once
 
@@ -35,10 +35,17 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates, the document with the smallest id stays."""
-    groups = simhash.near_duplicates(docs)
-    gone = groups.groupBy("doc").agg(F.max(F.col("doc").eqNullSafe(F.col("component_id"))).alias("stays"))
-    return docs.join(gone.where(~F.col("stays")).select(F.col("doc").alias("doc_id")), "doc_id", "left_anti")
+    """Of each group of near duplicates, one row stays: one of the smallest id, null ids last.
+
+    Rows are told apart by two hashes of id and text; of rows that repeat both, any one stays.
+    They are combined by these hashes before they are shuffled, once, to meet what stays.
+    """
+    key = {f"_key{n}": F.xxhash64(F.lit(n), F.col("doc_id"), whole("text")) for n in (1, 2)}
+    groups = simhash.near_duplicates(docs, carried=key)
+    first = F.min(F.struct(F.col("doc").isNull().alias("last"), "doc", *key))
+    stays = groups.groupBy("group").agg(first.alias("first")).select(*[f"first.{name}" for name in key])
+    rows = docs.select(F.struct("*").alias("row"), *[c.alias(name) for name, c in key.items()])
+    return rows.dropDuplicates(list(key)).join(stays, list(key), "left_semi").select("row.*")
 
 
 def scan_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

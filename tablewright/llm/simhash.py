@@ -105,12 +105,19 @@ def link_fingerprints(prints: DataFrame, *, distance: int = 2, blocks: int = 4,
 
 
 def near_duplicates(
-    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", words: int = 3, distance: int = 2
+    docs: DataFrame,
+    *,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    words: int = 3,
+    distance: int = 2,
+    carried: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """The group of each document: (``doc``, ``print``, ``component_id``).
+    """The group of each document: (``doc``, ``print``, ``component_id``, ``group``).
 
     Fingerprints link at ``distance`` or fewer differing bits; ``component_id`` is the smallest
-    id reachable by links. Documents with equal fingerprints are one node from there on.
+    id reachable by links, ``group`` the smallest fingerprint. Documents with equal fingerprints
+    are one node from there on. ``carried`` names further columns to hand through for each row.
 
     * A text that is null, empty or only blanks has fingerprint zero and links like any other.
     * Rows that repeat an id are judged by their own text and keep their number.
@@ -120,8 +127,10 @@ def near_duplicates(
     Texts are read once and never shuffled. A fingerprint that a third of all rows share is
     combined before the shuffle and hot only in the last join, which adaptive execution splits.
     """
+    carried = carried or {}
     marked = write_once(
-        packed(docs, doc=col(doc_id), print=fingerprint_of(whole(text), words=words)).drop("row"), "fingerprints"
+        packed(docs, doc=col(doc_id), print=fingerprint_of(whole(text), words=words), **carried).drop("row"),
+        "fingerprints",
     )
     nodes = write_once(marked.groupBy("print").agg(F.min("doc").alias("least")), "nodes")
     roots = stars(link_fingerprints(nodes.select("print"), distance=distance))
@@ -129,5 +138,5 @@ def near_duplicates(
         "root", F.coalesce("root", "print")
     )
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    groups = rooted.join(least, "root").select("print", "component_id")
-    return marked.join(groups, "print").select("doc", "print", "component_id")
+    groups = rooted.join(least, "root").select("print", "component_id", F.col("root").alias("group"))
+    return marked.join(groups, "print").select("doc", "print", "component_id", "group", *carried)

@@ -71,6 +71,14 @@ def test_each_stage_like_brute_force(spark, tmp_path):
             }
 
 
+def test_one_row_of_each_group_of_near_duplicates_stays(spark):
+    one, other = ("first text of some words " * 20, "wholly different matter here " * 20)
+    rows = [(7, one), (7, one), (7, one.upper()), (9, one), (None, one), (None, other), (None, other), (None, other.upper()), (3, "alone"), (3, "apart")]
+    left = C.dedup_near(spark, docs_of(spark, rows), "")
+    assert left.columns == docs_of(spark, rows).columns
+    assert sorted(((r.doc_id, r.text.lower()) for r in left.collect()), key=str) == sorted([(7, one), (None, other), (3, "alone"), (3, "apart")], key=str)
+
+
 def test_run_is_the_stages_in_turn(spark, tmp_path):
     docs_of(spark, sample()).select(*DOCUMENTS).write.parquet(str(tmp_path / "documents.parquet"))
     done = C.run(spark, str(tmp_path))
