@@ -8,7 +8,21 @@ from pyspark.sql import functions as F
 
 from tablewright.session import scratch_path
 
-from . import exact, language, lines, packing, quality, secrets, simhash, tokens, urls, vectors
+from . import (
+    alignment,
+    divergence,
+    exact,
+    language,
+    lines,
+    packing,
+    quality,
+    secrets,
+    shards,
+    simhash,
+    tokens,
+    urls,
+    vectors,
+)
 from .frames import held_out
 
 # The rules for hosts and paths.
@@ -21,6 +35,7 @@ URL_RULES = [
 ]
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -148,6 +163,78 @@ def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select(F.col("doc").alias("doc_id"), "held_out", "text_score", "meta_score", "score", "quality")
 
 
+def op11_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    placed = shards.shard_documents(table(spark, folder, "documents"))
+    return placed.select(
+        F.col("doc").alias("doc_id"),
+        "size",
+        "text_crc32",
+        F.lit(shards.LAW).alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op12_cross_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    aligned = alignment.align_tokens(table(spark, folder, "documents"), VOCABULARY, PIECES)
+    return aligned.select(
+        F.col("doc").cast("long").alias("doc_id"),
+        *["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"],
+        F.col("groups").alias("groups_sha256"),
+    )
+
+
+def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit_sources(table(spark, folder, "documents"))
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body
+  FROM documents
+),
+g AS (SELECT DISTINCT lang, source FROM d),
+w AS (
+  SELECT r, lang, source, unnest(regexp_extract_all(body, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+),
+k AS (
+  SELECT lang, term, count(*) AS ln FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= 30
+),
+lv AS (SELECT lang, count(*)::HUGEINT AS v, sum(ln)::HUGEINT AS lsum FROM k GROUP BY lang),
+c AS (
+  SELECT w.lang, w.source, w.term, count(*) AS n FROM w JOIN k ON w.lang = k.lang AND w.term = k.term GROUP BY ALL
+),
+gs AS (SELECT lang, source, sum(n)::HUGEINT AS gsum FROM c GROUP BY lang, source),
+f AS (
+  SELECT g.lang, g.source, coalesce(v, 0) AS v, coalesce(gsum, 0) + 5 * coalesce(v, 0) AS total,
+    coalesce(lsum, 0) + 5 * coalesce(v, 0) AS ltotal
+  FROM g LEFT JOIN lv ON g.lang = lv.lang LEFT JOIN gs ON g.lang = gs.lang AND g.source = gs.source
+),
+p AS (
+  SELECT f.lang, f.source, k.term, coalesce(c.n, 0) AS n,
+    1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // f.total AS p,
+    1 + (1000000000::HUGEINT * (k.ln + 5)) // f.ltotal AS q
+  FROM f JOIN k ON f.lang = k.lang
+  LEFT JOIN c ON c.lang = f.lang AND c.source = f.source AND c.term = k.term
+),
+pv AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+),
+pair AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(pv.value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pv ON pv.lang = a.lang AND pv.source = a.source AND pv.item = b.source
+),
+term AS (SELECT lang, source, 'term' AS part, term AS item, (p - q)::BIGINT AS value FROM p WHERE n > 0 AND p > q)
+SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item))::INT AS rank
+FROM (SELECT * FROM pair UNION ALL SELECT * FROM term) AS everything
+QUALIFY part = 'pair' OR rank <= 50
+"""
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -161,6 +248,9 @@ QUERIES = {
         op8_secret_scans,
         op9_simhash_near_dedup,
         op10_quality_classifier,
+        op11_sharding,
+        op12_cross_tokenizer_alignment,
+        op13_source_divergence,
     )
 }
-SQL = {"op4_line_dedup": OP4_SQL, "op6_exact_dedup": OP6_SQL}
+SQL = {"op4_line_dedup": OP4_SQL, "op6_exact_dedup": OP6_SQL, "op13_source_divergence": OP13_SQL}
