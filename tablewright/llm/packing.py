@@ -115,106 +115,189 @@ def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[int, ...]]:
     return done + [tuple(f) for at in room for f in at]
 
 
-def fillings(counts: np.ndarray, room: int, most: int) -> list[tuple[int, tuple[int, ...]]]:
-    """Undominated ways to fill ``room`` from the sizes left, as (waste, sizes), best first.
-
-    A size of exactly ``room`` dominates all else. Otherwise, for every size that fits, the
-    filling that starts with it and goes on with the largest size that still fits; of those the
-    ``most`` that waste least, without one whose sizes all fit in the places of another's. The
-    fillings grow together, size by size, until enough of them waste nothing or none can grow.
+class Fillings:
+    """The undominated ways to fill ``room`` from the sizes left, least waste first, one by one.
+
+    All sets of sizes are enumerated that fill ``room`` but for some waste of at most ``limit``,
+    by waste and then by number of sizes, so that a single size that fits exactly comes first
+    and dominates all else. Left out are sets to which a size left over could be added, and sets
+    whose sizes fit in the places of one of the first ``compared`` before; a dominated set more
+    costs time, never a solution. Sizes are bits of one number, so the
+    pairs that add up to a sum are one "and" of it with its mirror image. ``steps`` bounds the
+    sizes tried for one bin; the greedy filling is always there, and comes last if not met before.
     """
-    if not room or counts[room]:
-        return [(0, (room,) if room else ())]
-    first = np.flatnonzero(counts[: room + 1])[::-1]
-    if not len(first):
-        return [(room, ())]
-    below = np.zeros(room + 1, np.int64)
-    below[first] = first
-    below = np.maximum.accumulate(below)
-    left = room - first
-    fits = np.minimum(left, first)
-    size = below[fits]
-    again = (size == first) & (counts[first] < 2)  # a size of which one is left cannot be taken twice
-    if again.any():
-        size[again] = below[size[again] - 1]
-    picked = [first, size]
-    left = left - size
-    while np.count_nonzero(left == 0) < 2 * most:
-        size = below[np.minimum(left, size)]
-        if not size.any():
-            break
-        picked.append(size)
-        left = left - size
-    order = np.argsort(left, kind="stable")[: 3 * most]
-    found: list[tuple[int, tuple[int, ...]]] = []
-    for at in order.tolist():
-        sizes = tuple(x for p in picked if (x := int(p[at])))
-        if len(sizes) > 2 and any(sizes.count(s) > counts[s] for s in set(sizes)):
-            continue
-        if not any(dominates(other, sizes) for _, other in found):
-            found.append((int(left[at]), sizes))
-        if len(found) == most:
-            break
-    if not found:  # all ran out of copies; the largest size alone is always there
-        found = [(room - int(first[0]), (int(first[0]),))]
-    return found
-
 
-def dominates(one: tuple[int, ...], other: tuple[int, ...]) -> bool:
-    """True if the sizes of ``other`` fit in the places of ``one``, each place holding one, or
-    all in its largest."""
-    if sum(other) <= one[0]:
-        return True
-    return len(other) <= len(one) and all(a >= b for a, b in zip(sorted(one, reverse=True), sorted(other, reverse=True), strict=False))
+    compared = 64
+
+    def __init__(self, counts: list[int], held: int, mirror: int, capacity: int, room: int, limit: int, steps: int):
+        self.counts, self.held, self.mirror, self.capacity = counts, held, mirror, capacity
+        self.room, self.limit, self.steps = room, min(limit, room), steps
+
+    def _left(self, size: int, taken: tuple[int, ...]) -> bool:
+        return self.counts[size] > taken.count(size)
+
+    def _exact(self, total: int, most: int, many: int, taken: tuple[int, ...]) -> Iterator[tuple[int, ...]]:
+        """Sets of ``many`` sizes of at most ``most`` that add up to ``total``, largest first."""
+        if many == 1:
+            if total <= most and self.held >> total & 1 and self._left(total, taken):
+                yield (*taken, total)
+            return
+        most = min(most, total - 1)
+        if many == 2:
+            pairs = self.held & (self.mirror >> (self.capacity - total)) & ((2 << most) - 1)
+            pairs = pairs >> -(-total // 2) << -(-total // 2)
+            while pairs:
+                one = pairs.bit_length() - 1
+                pairs ^= 1 << one
+                self.steps -= 1
+                if self._left(one, taken) and self._left(total - one, (*taken, one)):
+                    yield (*taken, one, total - one)
+                if self.steps < 0:
+                    return
+            return
+        least = -(-total // many)
+        sizes = (self.held & ((2 << most) - 1)) >> least << least
+        while sizes:
+            one = sizes.bit_length() - 1
+            sizes ^= 1 << one
+            self.steps -= 1
+            if self.steps < 0:
+                return
+            if self._left(one, taken):
+                yield from self._exact(total - one, one, many - 1, (*taken, one))
+
+    def _greedy(self) -> tuple[int, ...]:
+        taken: tuple[int, ...] = ()
+        room = most = self.room
+        while sizes := self.held & ((2 << min(room, most)) - 1):
+            size = sizes.bit_length() - 1
+            if self._left(size, taken):
+                taken, room = (*taken, size), room - size
+                most = size
+            else:
+                most = size - 1
+        return taken
+
+    def __iter__(self) -> Iterator[tuple[int, tuple[int, ...]]]:
+        smallest = (self.held & -self.held).bit_length() - 1
+        if smallest < 0 or smallest > self.room:
+            yield self.room, ()
+            return
+        found: list[tuple[int, ...]] = []
+        for waste in range(min(self.limit, self.room - smallest) + 1):
+            total = self.room - waste
+            largest = (self.held & ((2 << total) - 1)).bit_length() - 1
+            for many in range(-(-total // largest), total // smallest + 1):
+                before = found[: self.compared]  # sets of equal sum and number never dominate each other
+                for sizes in self._exact(total, total, many, ()):
+                    room_for = self.held & ((2 << waste) - 1)
+                    if waste and any(room_for >> s & 1 and self._left(s, sizes) for s in range(smallest, waste + 1)):
+                        continue
+                    if not any(dominates(other, sizes) for other in before):
+                        if len(found) < self.compared:
+                            found.append(sizes)
+                        yield waste, sizes
+                        if many == 1 and not waste:
+                            return
+                if self.steps < 0:
+                    greedy = self._greedy()
+                    if self.room - sum(greedy) <= self.limit:
+                        yield self.room - sum(greedy), greedy
+                    return
 
 
-def complete_bins(lengths: np.ndarray, capacity: int, *, branches: int = 4, effort: float = 1.25) -> list[tuple[int, ...]]:
+def dominates(one: tuple[int, ...], other: tuple[int, ...]) -> bool:
+    """True if the sizes of ``other`` fit in the places of ``one``, a place holding any number."""
+
+    def fit(rest: tuple[int, ...], places: tuple[int, ...]) -> bool:
+        if not rest:
+            return True
+        tried = set()
+        for at, place in enumerate(places):
+            if place >= rest[0] and place not in tried:
+                tried.add(place)
+                if fit(rest[1:], (*places[:at], place - rest[0], *places[at + 1 :])):
+                    return True
+        return False
+
+    if sum(other) > sum(one) or max(other) > max(one):
+        return False
+    return fit(tuple(sorted(other, reverse=True)), tuple(one))
+
+
+def complete_bins(
+    lengths: np.ndarray, capacity: int, *, effort: float = 4, least: int = 20_000, steps: int = 20_000
+) -> list[tuple[int, ...]]:
     """Sizes of each bin, in as few bins as the search finds.
 
-    Branch and bound over whole bins: the largest size left opens a bin, which is filled in one
+    Branch and bound over whole bins: the largest size left opens a bin, which is filled in each
     of its undominated ways, least waste first. A branch ends when its waste is more than a
     solution with one bin less than the incumbent's could have. Best fit decreasing gives the
-    first incumbent. The search stops when the incumbent meets the bound of the total, or after
-    ``effort`` bins tried for each bin of the incumbent.
+    first incumbent. The search stops when the incumbent meets the bound of the total, when
+    nothing is left to try, or after ``effort`` bins tried for each bin of the first incumbent,
+    and ``least`` at any rate; ``steps`` bounds the enumeration for one bin.
     """
-    counts = np.bincount(lengths, minlength=capacity + 1).astype(np.int64)
+    counts = np.bincount(lengths, minlength=capacity + 1).tolist()
     total = int(lengths.sum())
-    incumbent = best_fit(counts.copy(), capacity)
+    incumbent = best_fit(np.array(counts), capacity)
     slack = (len(incumbent) - 1) * capacity - total  # what a better solution may waste
-    budget = effort * len(incumbent)
+    budget = max(least, effort * len(incumbent))
+    held = sum(1 << s for s, n in enumerate(counts) if n)
+    mirror = sum(1 << (capacity - s) for s, n in enumerate(counts) if n)
 
-    def choices(waste: int) -> list:
-        size = int(np.flatnonzero(counts)[-1])
-        counts[size] -= 1
-        ways = fillings(counts, capacity - size, branches)
-        counts[size] += 1
-        return [(w, (size, *f)) for w, f in reversed(ways) if waste + w <= slack]
+    def take(sizes: tuple[int, ...], times: int) -> None:
+        nonlocal held, mirror
+        for size in sizes:
+            before = counts[size]
+            counts[size] -= times
+            if not before or not counts[size]:
+                held ^= 1 << size
+                mirror ^= 1 << (capacity - size)
+
+    def ways(waste: int) -> Iterator[tuple[int, tuple[int, ...]]]:
+        size = held.bit_length() - 1
+        take((size,), 1)
+        state = Fillings(counts, held, mirror, capacity, capacity - size, slack - waste, steps)
+        take((size,), -1)
+        # ``counts`` holds one more of ``size`` whenever the rest is asked for: it is the same
+        # then as now, and the bin's own piece is taken off for the time of each question.
+        rest = iter(state)
+
+        def each() -> Iterator[tuple[int, tuple[int, ...]]]:
+            while True:
+                counts[size] -= 1
+                found = next(rest, None)
+                counts[size] += 1
+                if found is None:
+                    return
+                yield found[0], (size, *found[1])
+
+        return each()
 
     bins: list[tuple[int, ...]] = []
     spent: list[int] = [0]
-    stack = [choices(0)] if len(lengths) and slack >= 0 else []
+    stack = [ways(0)] if len(lengths) and slack >= 0 else []
     while stack and slack >= 0 and budget > 0:
-        if not stack[-1]:  # nothing more to try here: undo the bin that led here
+        found = next(stack[-1], None)
+        if found is None:  # nothing more to try here: undo the bin that led here
             stack.pop()
             if bins:
-                for size in bins.pop():
-                    counts[size] += 1
+                take(bins.pop(), -1)
                 spent.pop()
             continue
-        waste, sizes = stack[-1].pop()
+        waste, sizes = found
+        budget -= 1
         if spent[-1] + waste > slack:
             continue
-        budget -= 1
-        for size in sizes:
-            counts[size] -= 1
+        take(sizes, 1)
         bins.append(sizes)
         spent.append(spent[-1] + waste)
-        if counts.any():
-            stack.append(choices(spent[-1]))
+        if held:
+            stack.append(ways(spent[-1]))
         else:
             incumbent = list(bins)
             slack = (len(incumbent) - 1) * capacity - total
-            stack.append([])
+            stack.append(iter(()))
     return incumbent
 
 

@@ -51,15 +51,51 @@ def fewest(sizes, capacity):
     return best
 
 
-@settings(max_examples=60, deadline=None)
+@settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(1, 20), min_size=0, max_size=8))
 def test_as_few_bins_as_possible(sizes):
-    found = K.complete_bins(np.array(sizes, np.int64), 20, effort=50)
+    found = K.complete_bins(np.array(sizes, np.int64), 20)
     assert sorted(x for b in found for x in b) == sorted(sizes)
     assert all(0 < sum(b) <= 20 for b in found)
     assert len(found) == fewest(sorted(sizes, reverse=True), 20)
 
 
+def cut_from_full_bins(seed, bins, capacity, most):
+    rng = np.random.default_rng(seed)
+    sizes = []
+    for _ in range(bins):
+        cuts = np.sort(rng.choice(np.arange(1, capacity), rng.integers(1, most), replace=False))
+        sizes += np.diff([0, *cuts, capacity]).tolist()
+    return np.array(sizes, np.int64)
+
+
+def test_full_bins_are_found_again_with_the_shipped_search():
+    missed = sum(len(K.complete_bins(cut_from_full_bins(seed, 6, 60, 5), 60)) > 6 for seed in range(300))
+    assert missed == 0
+
+
+def ways(counts, room, limit):
+    sizes = {s: n for s, n in counts.items() if n}
+    listed = [sizes.get(s, 0) for s in range(room + 1)]
+    held, mirror = sum(1 << s for s in sizes), sum(1 << (60 - s) for s in sizes)
+    return list(K.Fillings([*listed, *[counts.get(s, 0) for s in range(room + 1, 61)]], held, mirror, 60, room, limit, 10**6))
+
+
+def test_fillings_are_all_undominated_ones():
+    assert [f for _, f in ways({6: 1, 3: 1, 2: 2}, 10, 10)] == [(6, 2, 2), (6, 3)]
+    rng = np.random.default_rng(4)
+    for _ in range(60):
+        room = int(rng.integers(5, 25))
+        counts = {int(s): int(rng.integers(1, 3)) for s in rng.integers(1, room + 4, 5)}
+        pool = [s for s, n in counts.items() for _ in range(n)]
+        every = {tuple(sorted(c, reverse=True)) for k in range(1, len(pool) + 1) for c in combinations(pool, k) if sum(c) <= room}
+        found = [f for _, f in ways(counts, room, room)]
+        assert set(found) <= (every or {()})
+        assert all(any(K.dominates(f, c) for f in found) for c in every)
+        assert [w for w, _ in ways(counts, room, room)] == sorted(room - sum(f) for f in found)
+        assert not any(K.dominates(f, g) for f in found for g in found if f != g and sum(f) > 0)
+
+
 def test_better_than_best_fit_and_near_the_bound():
     sizes = np.random.default_rng(0).integers(600, 760, 5000)
     found = len(K.complete_bins(sizes, 2048))
@@ -69,6 +105,7 @@ def test_better_than_best_fit_and_near_the_bound():
 
 def test_dominance():
     assert K.dominates((10,), (4, 5)) and K.dominates((6, 4), (5, 4)) and K.dominates((6, 4), (6,))
+    assert K.dominates((6, 4), (3, 3, 2, 2)) and K.dominates((9, 5), (5, 5, 4))
     assert not K.dominates((6, 4), (7,)) and not K.dominates((6, 4), (4, 4, 4))
 
 
@@ -118,3 +155,15 @@ def test_nothing_of_a_text_is_kept_but_numbers(spark):
     plan = K.pack(docs_of(spark, [(1, "x")]), PATH)
     assert plan.columns == ["doc", "piece", "start", "length", "crc", "sequence_id", "offset"]
     assert plan.select(F.max("length")).first()[0] == 2
+
+
+def test_ids_of_the_given_documents():
+    import pyarrow.parquet as pq
+
+    texts = pq.read_table("/root/testdata/sf0.001/documents.parquet")["text"].to_pylist()
+    assert all(K.token_ids(t, PATH).tolist() == library_ids(t) for t in texts)
+
+
+def test_given_documents_meet_the_bound(spark):
+    out = K.pack(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), PATH).collect()
+    assert len({r.sequence_id for r in out}) == -(-sum(r.length for r in out) // 2048)
