@@ -84,7 +84,7 @@ def encode_b(text: str, path: str, long_text: int) -> list[int]:
 def tokens_of(text: str, path_a: str, path_b: str, long_text: int) -> tuple[np.ndarray, np.ndarray]:
     """The ids of both sides; none where the bytes of a side are not those of space + text."""
     none = np.zeros(0, np.int64)
-    if not text:
+    if not text or BLANK in text:  # B spells that sign as a space
         return none, none
     a, b = encode_a(" " + text, path_a, long_text), encode_b(text, path_b, long_text)
     want = b" " + text.encode()
@@ -127,13 +127,37 @@ class Merged:
     counts: np.ndarray
     n_links: int
     n_groups: int
-    head: tuple[list[str], list[str]]
+    head: tuple[list[int], list[int]]
     middle: str
-    tail: tuple[list[str], list[str]]
+    tail: tuple[list[int], list[int]]
 
 
-def group_text(a: list[str], b: list[str]) -> str:
-    return ",".join(a) + "|" + ",".join(b)
+def group_text(a: list[int], b: list[int]) -> str:
+    return ",".join(map(str, a)) + "|" + ",".join(map(str, b))
+
+
+@functools.lru_cache(maxsize=2)
+def _spelled(most: int) -> list[str]:
+    """For each number below ``most`` four texts: inside and at the end of A's part and of B's."""
+    return [f"{n}{sign}" for n in range(most) for sign in ",|,;"]
+
+
+def group_texts(a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> str:
+    """The text of groups that take A's ids up to each of ``ends_a`` and B's up to ``ends_b``.
+
+    Each id's place among all ids of all groups is computed at once.
+    """
+    if not len(ends_a):
+        return ""
+    codes = np.empty(len(a) + len(b), np.int64)
+    last_a, last_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+    last_a[ends_a - 1] = 1
+    last_b[ends_b - 1] = 1
+    before = np.concatenate([[0], ends_b[:-1]])  # ids of B in the groups before
+    codes[np.arange(len(a)) + np.repeat(before, np.diff(ends_a, prepend=0))] = 4 * a + last_a
+    codes[np.arange(len(b)) + np.repeat(ends_a, np.diff(ends_b, prepend=0))] = 4 * b + last_b + 2
+    most = 1 << int(max(a.max(), b.max())).bit_length()
+    return "".join(map(_spelled(max(most, 1 << 16)).__getitem__, codes.tolist()))[:-1]
 
 
 def merge_piece(
@@ -153,20 +177,19 @@ def merge_piece(
     alone = ~common
     keys = np.concatenate([a[: len(ends_a)] * size_b + b[open_b], a[open_a[alone]] * size_b + b[: len(ends_b)][alone]])
     pairs, counts = np.unique(keys, return_counts=True)
-    cut_a, cut_b = open_a[common].tolist(), (np.flatnonzero(common) + 1).tolist()
-    text_a = list(map(str, a[: len(ends_a)].tolist()))
-    text_b = list(map(str, b[: len(ends_b)].tolist()))
-    if not cut_a:
-        return Merged(pairs, counts, len(keys), 0, (text_a, text_b), "", ([], []))
-    between = zip(cut_a, cut_a[1:], cut_b, cut_b[1:], strict=False)
+    cut_a, cut_b = open_a[common], np.flatnonzero(common) + 1
+    a, b = a[: len(ends_a)], b[: len(ends_b)]
+    if not len(cut_a):
+        return Merged(pairs, counts, len(keys), 0, (a.tolist(), b.tolist()), "", ([], []))
+    (from_a, to_a), (from_b, to_b) = cut_a[[0, -1]], cut_b[[0, -1]]
     return Merged(
         pairs,
         counts,
         len(keys),
         len(cut_a),
-        (text_a[: cut_a[0]], text_b[: cut_b[0]]),
-        ";".join([group_text(text_a[i:j], text_b[k:m]) for i, j, k, m in between]),
-        (text_a[cut_a[-1] :], text_b[cut_b[-1] :]),
+        (a[:from_a].tolist(), b[:from_b].tolist()),
+        group_texts(a[from_a:to_a], b[from_b:to_b], cut_a[1:] - from_a, cut_b[1:] - from_b),
+        (a[to_a:].tolist(), b[to_b:].tolist()),
     )
 
 
@@ -177,8 +200,8 @@ def stitched(parts: list[Merged]) -> tuple[np.ndarray, np.ndarray, int, int, str
     and the head of another.
     """
     text: list[str] = []
-    open_a: list[str] = []
-    open_b: list[str] = []
+    open_a: list[int] = []
+    open_b: list[int] = []
     for part in parts:
         open_a, open_b = open_a + part.head[0], open_b + part.head[1]
         if part.n_groups:
@@ -264,7 +287,7 @@ def merge_documents(docs: DataFrame, path_a: str, path_b: str, *, work: int, lon
 
     encoded = write_once(docs.select("at", "doc", "txt").mapInArrow(encode, full_type), "encoded")
 
-    ends = "array<string>"
+    ends = "array<long>"
     part_type = T.StructType.fromDDL(
         "at long, piece int, n_a long, n_b long, n_groups long, n_links long, pairs array<long>, counts array<long>, "
         f"head_a {ends}, head_b {ends}, middle string, tail_a {ends}, tail_b {ends}"

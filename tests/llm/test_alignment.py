@@ -128,3 +128,10 @@ def test_given_documents(spark):
     for doc, text in list(docs.items())[:40]:
         ends_a, ends_b = (set(np.cumsum([len(x) for x in side(text)[1]]).tolist()) for side in (side_a, side_b))
         assert have[doc] == (len(ends_a), len(ends_b), len(ends_a & ends_b))
+
+
+def test_given_texts_have_the_library_s_ids():
+    import pyarrow.parquet as pq
+
+    for text in pq.read_table("/root/testdata/sf0.001/documents.parquet")["text"].to_pylist():
+        assert A.encode_b(text, PATH_B, 500) == LIBRARY_B.encode(text)
