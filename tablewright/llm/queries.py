@@ -116,8 +116,15 @@ def op5_byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents come in two batches, the upper half of the ids first, so that the index
+    keeps the largest id of each text."""
+    docs = table(spark, folder, "documents")
     name = "digests_" + scratch_path(spark, "").rstrip("/").rpartition("/")[2]
-    judged = exact.DigestIndex(spark, name).add(table(spark, folder, "documents"))
+    index = exact.DigestIndex(spark, name, exact.DigestIndex.buckets_for(docs.count()))
+    upper = F.coalesce(F.col("doc_id") >= docs.agg(F.percentile_approx("doc_id", 0.5)).first()[0], F.lit(False))
+    for batch in (docs.where(upper), docs.where(~upper)):
+        index.append(batch)
+    judged = index.decide(docs)
     return judged.select(
         F.col("doc").alias("doc_id"),
         "keep_id",

@@ -64,3 +64,26 @@ def test_the_index_is_read_without_a_shuffle(spark):
 def test_one_text_in_a_third_of_all_rows(spark):
     rows = [(i, "the same" if i % 3 == 0 else f"text {i}") for i in range(600)]
     assert ours(index(spark), docs_of(spark, rows)) == brute(rows)
+
+
+def test_every_batch_is_anti_joined_without_a_shuffle_of_the_index(spark):
+    held = index(spark)
+    for _ in range(2):  # also the first batch, which meets an empty index
+        groups = held._groups(docs_of(spark, ROWS), "doc_id", "text")
+        text = held.fresh(groups)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in text and "LeftAnti" in text and "Bucketed: true" in text
+        assert text.count("Exchange hashpartitioning") == 1  # of the batch's groups
+        held.append(docs_of(spark, ROWS))
+
+
+def test_the_query_fills_the_index_in_two_batches(spark, tmp_path, monkeypatch):
+    from tablewright.llm import queries as Q
+
+    rows = [*ROWS, (10, "b"), (0, "é"), (12, None)]
+    docs_of(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    batches = []
+    append = DigestIndex.append
+    monkeypatch.setattr(DigestIndex, "append", lambda self, docs, **more: (batches.append(docs.count()), append(self, docs, **more)))
+    done = Q.op6_exact_dedup(spark, str(tmp_path))
+    assert sorted(((r.doc_id, r.text_sha256, r.keep_id, r.group_size, r.kept) for r in done.collect()), key=str) == brute(rows)
+    assert len(batches) == 2 and min(batches) > 0 and sum(batches) == len(rows)
