@@ -5,15 +5,18 @@
 ``mentions`` : dictionary, mention
 hits         : dictionary, mention, id, value, hit_dictionary, source
 
-A slot of a template is resolved like a mention of its own, so matching goes in two passes
-over tables. Downwards, each level lays the templates over the texts asked for and writes
-the texts their slots ask for, until no template fits. Upwards, hits of a level answer the
-slots of the level above. A (dictionary, text) already on the way down is not asked again,
-so mutual templates end. Equal mentions and equal questions are answered once.
+Matching works upwards, like chart parsing over all texts at once. Every run of tokens that is a
+name, an alias or a template's literal is marked by one join on its text. Then, round by round,
+marks that stand side by side are combined along a trie of the templates' parts, and what a
+template makes of them is a mark like any other. A text that is already below on the way up is
+not made again, so mutual templates end. Equal mentions are answered once.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,10 +24,8 @@ from ..functions.text import normalise, title_case, words
 from ..session import write_once
 
 EXTENDS = "(extends)"
-SALTS = 32  # templates without a literal spread over this many join keys
 NO_LIMIT = 1 << 30
-_SEP = "\u0001"
-_NODE = ["dictionary", "text", "path"]
+_SEP, _EDGE = "\u0001", "\u0002"
 _HIT = ["id", "value", "hit_dictionary", "source"]
 
 
@@ -106,16 +107,21 @@ def unknown_names(aliases: DataFrame, choices: DataFrame) -> DataFrame:
     )
 
 
-def _templates(aliases: DataFrame, direct: DataFrame) -> DataFrame:
-    """Templates ready to match; blank literals take part in rendering only.
+def _slot_symbol(name: Column, flags: Column) -> Column:
+    return F.concat_ws(_SEP, F.lit("slot"), name, F.array_join(flags, ","))
+
+
+def _literal_symbol(text: Column) -> Column:
+    return F.concat_ws(_SEP, F.lit("literal"), text)
+
+
+def _templates(aliases: DataFrame) -> DataFrame:
+    """Templates ready to match: ``slots`` (name, flags) and the ``symbols`` of all parts.
 
-    Per part: the tokens of a literal, the fewest tokens all later parts need, and the most a
-    slot can take. A slot whose dictionary has no templates hits directly or not at all, so
-    it takes no more tokens than the longest text there.
+    Blank literals take part in rendering only. Templates without a slot never match.
     """
-    table = aliases.where(F.instr("alias", "{") > 0).select(
+    parsed = aliases.where(F.instr("alias", "{") > 0).select(
         "dictionary",
-        "alias",
         "target",
         F.filter(parse_template(F.col("alias")), lambda p: p["slot"] | (F.size(p["tokens"]) > 0)).alias("parts"),
         F.transform(
@@ -123,48 +129,32 @@ def _templates(aliases: DataFrame, direct: DataFrame) -> DataFrame:
             lambda p: F.struct(*[p[f].alias(f) for f in ("slot", "name", "flags", "literal")]),
         ).alias("render"),
     )
-    deep = table.select(F.col("dictionary").alias("name"), F.lit(True).alias("deep")).distinct()
-    longest = direct.groupBy(F.col("dictionary").alias("name")).agg(
-        F.max(F.size(F.split("text", " "))).alias("longest")
+    symbol = lambda p: F.when(p["slot"], _slot_symbol(p["name"], p["flags"])).otherwise(
+        _literal_symbol(F.array_join(p["tokens"], " "))
     )
-    slot = table.select("dictionary", "alias", "target", F.posexplode("parts").alias("i", "p")).where("p.slot")
-    slot = slot.select("dictionary", "alias", "target", "i", "p.name", "p.flags")
-    free = F.col("deep") | (F.size("flags") > 0)
-    slot = slot.join(deep, "name", "left").join(longest, "name", "left").select(
+    return parsed.select(
         "dictionary",
-        "alias",
         "target",
-        F.struct(
-            "i",
-            "name",
-            "flags",
-            F.coalesce("deep", F.lit(False)).alias("deep"),
-            F.when(F.coalesce(free, F.lit(False)), NO_LIMIT).otherwise(F.coalesce("longest", F.lit(0))).alias("most"),
-        ).alias("s"),
-    )
-    slots = slot.groupBy("dictionary", "alias", "target").agg(F.array_sort(F.collect_set("s")).alias("slots"))
-    width = lambda p: F.greatest(F.size(p["tokens"]), F.lit(1))
+        "render",
+        F.transform(F.filter("parts", lambda p: p["slot"]), lambda p: F.struct(p["name"].alias("name"), p["flags"].alias("flags"))).alias("slots"),
+        F.transform("parts", symbol).alias("symbols"),
+    ).where(F.size("slots") > 0)
 
-    def measured(p: Column, i: Column) -> Column:
-        later = F.slice("parts", i + 2, F.size("parts"))
-        own = F.filter("slots", lambda s: s["i"] == i)
-        return F.struct(
-            p["slot"].alias("slot"),
-            p["tokens"].alias("tokens"),
-            F.aggregate(later, F.lit(0), lambda n, q: n + width(q)).alias("rest"),
-            F.get(own, F.lit(0))["most"].alias("most"),
-        )
 
-    literal = F.filter("parts", lambda p: ~p["slot"])
-    return table.join(slots, ["dictionary", "alias", "target"]).select(
-        "dictionary",
-        "target",
-        "render",
-        "slots",
-        F.transform("parts", measured).alias("parts"),
-        F.get(F.get(literal, F.lit(0))["tokens"], F.lit(0)).alias("anchor"),
-        F.aggregate("parts", F.lit(0), lambda n, p: n + width(p)).alias("least"),
-    )
+def _node(symbols: str, size) -> Column:
+    return F.array_join(F.slice(symbols, F.lit(1), size), _EDGE)
+
+
+def _trie(templates: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The templates as a trie: edges (``node``, ``symbol``, ``child``), and where each ends.
+
+    Templates share the beginnings they have in common, and from a node a symbol leads to one
+    child, however many templates there are.
+    """
+    steps = templates.select("symbols", F.posexplode("symbols").alias("i", "symbol"))
+    edges = steps.select(_node("symbols", F.col("i")).alias("node"), "symbol", _node("symbols", F.col("i") + 1).alias("child")).distinct()
+    ends = templates.withColumn("node", _node("symbols", F.size("symbols"))).drop("symbols")
+    return edges, ends
 
 
 # ---- inflection -------------------------------------------------------------------
@@ -268,102 +258,162 @@ def _span_text(tokens: str, span: Column) -> Column:
     return F.array_join(F.slice(tokens, span["start"] + 1, span["stop"] - span["start"]), " ")
 
 
-# ---- the two passes -----------------------------------------------------------------
+# ---- the chart ----------------------------------------------------------------------
 
 
 class _Plan:
-    """The dictionary side of a resolution: lookups and templates written once, with few size facts."""
+    """The dictionary side of a resolution, written once, with a few facts about its size."""
 
     def __init__(self, choices, aliases, inflections):
         self.names = name_index(choices)
-        self.direct = write_once(direct_hits(self.names, aliases), "direct")
         self.inflect = inflection_table(inflections) if inflections is not None else None
-        self.templates = write_once(_templates(aliases, self.direct), "templates")
-
-        def flags_of(col):
-            return F.max(F.aggregate(col, F.lit(0), lambda n, p: F.greatest(n, F.size(p["flags"]))))
-
+        self.templates = write_once(_templates(aliases), "templates")
+        self.edges, self.ends = _trie(self.templates)
+        self.direct = direct_hits(self.names, aliases)
+        direct = self.direct.withColumn("symbol", F.lit(None).cast("string"))
+        literals = (
+            self.templates.select(F.explode("symbols").alias("symbol")).where(F.col("symbol").startswith("literal"))
+            .distinct().withColumn("text", F.substring_index("symbol", _SEP, -1))
+        )
+        self.known = write_once(direct.unionByName(literals, allowMissingColumns=True).where("text <> ''"), "known_texts")
+
+        slot = self.templates.select(F.explode("slots").alias("s")).select("s.name", "s.flags")
+        flagged = slot.where(F.size("flags") > 0).distinct()
         facts = self.templates.agg(
-            F.max(F.size("parts")), F.max(F.size("slots")), F.max(F.size("render")),
-            flags_of("slots"), flags_of("render"), F.max(F.exists("slots", lambda s: ~s["deep"]).cast("int")),
+            F.max(F.size("symbols")), F.max(F.size("render")),
+            F.max(F.aggregate("render", F.lit(0), lambda n, p: F.greatest(n, F.size(p["flags"])))),
         ).first()
-        self.parts, self.slots, self.renders, self.part_flags, self.render_flags, self.leaves = (n or 0 for n in facts)
+        self.parts, self.renders, self.render_flags = (n or 0 for n in facts)
+        # How many tokens a known text can have: at most as many values as the longest has tokens.
+        self.lengths = _lengths(self.known, F.col("text"))
+        self.flagged = write_once(flagged, "flagged_slots")
+        self.flags = [r.flags for r in self.flagged.select("flags").distinct().collect()]  # the lists of flags templates use
         # Texts get shorter on the way down unless an inflection adds words.
-        grows = self.inflect is not None and not self.inflect.where(
+        self.grows = self.inflect is not None and not self.inflect.where(
             F.size(words(F.col("result"))) > F.size(words(F.col("form")))
         ).isEmpty()
-        self.keep_path = grows
 
 
-def _lay_templates(nodes: DataFrame, plan: _Plan) -> DataFrame:
-    """Templates laid over nodes: one row per fitting split with its child questions ``c0, c1, …``."""
-    asked = nodes.withColumn("tokens", F.filter(F.split("text", " "), lambda w: w != ""))
-    anchored = plan.templates.where("anchor IS NOT NULL")
-    free = plan.templates.where("anchor IS NULL")
-    by_token = asked.withColumn("anchor", F.explode(F.array_distinct("tokens"))).join(
-        anchored, ["dictionary", "anchor"]
-    )
-    salted = asked.withColumn("__salt", F.pmod(F.hash("text"), F.lit(SALTS)))
-    copies = free.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    by_dictionary = salted.join(copies, ["dictionary", "__salt"]).drop("__salt")
-    met = by_token.unionByName(by_dictionary).where(F.size("tokens") >= F.col("least"))
-    rows = _lay_parts(met, plan.parts).select(*_NODE, "target", "render", "slots", "tokens", "spans")
-
-    for i in range(plan.slots):
-        slot = F.get("slots", F.lit(i))
-        there = F.size("slots") > i
-        rows = rows.withColumn("__t", F.when(there, _span_text("tokens", F.get("spans", F.lit(i)))))
-        if plan.part_flags:
-            rows = apply_flags(rows, "__t", slot["flags"], plan.part_flags, plan.inflect)
-            rows = rows.withColumn("__t", normalise(F.col("__t")))
-        rows = rows.withColumn("__m", F.when(there, F.concat_ws(_SEP, slot["name"], "__t")).otherwise(F.lit("")))
-        rows = rows.where(~F.array_contains("path", F.col("__m")))
-        path = F.array_sort(F.array_distinct(F.concat("path", F.array("__m"))))
-        if not plan.keep_path:
-            size = _count("__t")
-            path = F.filter(path, lambda e: _count(F.substring_index(e, _SEP, -1)) <= size)
-        child = F.struct(slot["name"].alias("dictionary"), F.col("__t").alias("text"), path.alias("path"))
-        rows = rows.withColumn(f"c{i}", F.when(there, child)).drop("__t", "__m")
-        if not plan.leaves:
-            continue
-        # A slot that can only hit directly must do so, or the row goes now.
-        direct = plan.direct.select(
-            F.col("dictionary").alias("__d"), F.col("text").alias("__x"), F.lit(True).alias("__hit")
-        ).distinct()
-        rows = rows.join(
-            direct,
-            (F.col(f"c{i}.dictionary") == F.col("__d")) & (F.col(f"c{i}.text") == F.col("__x")),
-            "left",
-        )
-        open_slot = ~there | slot["deep"] | F.col("__hit")
-        rows = rows.where(F.coalesce(open_slot, F.lit(False))).drop("__d", "__x", "__hit")
-    return rows.select(*_NODE, "target", "render", "slots", *[f"c{i}" for i in range(plan.slots)])
-
-
-def _answer(rows: DataFrame, hits: DataFrame, plan: _Plan) -> DataFrame:
-    """Hits of the level above: slots joined to their answers, targets rendered and looked up."""
-    done = []
-    open_rows = rows
-    for i in range(plan.slots):
-        answers = hits.select(
-            F.struct(*_NODE).alias(f"c{i}"),
-            F.col("id").alias(f"id{i}"),
-            F.col("value").alias(f"value{i}"),
-            F.col("hit_dictionary").alias(f"dict{i}"),
-        ).distinct()
-        open_rows = open_rows.where(F.size("slots") > i).join(answers, f"c{i}")
-        done.append(open_rows.where(F.size("slots") == i + 1).select(
-            *_NODE, "target", "render", "slots",
-            F.array(*[F.col(f"value{j}") for j in range(i + 1)]).alias("values"),
-            F.col("id0").alias("id"), F.col("value0").alias("value"), F.col("dict0").alias("hit_dictionary"),
-        ))
-    filled = done[0]
-    for part in done[1:]:
-        filled = filled.unionByName(part)
-
-    passed = filled.where(F.col("target") == EXTENDS).select(*_NODE, *_HIT[:3], F.lit("extends").alias("source"))
-
-    made = filled.where(F.col("target") != EXTENDS).drop("id", "value", "hit_dictionary")
+def _lengths(table: DataFrame, text: Column) -> list[int]:
+    return sorted(table.agg(F.collect_set(_count(text))).first()[0])
+
+
+def _spans(texts: DataFrame, lengths: list[int]) -> DataFrame:
+    """``tid, n, start, stop, span`` for every run of tokens as long as one of ``lengths``."""
+    n = F.size("tokens")
+    fitting = F.filter(F.array(*map(F.lit, lengths)).cast("array<int>"), lambda k: k <= n)
+    cut = texts.withColumn("tokens", F.split("text", " ")).select("tid", "tokens", n.alias("n"), F.explode(fitting).alias("k"))
+    cut = cut.select("*", F.explode(F.sequence(F.lit(0), F.col("n") - F.col("k"))).alias("start"))
+    return cut.select("tid", "n", "start", (F.col("start") + F.col("k")).alias("stop"), F.array_join(F.slice("tokens", F.col("start") + 1, F.col("k")), " ").alias("span"))
+
+
+def _inflected(texts: DataFrame, plan: _Plan) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
+    """(texts, changes, places): texts joined by those that flags of slots make of their parts.
+
+    ``changes`` has ``span, flags, derived`` for parts that a list of flags changes; ``places``
+    where such parts stand, with the number of the derived text. Both are None if no slot has a
+    flag that can change a text.
+    """
+    if plan.inflect is None or not plan.flags:
+        return texts, None, None
+    lengths = _lengths(plan.inflect, F.col("form"))
+    seen, new, changes, round_ = texts, texts, None, 0
+    while True:
+        round_ += 1
+        parts = write_once(_spans(new, lengths).select("span").distinct(), "parts")
+        found = None
+        for flags in plan.flags:
+            made = apply_flags(parts.withColumn("made", F.col("span")), "made", F.array(*map(F.lit, flags)), len(flags), plan.inflect)
+            made = made.select("span", F.array_join(F.array(*map(F.lit, flags)), ",").alias("flags"), normalise(F.col("made")).alias("derived"))
+            found = made if found is None else found.unionByName(made)
+        found = write_once(found.where("derived <> span"), "changes")
+        changes = found if changes is None else changes.unionByName(found).distinct()
+        more = found.select(F.col("derived").alias("text")).where("text <> ''").distinct().join(seen, "text", "left_anti")
+        new = _numbered(more, round_)
+        if new.isEmpty():
+            break
+        seen = seen.unionByName(new)
+    numbered = seen.select(F.col("tid").alias("derived_tid"), F.col("text").alias("derived"))
+    places = _spans(seen, lengths).join(changes, "span").join(numbered, "derived")
+    return seen, write_once(changes, "changes"), write_once(places.select("tid", "start", "stop", "span", "flags", "derived_tid"), "places")
+
+
+def _numbered(texts: DataFrame, round_: int = 0) -> DataFrame:
+    """Texts with a number ``tid``, fixed by being written; those of later rounds have others."""
+    return write_once(texts.select("text", (F.monotonically_increasing_id() + F.lit(round_ << 55)).alias("tid")), "texts")
+
+
+def _symbols(hits: DataFrame, plan: _Plan, changes: DataFrame | None, places: DataFrame | None) -> DataFrame:
+    """What hits stand for in templates: ``tid, start, stop, symbol`` and the hit.
+
+    A slot without flags takes a hit of its dictionary where it stands. A slot with flags takes
+    it too, unless the flags change the text; then it takes the hits of the changed text.
+    """
+    none = F.array().cast("array<string>")
+    out = hits.withColumn("symbol", _slot_symbol(F.col("dictionary"), none))
+    if plan.flags:
+        uses = plan.flagged.select(F.col("name").alias("dictionary"), F.array_join("flags", ",").alias("flags"), _slot_symbol(F.col("name"), F.col("flags")).alias("symbol"))
+        flagged = hits.join(uses, "dictionary")
+        if changes is not None:
+            here = flagged.join(changes, ["span", "flags"], "left_anti").drop("flags")
+            whole = flagged.where((F.col("start") == 0) & (F.col("stop") == F.col("n"))).drop("start", "stop", "span", "n")
+            there = whole.withColumnRenamed("tid", "derived_tid").join(places, ["derived_tid", "flags"]).drop("derived_tid", "flags")
+            flagged = here.drop("n").unionByName(there)
+        out = out.drop("n").unionByName(flagged.drop("n", "flags"))
+    # What only ids, sources or the like tell apart is one thing to a template.
+    return out.select(
+        "tid", F.col("start").alias("from"), F.col("stop").alias("to"), "symbol",
+        F.struct("id", "value", "hit_dictionary").alias("hit"), "used", "fresh",
+    )
+
+
+def _combined(symbols: DataFrame, plan: _Plan) -> DataFrame:
+    """Templates that are complete: ``tid, start, stop, values, first, used`` and the template.
+
+    States walk the trie: each step joins the state to a symbol that starts where it stands, and
+    to the edge of that symbol. Only combinations with a hit of the last round are handed on.
+    """
+    none = F.array().cast("array<string>")
+    symbols = symbols.join(plan.edges.select("symbol").distinct(), "symbol", "left_semi")
+    states, done = None, None
+    for number in range(plan.parts):
+        if states is None:
+            met = symbols.select(
+                "tid", F.col("from").alias("start"), "to", "symbol", "hit", F.col("used").alias("below"), F.col("fresh").alias("new"),
+                F.lit("").alias("node"), none.alias("values"), F.lit(None).cast("struct<id:bigint,value:string,hit_dictionary:string>").alias("first"),
+                none.alias("used"), F.lit(False).alias("fresh"),
+            )
+        else:
+            ahead = symbols.withColumnsRenamed({"from": "at", "used": "below", "fresh": "new"})
+            met = states.join(ahead, ["tid", "at"])
+        stepped = met.join(plan.edges, ["node", "symbol"]).select(
+            "tid", "start", F.col("to").alias("at"), F.col("child").alias("node"),
+            F.when(F.col("hit").isNull(), F.col("values")).otherwise(F.concat("values", F.array("hit.value"))).alias("values"),
+            F.coalesce("first", "hit").alias("first"),
+            F.array_union("used", "below").alias("used"),
+            (F.col("fresh") | F.col("new")).alias("fresh"),
+        )
+        states = stepped.distinct()
+        done = states if done is None else done.unionByName(states)
+    return done.where("fresh").withColumnRenamed("at", "stop").join(plan.ends, "node")
+
+
+def _made(combined: DataFrame, texts: DataFrame, plan: _Plan) -> DataFrame:
+    """Hits of complete templates: targets rendered and looked up, or handed up as they are."""
+    tokens = texts.select("tid", F.split("text", " ").alias("tokens"))
+    rows = combined.join(tokens, "tid").withColumn("n", F.size("tokens"))
+    rows = rows.withColumn("span", _span_text("tokens", F.struct("start", "stop"))).drop("tokens", "node")
+    own = F.concat_ws(_SEP, "dictionary", "span")
+    rows = rows.where(~F.array_contains("used", own))
+    used = F.array_union("used", F.array(own))
+    if not plan.grows:  # what is shorter than the text cannot be met again above it
+        size = _count("span")
+        used = F.filter(used, lambda e: _count(F.substring_index(e, _SEP, -1)) >= size)
+    rows = rows.withColumn("used", F.array_sort(used))
+    place = ["tid", "n", "start", "stop", "span", "dictionary", "used"]
+
+    passed = rows.where(F.col("target") == EXTENDS).select(*place, "first.*", F.lit("extends").alias("source"))
+    made = rows.where(F.col("target") != EXTENDS)
     slot_names = F.transform("slots", lambda s: s["name"])
     for i in range(plan.renders):
         part = F.get("render", F.lit(i))
@@ -378,11 +428,11 @@ def _answer(rows: DataFrame, hits: DataFrame, plan: _Plan) -> DataFrame:
     pieces = [
         F.when(F.size("render") > i, F.col(f"__r{i}")).otherwise(F.lit("")) for i in range(plan.renders)
     ]
-    made = made.select(*_NODE, F.concat(*pieces).alias("made")).where("made IS NOT NULL")
+    made = made.select(*place, F.concat(*pieces).alias("made")).where("made IS NOT NULL")
     made = made.withColumn("__t", normalise(F.col("made")))
     names = plan.names.select("dictionary", F.col("text").alias("__t"), "id", "value")
     looked = made.join(names, ["dictionary", "__t"], "left").select(
-        *_NODE,
+        *place,
         F.col("id").cast("bigint").alias("id"),
         F.coalesce("value", "made").alias("value"),
         F.col("dictionary").alias("hit_dictionary"),
@@ -400,33 +450,41 @@ def resolve_entities(
 ) -> DataFrame:
     """All distinct hits of every mention, by name, alias, template and taxonomy.
 
-    Laying templates multiplies few rows into many; with ``partitions`` the texts of each level
-    are dealt out so far before.
+    A round works on all texts and is written once; there are as many rounds as templates nest.
+    Joins are by the text of a run of tokens, by (text, position), and by (trie node, symbol):
+    none by dictionary, so a dictionary that a third of all mentions ask is no hot key, and the
+    work does not grow with the number of templates that do not fit. With ``partitions`` the
+    texts are dealt out so far before they are cut.
     """
     plan = _Plan(choices, aliases, inflections)
-    asked = mentions.select("dictionary", "mention").distinct().withColumn("text", normalise(F.col("mention")))
-    top = asked.select("dictionary", "text").distinct().withColumn("path", F.array().cast("array<string>"))
-
-    levels = []  # (nodes, laid templates)
-    nodes = top
-    while plan.slots:
-        dealt = nodes.repartition(partitions) if partitions else nodes
-        rows = write_once(_lay_templates(dealt, plan), "laid")
-        levels.append((nodes, rows))
-        if rows.isEmpty():
+    asked = write_once(mentions.select("dictionary", "mention").distinct().withColumn("text", normalise(F.col("mention"))), "asked")
+    texts = asked.select("text").where("text <> ''").distinct()
+    texts, changes, places = _inflected(_numbered(texts.repartition(partitions) if partitions else texts), plan)
+
+    marked = write_once(_spans(texts, plan.lengths).join(plan.known.withColumnRenamed("text", "span"), "span"), "marked")
+    literals = marked.where("symbol IS NOT NULL").select(
+        "tid", F.col("start").alias("from"), F.col("stop").alias("to"), "symbol",
+        F.lit(None).cast("struct<id:bigint,value:string,hit_dictionary:string>").alias("hit"),
+        F.array().cast("array<string>").alias("used"), F.lit(False).alias("fresh"),
+    ).distinct()
+    columns = ["tid", "n", "start", "stop", "span", "dictionary", "used", *_HIT]
+    used = F.array(F.concat_ws(_SEP, "dictionary", "span")).alias("used")
+    hits = marked.where("symbol IS NULL").select("tid", "n", "start", "stop", "span", "dictionary", used, *_HIT)
+    hits = hits.withColumn("round", F.lit(0))
+    number = 0
+    while plan.parts:
+        symbols = _symbols(hits.withColumn("fresh", F.col("round") == number), plan, changes, places)
+        found = _made(_combined(symbols.unionByName(literals), plan), texts, plan).select(columns).distinct()
+        number += 1
+        known = hits.select(*[F.col(c).alias(f"__{c}") for c in columns])
+        same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in columns])
+        new = write_once(found.join(known, same, "left_anti").withColumn("round", F.lit(number)), "hits")
+        if new.isEmpty():
             break
-        below = rows.select(F.explode(F.array_compact(F.array(*[f"c{i}" for i in range(plan.slots)]))).alias("c"))
-        nodes = below.select("c.*").distinct()  # from the written rows: cheap to read twice
-    if not levels:
-        levels.append((nodes, None))
-
-    hits = None
-    for nodes, rows in reversed(levels):
-        here = nodes.join(plan.direct, ["dictionary", "text"]).select(*_NODE, *_HIT)
-        if hits is not None:
-            here = here.unionByName(_answer(rows, hits, plan)).distinct()
-        hits = write_once(here, "hits")
-    return asked.join(hits.drop("path"), ["dictionary", "text"]).select("dictionary", "mention", *_HIT)
+        hits = hits.unionByName(new)
+    blank = plan.direct.where("text = ''").select("dictionary", "text", *_HIT)  # names of no letters, for mentions alike
+    whole = hits.where((F.col("start") == 0) & (F.col("stop") == F.col("n"))).select("dictionary", F.col("span").alias("text"), *_HIT)
+    return asked.join(whole.unionByName(blank), ["dictionary", "text"]).select("dictionary", "mention", *_HIT).distinct()
 
 
 def match_index(mentions: DataFrame, choices: DataFrame) -> DataFrame:
