@@ -15,23 +15,23 @@ from ..session import write_once
 from .joins import attribute_roles
 from .log import as_list
 from .project import exclude_pairs
-from .scan import CHUNK, Running, running
+from .scan import Running, place, running
 
 
 def carry_forward(
-    df: DataFrame, keys: Sequence[str], order: str, value: Column, out: str, width: int = CHUNK
+    df: DataFrame, keys: Sequence[str], order: str, value: Column, out: str, parts: int | None = None
 ) -> DataFrame:
     """The last non-null ``value`` up to and with the current row."""
-    return running(df, keys, order, Running(out, "last", value), width=width)
+    return running(df, keys, order, Running(out, "last", value), parts=parts)
 
 
 # ---- key/value runs -----------------------------------------------------------
 
 
-def run_numbers(pairs: DataFrame, keys: Sequence[str], first_key: str, width: int = CHUNK) -> DataFrame:
+def run_numbers(pairs: DataFrame, keys: Sequence[str], first_key: str, parts: int | None = None) -> DataFrame:
     """``run`` of each ordered pair: a new run at every ``first_key``; before it, run 0."""
     starts = (F.col("k") == first_key).cast("bigint")
-    return running(pairs, keys, "pos", Running("run", "sum", F.coalesce(starts, F.lit(0))), width=width)
+    return running(pairs, keys, "pos", Running("run", "sum", F.coalesce(starts, F.lit(0))), parts=parts)
 
 
 def fold_kv_runs(
@@ -39,7 +39,7 @@ def fold_kv_runs(
     keys: Sequence[str],
     first_key: str,
     skip: Sequence[tuple] = (),
-    width: int = CHUNK,
+    parts: int | None = None,
 ) -> DataFrame:
     """One record per run of pairs ``pos, k, v``: ``run, record`` (a map, last value wins).
 
@@ -49,7 +49,7 @@ def fold_kv_runs(
     pairs, come together in one row.
     """
     keys = as_list(keys)
-    kept = exclude_pairs(run_numbers(pairs, keys, first_key, width), "k", "v", skip)
+    kept = exclude_pairs(run_numbers(pairs, keys, first_key, parts), "k", "v", skip)
     fields = kept.groupBy(*keys, "run", "k").agg(F.max_by("v", "pos").alias("v"))
     pair = F.when(F.col("k").isNotNull(), F.struct("k", "v"))
     return fields.groupBy(*keys, "run").agg(
@@ -126,7 +126,7 @@ def assemble_turns(
     carried: Sequence[str] = (),
     time: Column | None = None,
     sep: str = "\n\n",
-    width: int = CHUNK,
+    parts: int | None = None,
     also: Sequence[Running] = (),
 ) -> DataFrame:
     """Merge segments ``pos`` into turns: ``rowno`` (from 1), ``text``, the opener's columns.
@@ -142,7 +142,8 @@ def assemble_turns(
     if time is not None:
         base = base.withColumn("__time", time)
         specs.append(Running("__clock", "last", F.col("__time")))
-    numbered = running(base, doc, "pos", *specs, width=width)
+    base = place(base, doc, "pos", parts)
+    numbered = running(base, doc, "pos", *specs)
     opener = F.when(F.col("__open"), F.col("pos"))
     chunks = F.array_sort(F.collect_list(F.struct("pos", F.col("__text").alias("t"))))
     aggs = [
@@ -173,7 +174,7 @@ def classify_segments(segments: DataFrame, emphasis: Column) -> DataFrame:
     items = F.when(speaks, T.bracket_items(tail))
     out = segments.withColumn("time", time).withColumn("is_speaker", F.coalesce(speaks, F.lit(False)))
     out = out.withColumn("__items", items)
-    strip = lambda c: F.regexp_replace(c, r"^\s+|\s+$", "")
+    strip = lambda c: F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
     out = out.withColumn(
         "text",
         F.when(F.col("time").isNotNull(), strip(tail))
@@ -199,7 +200,7 @@ def parse_transcripts(
     heads = F.array_compact(F.transform("emphasis", T.emphasis_head))
     marked = docs.withColumn("__heads", heads)
     cut = segment_text(marked, f"(?U:{T.SPEAKER_MARK})", ["key", *keep, "__heads"])
-    # Text is cut and classified once; the passes below read the columns they need.
+    # Text is cut and classified once and written; placing it samples the written rows.
     segments = write_once(classify_segments(cut, F.col("__heads")).drop("__heads"), "segments")
     turns = assemble_turns(
         segments,
@@ -229,22 +230,18 @@ def parse_transcripts(
 # ---- intervals and series ------------------------------------------------------
 
 
-def merge_intervals(df: DataFrame, group: Sequence[str], lo: str, hi: str, width: int = CHUNK) -> DataFrame:
+def merge_intervals(df: DataFrame, group: Sequence[str], lo: str, hi: str, parts: int | None = None) -> DataFrame:
     """Union of whole-number intervals per group: ``group, lo, hi``; touching ones merge.
 
-    Intervals of one start are combined before the shuffle and written once, as the two passes
-    over chunks of starts read them more than once.
+    Intervals of one start are combined before the shuffle and placed once; both passes read
+    them where they lie.
     """
     group = as_list(group)
-    starts = write_once(
-        df.groupBy(*group, F.col(lo).cast("bigint").alias("lo")).agg(F.max(F.col(hi).cast("bigint")).alias("hi")),
-        "starts",
-    )
-    reach = running(
-        starts, group, "lo", Running("__reach", "max", F.col("hi"), before=True), width=width, keep_chunk=True
-    )
+    starts = df.groupBy(*group, F.col(lo).cast("bigint").alias("lo")).agg(F.max(F.col(hi).cast("bigint")).alias("hi"))
+    placed = place(starts, group, "lo", parts)
+    reach = running(placed, group, "lo", Running("__reach", "max", F.col("hi"), before=True), keep_part=True)
     fresh = (F.col("__reach").isNull() | (F.col("lo") > F.col("__reach"))).cast("bigint")
-    island = running(reach, group, "lo", Running("__island", "sum", fresh), width=width)
+    island = running(reach, group, "lo", Running("__island", "sum", fresh))
     return (
         island.groupBy(*group, "__island")
         .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))

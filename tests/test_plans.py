@@ -63,17 +63,27 @@ def test_hot_paths_stay_in_the_jvm(spark, name):
     assert "Python" not in text and "InPandas" not in text
 
 
-def test_hot_groups_are_cut_into_chunks(spark):
-    # The detail window is partitioned by (group, chunk), never by the group alone.
+def test_hot_groups_are_cut_into_parts(spark):
+    # The detail window is partitioned by (group, part), never by the group alone.
     windows = re.findall(r"Window \[.*?\], \[([^\]]*)\], \[", plan(spark, "carry_clock"))
-    assert any("__chunk" in keys for keys in windows)
+    assert any("__part" in keys for keys in windows)
 
 
-@pytest.mark.parametrize("name, table", [("merge_ship_intervals", "lineitem"), ("ship_totals", "lineitem")])
-def test_facts_are_scanned_once(spark, name, table):
-    """Passes over a sequence read what was written once, so the plan itself scans no fact table."""
+@pytest.mark.parametrize("name", ["carry_clock", "merge_ship_intervals", "kv_runs", "turns_with_clock"])
+def test_passes_over_a_sequence_do_not_shuffle_its_rows(spark, name):
+    """Rows are read where they were placed; of the scan, only border rows are exchanged."""
+    text = plan(spark, name)
+    assert "Bucketed: true" in text
+    rows = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", text)
+    assert not any("__part" in keys for keys in rows)
+
+
+@pytest.mark.parametrize("name", "merge_ship_intervals ship_totals kv_runs transcript_turns carry_clock turns_with_clock".split())
+def test_facts_are_scanned_once(spark, name):
+    """Passes over a sequence read what was placed, so the plan itself scans each given table once at most."""
     scans = re.findall(r"FileScan parquet .*?Location: \S+ \[([^\]]*)\]", plan(spark, name))
-    assert sum(table in s for s in scans) <= 1
+    given = [s for s in scans if "/root/testdata" in s]
+    assert len(given) == len(set(given))
 
 
 #: By operator: the functions one of which a query that claims it must reach.

@@ -16,9 +16,9 @@ def hot_rows(n=300):
     ]
 
 
-@pytest.mark.parametrize("width", [1, 7, 64, 1 << 18])
+@pytest.mark.parametrize("parts", [1, 3, 40])
 @pytest.mark.parametrize("before", [False, True])
-def test_running_matches_plain_loop(spark, width, before):
+def test_running_matches_plain_loop(spark, parts, before):
     data = hot_rows()
     df = spark.createDataFrame(data, "k string, pos bigint, v bigint")
     v = F.col("v")
@@ -27,7 +27,7 @@ def test_running_matches_plain_loop(spark, width, before):
         Running("s", "sum", F.coalesce(v, F.lit(0)), before),
         Running("m", "max", v, before),
         Running("l", "last", v, before),
-        width=width,
+        parts=parts,
     ).collect()
     expected = {}
     state = {}
@@ -43,14 +43,14 @@ def test_running_matches_plain_loop(spark, width, before):
     assert {r.pos: (r.s, r.m, r.l) for r in out} == expected
 
 
-@pytest.mark.parametrize("width", [1, 3, 1 << 18])
-def test_kv_runs(spark, width):
+@pytest.mark.parametrize("parts", [1, 3, 8])
+def test_kv_runs(spark, parts):
     pairs = [
         ("d", 0, "note", "early"), ("d", 1, "who", "A"), ("d", 2, "x", "1"), ("d", 3, "x", "2"), ("d", 4, "who", "B"),
         ("d", 5, None, None), ("d", 6, "deal", None), ("d", 7, "who", None), ("e", 0, "deal", None),
     ]
     df = spark.createDataFrame(pairs, "key string, pos int, k string, v string")
-    out = Q.fold_kv_runs(df, "key", "who", skip=[("deal", None)], width=width)
+    out = Q.fold_kv_runs(df, "key", "who", skip=[("deal", None)], parts=parts)
     assert sorted((r.key, r.run, r.record) for r in out.collect()) == [
         ("d", 0, {"note": "early"}),
         ("d", 1, {"who": "A", "x": "2"}),
@@ -66,15 +66,15 @@ def test_segments_and_single_marker(spark):
         (1, 0, "# one", "\nb\n"), (1, 1, "# two", "\nc"), (2, 0, "# only", "\nx")]
 
 
-@pytest.mark.parametrize("width", [1, 2, 1 << 18])
-def test_turns_take_the_last_clock(spark, width):
+@pytest.mark.parametrize("parts", [1, 2, 7])
+def test_turns_take_the_last_clock(spark, parts):
     rows = [
         (1, 0, None, "lost", None), (1, 1, None, "", "9:00"), (1, 2, "A", "hi", None), (1, 3, None, "more", "9:30"),
         (1, 4, "B", "yo", None), (2, 0, "C", "early", None), (2, 1, "D", "x", None), (2, 2, None, "", "8:00"),
     ]
     df = spark.createDataFrame(rows, "doc int, pos int, who string, text string, time string")
     out = Q.assemble_turns(
-        df, "doc", F.col("who").isNotNull(), F.col("text"), ["who"], time=F.col("time"), sep="|", width=width
+        df, "doc", F.col("who").isNotNull(), F.col("text"), ["who"], time=F.col("time"), sep="|", parts=parts
     )
     assert sorted((r.doc, r.rowno, r.time, r.text, r.who) for r in out.collect()) == [
         (1, 1, "9:30", "hi|more", "A"),
@@ -84,12 +84,12 @@ def test_turns_take_the_last_clock(spark, width):
     ]
 
 
-@pytest.mark.parametrize("width", [1, 10, 1 << 18])
-def test_intervals_are_disjoint_and_cover(spark, width):
+@pytest.mark.parametrize("parts", [1, 10, 64])
+def test_intervals_are_disjoint_and_cover(spark, parts):
     rng = random.Random(3)
     data = [("hot" if i % 3 else "k", lo, lo + rng.randint(0, 6)) for i in range(200) for lo in [rng.randint(0, 600)]]
     df = spark.createDataFrame(data, "g string, lo int, hi int")
-    merged = Q.merge_intervals(df, "g", "lo", "hi", width=width)
+    merged = Q.merge_intervals(df, "g", "lo", "hi", parts=parts)
     expected = []
     for g in ("hot", "k"):
         spans = sorted((lo, hi) for k, lo, hi in data if k == g)
@@ -149,9 +149,9 @@ def test_control_signs_of_a_text_stay(spark):
     assert [(r.marker, r.tail) for r in out] == [("# one", "\u0001b\u0002\n"), ("# two", "\u0003c\n\u0001")]
 
 
-@pytest.mark.parametrize("width", [1, 2, 1 << 18])
-def test_null_is_a_group_too(spark, width):
+@pytest.mark.parametrize("parts", [1, 2, 7])
+def test_null_is_a_group_too(spark, parts):
     rows = [(None, i, "x" if i == 1 else None) for i in range(6)] + [("g", i, "y" if i == 0 else None) for i in range(4)]
     df = spark.createDataFrame(rows, "key string, pos int, v string")
-    out = Q.carry_forward(df, ["key"], "pos", F.col("v"), "seen", width=width).collect()
+    out = Q.carry_forward(df, ["key"], "pos", F.col("v"), "seen", parts=parts).collect()
     assert {(r.key, r.pos): r.seen for r in out} == {(None, i): "x" if i else None for i in range(6)} | {("g", i): "y" for i in range(4)}
