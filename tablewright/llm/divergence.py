@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,44 +45,49 @@ def share_of(count: Column, smooth: int, total: Column) -> Column:
     return F.call_function("div", top, total.cast("decimal(20,0)")) + 1
 
 
-def counted_terms(docs: DataFrame, lang: Column, source: Column, text: Column, most: int = 300_000) -> DataFrame:
+def counted_terms(docs: DataFrame, lang: Column, source: Column, text: Column, most: int = 4_000_000) -> DataFrame:
     """(``lang``, ``source``, ``term``, ``n``, ``docs``): occurrences and documents, in part sums.
 
-    Each task adds up what it reads and hands it on whenever it holds ``most`` terms. A row
-    with the empty term stands for a group that occurs.
+    Each task adds up what it reads and hands it on whenever it holds ``most`` occurrences, or a
+    quarter of that in different terms. Terms are numbered as they come, so what is held of an
+    occurrence is a number. A row with the empty term stands for a group that occurs.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+        numbers: defaultdict[bytes, int] = defaultdict()
+        numbers.default_factory = numbers.__len__
+        held: dict[tuple[str, str], tuple[list[np.ndarray], list[np.ndarray]]] = {}
 
         def handed() -> Iterator[pa.RecordBatch]:
-            for (lang, source), (n, docs) in sorted(held.items()):
-                words = sorted(n)
-                size = len(words)
+            words = pa.array(list(numbers), pa.binary()).cast(pa.string())
+            for (lang, source), (occurrences, in_docs) in held.items():
+                n, docs = (np.bincount(np.concatenate(ids), minlength=len(words)) for ids in (occurrences, in_docs))
+                used = np.flatnonzero(n)
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "lang": pa.array([lang] * size, pa.string()),
-                        "source": pa.array([source] * size, pa.string()),
-                        "term": pa.array(words, pa.binary()).cast(pa.string()),
-                        "n": pa.array([n[w] for w in words], pa.int64()),
-                        "docs": pa.array([docs[w] for w in words], pa.int64()),
+                        "lang": pa.array([lang] * len(used), pa.string()),
+                        "source": pa.array([source] * len(used), pa.string()),
+                        "term": words.take(pa.array(used)),
+                        "n": pa.array(n[used], pa.int64()),
+                        "docs": pa.array(docs[used], pa.int64()),
                     }
                 )
             held.clear()
+            numbers.clear()
 
+        size = 0
         for batch in batches:
-            size = sum(len(n) for n, _ in held.values())
             for lang, source, text in zip(*(batch.column(i) for i in range(3)), strict=True):
                 key = (lang.as_py(), source.as_py())
                 if key not in held:
-                    held[key] = (Counter({b"": 1}), Counter({b"": 1}))
-                n, docs = held[key]
+                    marker = np.array([numbers[b""]])
+                    held[key] = ([marker], [marker])
                 found = terms(text.as_py())
-                before = len(n)
-                n.update(found)
-                docs.update(set(found))
-                size += len(n) - before
-                if size >= most:
+                ids = np.fromiter(map(numbers.__getitem__, found), np.int32, len(found))
+                held[key][0].append(ids)
+                held[key][1].append(np.unique(ids))
+                size += len(ids)
+                if size >= most or len(numbers) >= most // 4:
                     yield from handed()
                     size = 0
         yield from handed()
@@ -186,7 +191,7 @@ def audit_sources(
     least_docs: int = 30,
     smooth: int = 5,
     top: int = 50,
-    segment: int = 32_768,
+    segment: int = 8_192,
     tile: int = 8,
 ) -> DataFrame:
     """How each (``lang``, ``source``) differs from the language's other sources and from the language.

@@ -78,7 +78,7 @@ def got(frame):
     return set(rows)
 
 
-@pytest.mark.parametrize("segment, tile", [(32_768, 8), (3, 1), (5, 2)])
+@pytest.mark.parametrize("segment, tile", [(8_192, 8), (3, 1), (5, 2)])
 def test_like_brute_force(spark, segment, tile):
     rng = np.random.default_rng(3)
     words = [f"w{chr(97 + i)}{'É' * (i % 3)}" for i in range(26)] + ["Zwei", "drei", "五", "ñandú", "rare"]
@@ -106,7 +106,7 @@ def test_many_flushes_of_a_task_add_up(spark):
     rows = [(i, f"common word{i % 7}", "en", f"s{i % 3}") for i in range(300)]
     docs = docs_of(spark, rows)
     named = [docs[c] for c in ("lang", "source", "text")]
-    few = D.counted_terms(docs, *named, most=3).groupBy("lang", "source", "term").sum("n", "docs")
+    few = D.counted_terms(docs, *named, most=9).groupBy("lang", "source", "term").sum("n", "docs")
     assert {(r.source, r.term): r["sum(docs)"] for r in few.collect() if r.term == "common"} == {(f"s{i}", "common"): 100 for i in range(3)}
 
 
