@@ -121,17 +121,25 @@ class Fillings:
     All sets of sizes are enumerated that fill ``room`` but for some waste of at most ``limit``,
     by waste and then by number of sizes, so that a single size that fits exactly comes first
     and dominates all else. Left out are sets to which a size left over could be added, and sets
-    whose sizes fit in the places of one of the first ``compared`` before; a dominated set more
-    costs time, never a solution. Sizes are bits of one number, so the
+    whose sizes fit in the places of one of the first ``compared`` before (sets of more than
+    ``compared_sizes`` are not compared); a dominated set more costs time, never a solution. Sizes are bits of one number, so the
     pairs that add up to a sum are one "and" of it with its mirror image. ``steps`` bounds the
-    sizes tried for one bin; the greedy filling is always there, and comes last if not met before.
+    sizes and sums tried for one bin, ``budget`` (a list of one number) those of all bins; the
+    greedy filling is always there, and comes last where a bound ends the enumeration.
     """
 
-    compared = 64
+    compared, compared_sizes = 64, 6
 
-    def __init__(self, counts: list[int], held: int, mirror: int, capacity: int, room: int, limit: int, steps: int):
+    def __init__(
+        self, counts: list[int], held: int, mirror: int, capacity: int, room: int, limit: int, steps: int, budget: list[int]
+    ):
         self.counts, self.held, self.mirror, self.capacity = counts, held, mirror, capacity
-        self.room, self.limit, self.steps = room, min(limit, room), steps
+        self.room, self.limit, self.steps, self.budget = room, min(limit, room), steps, budget
+
+    def _spend(self) -> bool:
+        self.steps -= 1
+        self.budget[0] -= 1
+        return self.steps >= 0 and self.budget[0] >= 0
 
     def _left(self, size: int, taken: tuple[int, ...]) -> bool:
         return self.counts[size] > taken.count(size)
@@ -149,19 +157,17 @@ class Fillings:
             while pairs:
                 one = pairs.bit_length() - 1
                 pairs ^= 1 << one
-                self.steps -= 1
+                if not self._spend():
+                    return
                 if self._left(one, taken) and self._left(total - one, (*taken, one)):
                     yield (*taken, one, total - one)
-                if self.steps < 0:
-                    return
             return
         least = -(-total // many)
         sizes = (self.held & ((2 << most) - 1)) >> least << least
         while sizes:
             one = sizes.bit_length() - 1
             sizes ^= 1 << one
-            self.steps -= 1
-            if self.steps < 0:
+            if not self._spend():
                 return
             if self._left(one, taken):
                 yield from self._exact(total - one, one, many - 1, (*taken, one))
@@ -188,22 +194,22 @@ class Fillings:
             total = self.room - waste
             largest = (self.held & ((2 << total) - 1)).bit_length() - 1
             for many in range(-(-total // largest), total // smallest + 1):
+                if not self._spend():
+                    greedy = self._greedy()
+                    if self.room - sum(greedy) <= self.limit:
+                        yield self.room - sum(greedy), greedy
+                    return
                 before = found[: self.compared]  # sets of equal sum and number never dominate each other
                 for sizes in self._exact(total, total, many, ()):
                     room_for = self.held & ((2 << waste) - 1)
                     if waste and any(room_for >> s & 1 and self._left(s, sizes) for s in range(smallest, waste + 1)):
                         continue
-                    if not any(dominates(other, sizes) for other in before):
+                    if many > self.compared_sizes or not any(dominates(other, sizes) for other in before):
                         if len(found) < self.compared:
                             found.append(sizes)
                         yield waste, sizes
                         if many == 1 and not waste:
                             return
-                if self.steps < 0:
-                    greedy = self._greedy()
-                    if self.room - sum(greedy) <= self.limit:
-                        yield self.room - sum(greedy), greedy
-                    return
 
 
 def dominates(one: tuple[int, ...], other: tuple[int, ...]) -> bool:
@@ -226,7 +232,7 @@ def dominates(one: tuple[int, ...], other: tuple[int, ...]) -> bool:
 
 
 def complete_bins(
-    lengths: np.ndarray, capacity: int, *, effort: float = 4, least: int = 20_000, steps: int = 20_000
+    lengths: np.ndarray, capacity: int, *, effort: int = 200, least: int = 1_000_000, steps: int = 20_000
 ) -> list[tuple[int, ...]]:
     """Sizes of each bin, in as few bins as the search finds.
 
@@ -234,14 +240,14 @@ def complete_bins(
     of its undominated ways, least waste first. A branch ends when its waste is more than a
     solution with one bin less than the incumbent's could have. Best fit decreasing gives the
     first incumbent. The search stops when the incumbent meets the bound of the total, when
-    nothing is left to try, or after ``effort`` bins tried for each bin of the first incumbent,
-    and ``least`` at any rate; ``steps`` bounds the enumeration for one bin.
+    nothing is left to try, or after ``effort`` steps (sizes, sums or bins tried) for each bin of
+    the first incumbent, and ``least`` at any rate; ``steps`` bounds the enumeration for one bin.
     """
     counts = np.bincount(lengths, minlength=capacity + 1).tolist()
     total = int(lengths.sum())
     incumbent = best_fit(np.array(counts), capacity)
     slack = (len(incumbent) - 1) * capacity - total  # what a better solution may waste
-    budget = max(least, effort * len(incumbent))
+    budget = [max(least, effort * len(incumbent))]
     held = sum(1 << s for s, n in enumerate(counts) if n)
     mirror = sum(1 << (capacity - s) for s, n in enumerate(counts) if n)
 
@@ -257,7 +263,7 @@ def complete_bins(
     def ways(waste: int) -> Iterator[tuple[int, tuple[int, ...]]]:
         size = held.bit_length() - 1
         take((size,), 1)
-        state = Fillings(counts, held, mirror, capacity, capacity - size, slack - waste, steps)
+        state = Fillings(counts, held, mirror, capacity, capacity - size, slack - waste, steps, budget)
         take((size,), -1)
         # ``counts`` holds one more of ``size`` whenever the rest is asked for: it is the same
         # then as now, and the bin's own piece is taken off for the time of each question.
@@ -277,7 +283,7 @@ def complete_bins(
     bins: list[tuple[int, ...]] = []
     spent: list[int] = [0]
     stack = [ways(0)] if len(lengths) and slack >= 0 else []
-    while stack and slack >= 0 and budget > 0:
+    while stack and slack >= 0 and budget[0] > 0:
         found = next(stack[-1], None)
         if found is None:  # nothing more to try here: undo the bin that led here
             stack.pop()
@@ -286,7 +292,7 @@ def complete_bins(
                 spent.pop()
             continue
         waste, sizes = found
-        budget -= 1
+        budget[0] -= 1
         if spent[-1] + waste > slack:
             continue
         take(sizes, 1)

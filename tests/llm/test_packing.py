@@ -78,7 +78,7 @@ def ways(counts, room, limit):
     sizes = {s: n for s, n in counts.items() if n}
     listed = [sizes.get(s, 0) for s in range(room + 1)]
     held, mirror = sum(1 << s for s in sizes), sum(1 << (60 - s) for s in sizes)
-    return list(K.Fillings([*listed, *[counts.get(s, 0) for s in range(room + 1, 61)]], held, mirror, 60, room, limit, 10**6))
+    return list(K.Fillings([*listed, *[counts.get(s, 0) for s in range(room + 1, 61)]], held, mirror, 60, room, limit, 10**6, [10**6]))
 
 
 def test_fillings_are_all_undominated_ones():
