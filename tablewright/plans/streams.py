@@ -3,9 +3,12 @@
 from pyspark.sql import functions as F
 
 from ..operators import log as L
+from ..operators import sequence as Q
 from ..session import scratch_path
 from ..streaming import jobs as S
+from ..streaming import state as K
 from .base import Tables, query
+from .sequences import INTERVALS_SQL
 
 
 def events(t: Tables):
@@ -97,3 +100,83 @@ def stream_latest_kept(t: Tables):
     last = S.read_latest(t.spark, folded, "user_id", "event_id")
     asof = F.lit("2024-01-31 00:00:00").cast("timestamp_ntz")
     return L.retain(last, "ts", asof, F.expr("INTERVAL 6 DAYS")).select("user_id", "event_id")
+
+
+def deliveries(t: Tables, *parts):
+    """A folder that takes the given rows as one delivery after the other, as a stream of one file each."""
+    source = scratch_path(t.spark, "source")
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(source)
+    return S.read_stream(t.spark, source, parts[0].schema, files_per_batch=1)
+
+
+@query(
+    "T2 A2",
+    """
+    SELECT user_id, event_id, event_type, value FROM events
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
+    """,
+)
+def stream_latest_state(t: Tables):
+    # The odd events come first, then the even ones; half of the batches are folded in between.
+    rows = t.events.select("user_id", "event_id", "event_type", "value", F.col("ts").cast("string").alias("ts"))
+    stream = deliveries(t, rows.where("event_id % 2 = 1"), rows.where("event_id % 2 = 0"))
+    out, checkpoint = (scratch_path(t.spark, name) for name in ("out", "checkpoint"))
+    K.run_latest(stream, "user_id", "ts", out, checkpoint, tie="event_id")
+    K.fold_updates(t.spark, out, "user_id")
+    return K.read_current(t.spark, out, "user_id").drop("ts")
+
+
+def totals():
+    return [
+        K.Aggregate("n", "count"),
+        K.Aggregate("mean", "mean", F.col("value").cast("decimal(18,6)")),
+        K.Aggregate("least", "min", F.col("value")),
+        K.Aggregate("last_type", "last", F.col("event_type"), F.col("event_id")),
+    ]
+
+
+@query(
+    "T4 A3 A10",
+    """
+    SELECT user_id, count(*) AS n, round(sum(value::DECIMAL(18, 6))::DOUBLE / count(value), 6) AS mean, min(value) AS least,
+           arg_max(event_type, event_id) AS last_type
+    FROM events GROUP BY user_id
+    """,
+)
+def stream_totals(t: Tables):
+    # Three deliveries; the second comes once more, corrected, and replaces what it brought before.
+    rows = t.events.select("event_id", "user_id", "event_type", "value", (F.col("event_id") % 3).alias("delivery"))
+    wrong = rows.where("delivery = 1").withColumn("value", -F.col("value"))
+    stream = deliveries(t, rows.where("delivery = 0"), wrong, rows.where("delivery = 2"), rows.where("delivery = 1"))
+    out, checkpoint = (scratch_path(t.spark, name) for name in ("out", "checkpoint"))
+    K.run_partials(stream, "delivery", K.partial_aggregates("user_id", totals()), out, checkpoint)
+    states = K.read_partials(t.spark, out, "delivery")
+    merged = K.merge_aggregates(states, "user_id", totals())
+    return merged.withColumn("mean", F.round(F.col("mean").cast("double"), 6))
+
+
+@query(
+    "T4 A8",
+    f"WITH {INTERVALS_SQL} SELECT l_suppkey, lo::BIGINT AS lo, hi::BIGINT AS hi FROM merged",
+)
+def stream_intervals(t: Tables):
+    # Each delivery is kept as its merged intervals, which merge again when they are read.
+    day = F.unix_date(F.col("l_shipdate").cast("date"))
+    rows = t.lineitem.select("l_suppkey", day.alias("lo"), (day + 3).alias("hi"), (F.col("l_orderkey") % 3).alias("delivery"))
+    parts = [rows.where(f"delivery = {n}") for n in range(3)]
+    out, checkpoint = (scratch_path(t.spark, name) for name in ("out", "checkpoint"))
+    merged = lambda df, more: Q.merge_intervals(df, [*more, "l_suppkey"], "lo", "hi")
+    K.run_partials(deliveries(t, *parts, parts[1]), "delivery", merged, out, checkpoint)
+    return Q.merge_intervals(K.read_partials(t.spark, out, "delivery"), ["l_suppkey"], "lo", "hi")
+
+
+@query("T3 A1", "SELECT DISTINCT user_id, event_type FROM events WHERE ts >= TIMESTAMP '2024-01-20 00:00:00'")
+def stream_dedup_within(t: Tables):
+    # What comes more than a day behind the latest event is too late.
+    late = F.col("ts") < F.lit("2024-01-20 00:00:00").cast("timestamp")
+    rows = t.events.select("user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    stream = deliveries(t, rows.where(~late), rows.where(late))
+    out, checkpoint = (scratch_path(t.spark, name) for name in ("out", "checkpoint"))
+    S.stream_captures(S.dedup_within(stream, ["user_id", "event_type"], "ts", "1 day").select("user_id", "event_type"), out, checkpoint)
+    return t.spark.read.parquet(out)

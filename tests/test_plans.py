@@ -97,9 +97,9 @@ OPERATORS = {
     "P18": "follow_redirects", "J1": "valid_at_join period_lookup", "J2": "resolve_speaker attribute_roles", "J3": "attribute_roles",
     "J4": "contains_join", "J5": "nearest_join", "J6": "match_index resolve_entities", "J7": "match_alias resolve_entities",
     "J8": "resolve_entities token_splits", "J9": "resolve_entities", "J10": "resolve_entities", "J11": "unresolved", "J12": "split_names",
-    "J13": "unprocessed reachable", "J14": "emphasised classify_segments", "J15": "enrich_by_code", "A1": "dedup", "A2": "compact latest_forecast",
-    "A3": "merge_records", "A4": "union_tagged", "A5": "union_tagged", "A6": "explode_roles", "A7": "pivot_levels", "A8": "merge_intervals interval_totals",
-    "A9": "with_group_min", "A10": "series_stats", "A11": "latest requeue_latest", "A12": "zip_pairs last_wins_map", "A13": "filled",
+    "J13": "unprocessed reachable", "J14": "emphasised classify_segments", "J15": "enrich_by_code", "A1": "dedup dedup_within", "A2": "compact latest_forecast run_latest",
+    "A3": "merge_records merge_aggregates", "A4": "union_tagged", "A5": "union_tagged", "A6": "explode_roles", "A7": "pivot_levels", "A8": "merge_intervals interval_totals",
+    "A9": "with_group_min", "A10": "series_stats merge_aggregates", "A11": "latest requeue_latest", "A12": "zip_pairs last_wins_map", "A13": "filled",
     "A14": "distinct_values", "W1": "fold_kv_runs", "W2": "segment_text", "W3": "carry_forward running", "W4": "assemble_turns",
     "W5": "running", "W6": "segment_text assemble_turns", "W7": "case_split", "W8": "latest_forecast", "X1": "normalise", "X2": "title_case",
     "X3": "apply_flags", "X4": "clean_company", "X5": "lt_to_eur", "X6": "long_date_to_iso", "X7": "", "X8": "first_group all_matches regexp_extract",
@@ -107,8 +107,8 @@ OPERATORS = {
     "X13": "strip_tone_accents", "X14": "header_param", "X15": "attachment_row", "X16": "packed_items", "X17": "tagged_title",
     "X18": "bracket_items", "X19": "first_acronym", "X20": "clock", "X21": "emphasis_head", "X22": "row_hash", "X23": "script_json from_json",
     "X24": "forecast_time clock date_format", "X25": "cast from_json", "X26": "clean_space extract_links extract_text decode_entities", "X27": "", "X28": "mayor_flag",
-    "X29": "", "X30": "mercator_x", "X31": "centroid", "T1": "stream_captures stream_latest", "T2": "stream_latest", "T3": "stream_dedup",
-    "T4": "run_incremental", "T5": "mark_seen skip_to_end", "T6": "retain clean_log", "T7": "reachable", "T8": "overwrite_table",
+    "X29": "", "X30": "mercator_x", "X31": "centroid", "T1": "stream_captures stream_latest", "T2": "stream_latest run_latest", "T3": "stream_dedup dedup_within",
+    "T4": "run_incremental run_partials", "T5": "mark_seen skip_to_end", "T6": "retain clean_log", "T7": "reachable", "T8": "overwrite_table",
     "U1": "strip_tone_accents", "U2": "extract_text_without packed_items classify_segments", "U3": "latest run_incremental requeue_latest", "U4": "in_list",
 }
 

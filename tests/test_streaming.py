@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 from tablewright.operators import log as L
 from tablewright.operators.graph import reachable
 from tablewright.streaming import jobs as S
+from tablewright.streaming import state as K
 
 SCHEMA = "key string, seq bigint, v string"
 
@@ -76,6 +77,89 @@ def test_captures_append_once(spark, tmp_path):
     assert rows(spark.read.parquet(out)) == rows(spark.read.parquet(str(tmp_path / "in")))
 
 
+def test_unseen_keys_read_no_history(spark, tmp_path, monkeypatch):
+    read = []
+    known = S.known_keys
+    monkeypatch.setattr(S, "known_keys", lambda spark, out, folders, names: (read.append(folders), known(spark, out, folders, names))[1])
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "c")
+    run = lambda: S.stream_dedup(source(spark, tmp_path), "key", "seq", out, checkpoint, buckets=4)
+    write(spark, tmp_path / "in", [(f"old{i}", i, "x") for i in range(200)])
+    run()
+    write(spark, tmp_path / "in", [(f"new{i}", i, "x") for i in range(20)])
+    run()
+    assert read == []  # the filters of the first batch say that none of these keys is there
+    write(spark, tmp_path / "in", [("old7", 900, "late"), (None, 901, "first"), ("newest", 902, "x")])
+    run()
+    assert [len(f) for f in read] == [1] and read[0][0].split("/")[-2] == "batch_id=0"
+    write(spark, tmp_path / "in", [(None, 903, "second")])
+    run()
+    assert len(read) == 2 and read[1][0].split("/")[-2] == "batch_id=2"
+    have = {r[0]: r[2] for r in map(tuple, S.read_dedup(spark, out).select("key", "seq", "v").collect())}
+    assert have == {f"old{i}": "x" for i in range(200)} | {f"new{i}": "x" for i in range(20)} | {None: "first", "newest": "x"}
+
+
+def test_latest_state_over_restarts_late_and_equal_rows(spark, tmp_path):
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "c")
+    run = lambda: K.run_latest(source(spark, tmp_path), "key", "seq", out, checkpoint)
+    now = lambda: {r.key: (r.seq, r.v) for r in K.read_current(spark, out, "key").collect()}
+    write(spark, tmp_path / "in", [("a", 5, "x"), ("a", 9, "y"), ("b", 1, None), (None, 2, "n")])
+    run()
+    assert now() == {"a": (9, "y"), "b": (1, None), None: (2, "n")}
+    # after a restart: a late row, an equal one, one without an order, one newer
+    write(spark, tmp_path / "in", [("a", 8, "late"), ("b", 1, "equal"), ("c", None, "no order"), (None, 3, "m")])
+    run()
+    assert now() == {"a": (9, "y"), "b": (1, None), None: (3, "m")}
+    changes = spark.read.parquet(out).where("batch_id = 1")
+    assert [(r.key, r.seq) for r in changes.collect()] == [(None, 3)]  # only what changed is handed on
+    assert K.fold_updates(spark, out, "key") == 1
+    write(spark, tmp_path / "in", [("a", 10, "z")])
+    run()
+    assert now() == {"a": (10, "z"), "b": (1, None), None: (3, "m")}
+    assert K.fold_updates(spark, out, "key") == 2 and now()["a"] == (10, "z")
+
+
+def test_ties_are_broken_by_a_column(spark, tmp_path):
+    write(spark, tmp_path / "in", [("a", 5, "x"), ("a", 5, "z"), ("a", 5, "y")])
+    out = str(tmp_path / "out")
+    K.run_latest(source(spark, tmp_path), "key", "seq", out, str(tmp_path / "c"), tie="v")
+    assert rows(K.read_current(spark, out, "key")) == [("a", 5, "z")]
+
+
+def test_a_key_is_forgotten_when_the_watermark_is_past_it(spark, tmp_path):
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "c")
+
+    def run():
+        stream = source(spark, tmp_path).withColumn("ts", F.timestamp_seconds(F.col("v").cast("long"))).withWatermark("ts", "10 seconds")
+        K.run_latest(stream, "key", "seq", out, checkpoint, ts="ts", forget_seconds=60)
+
+    write(spark, tmp_path / "in", [("a", 9, "1000"), ("b", 9, "1000")])
+    run()
+    write(spark, tmp_path / "in", [("b", 10, "1065"), ("c", 1, "2000")])  # the watermark goes to 1990
+    run()
+    write(spark, tmp_path / "in", [("a", 2, "1995"), ("c", 0, "1996")])  # lower orders: a is new again, c is late
+    run()
+    assert rows(K.read_current(spark, out, "key")) == [("a", 2, "1995"), ("b", 10, "1065"), ("c", 1, "2000")]
+
+
+def test_a_delivery_that_comes_again_replaces_itself(spark, tmp_path):
+    v = F.col("seq")
+    kinds = [
+        K.Aggregate("n", "count"), K.Aggregate("s", "sum", v), K.Aggregate("m", "mean", v), K.Aggregate("lo", "min", v), K.Aggregate("hi", "max", v),
+        K.Aggregate("last", "last", F.col("v"), v),
+    ]
+    # ``v`` names the delivery in front of its value
+    part = lambda name, rows_: [(k, s, f"{name}{x or ''}" if x is not None else None) for k, s, x in rows_]
+    write(spark, tmp_path / "in", part("1", [("a", 1, "p"), ("a", 2, "q"), ("b", 7, "r")]))
+    write(spark, tmp_path / "in", part("2", [("a", 3, "s")]))
+    write(spark, tmp_path / "in", part("1", [("a", 4, "t"), ("c", 5, "u")]))
+    stream = source(spark, tmp_path).withColumn("delivery", F.substring("v", 1, 1))
+    out = str(tmp_path / "out")
+    K.run_partials(stream, "delivery", K.partial_aggregates("key", kinds), out, str(tmp_path / "c"))
+    states = K.read_partials(spark, out, "delivery")
+    got = {r.key: tuple(r)[1:] for r in K.merge_aggregates(states, "key", kinds).collect()}
+    assert got == {"a": (2, 7, 3.5, 3, 4, "1t"), "c": (1, 5, 5.0, 5, 5, "1u")}
+
+
 def test_dedup_within_is_a_streaming_plan(spark, tmp_path):
     write(spark, tmp_path / "in", FIRST[0])
     stream = source(spark, tmp_path).withColumn("ts", F.timestamp_seconds("seq"))
