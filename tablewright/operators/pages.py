@@ -10,8 +10,9 @@ from collections.abc import Iterator, Sequence
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import html as H
 from ..functions.keys import row_hash
@@ -25,6 +26,21 @@ def valid_pages(pages: DataFrame, check: Column) -> tuple[DataFrame, DataFrame]:
     return pages.where(passed), pages.where(~passed)
 
 
+def quarantine(pages: DataFrame, check: Column, path: str) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """``valid_pages`` in one pass: (passed, quarantined, counts), written below ``path``.
+
+    The captures are read and checked once, and written in folders by outcome;
+    the number of each is counted on the way. Each result reads its folder only.
+    """
+    seen = Observation("captures")
+    judged = pages.withColumn("__passed", F.coalesce(check, F.lit(False)))
+    counted = judged.observe(seen, F.count_if("__passed").alias("passed"), F.count_if(~F.col("__passed")).alias("quarantined"))
+    counted.write.partitionBy("__passed").parquet(path)
+    schema = T.StructType([*pages.schema, T.StructField("__passed", T.BooleanType())])
+    back = pages.sparkSession.read.schema(schema).parquet(path)
+    return back.where("__passed").drop("__passed"), back.where("NOT __passed").drop("__passed"), dict(seen.get)
+
+
 def extract_links(pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """One row per link: ``src_url, pos, href, target, anchor_text`` and the ``keep`` columns.
 

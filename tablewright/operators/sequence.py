@@ -263,11 +263,13 @@ def with_group_min(df: DataFrame, group: Sequence[str], value: str, out: str) ->
 
 
 def latest_forecast(forecasts: DataFrame, target: str = "time", base: str = "base") -> DataFrame:
-    """For each target time the row of the latest issue time."""
+    """For each target time the row of the latest issue time; of several, the greatest row.
+
+    A whole row is taken, never columns of two.
+    """
     rest = [c for c in forecasts.columns if c not in (target, base)]
-    return forecasts.groupBy(target).agg(
-        F.max(base).alias(base), *[F.max_by(c, base).alias(c) for c in rest]
-    )
+    last = forecasts.groupBy(target).agg(F.max(F.struct(base, *rest)).alias("row"))
+    return last.select(target, "row.*")
 
 
 def series_stats(series: DataFrame, group: Sequence[str], value: str, rank: str) -> DataFrame:

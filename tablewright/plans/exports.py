@@ -137,7 +137,7 @@ def dictionary_folder(t: Tables):
     thing, alias = F.substring_index("p_name", " ", -1), F.substring_index("p_name", " ", 1)
     block = t.part.groupBy(thing.alias("thing")).agg(F.array_sort(F.collect_set(alias)).alias("aliases"))
     lines = F.concat(F.col("thing"), F.array_join(F.transform("aliases", lambda a: F.concat(F.lit("\n    "), a)), ""))
-    block.select(lines.alias("value")).coalesce(1).write.text(f"{root}/thing/aliases.txt")
+    block.select(lines.alias("value")).write.text(f"{root}/thing/aliases.txt")
     choices, aliases = R.load_dictionary(t.spark, root)
     return choices.select(
         F.lit("choice").alias("kind"), "dictionary", F.col("id").cast("string").alias("name"), F.col("name").alias("value")

@@ -8,6 +8,7 @@ from ..operators import log as L
 from ..operators import pages as G
 from ..operators import project as P
 from ..operators import sequence as Q
+from ..session import scratch_path
 from ..sources.export import attachment_row, export_frame
 from .base import Tables, query
 
@@ -75,32 +76,17 @@ def nav_links_filtered(t: Tables):
     """,
 )
 def link_targets(t: Tables):
-    # Every way to write a target, quoted, single-quoted or bare, on every captured page.
+    # Every way to write a target, quoted, single-quoted or bare, behind what every page holds.
     hrefs = ('"?p=2&amp;q=a%20b"', "'./other'", "/root/x?y#z", '""', '"#part"', "'//cdn.example.org/a'", '"mailto:a@example.org"', '"../up"', '"."', '"/a/../b/./c/../d"')
     html = "".join(f"<p><a class=x href={h}>go</a>" for h in hrefs)
-    links = G.extract_links(t.pages.withColumn("html", F.lit(html)), keep=["page_id"])
-    return links.select("page_id", F.col("pos").cast("int").alias("pos"), "target")
+    pages = t.pages.withColumn("own", F.size(H.anchors(F.col("html")))).withColumn("html", F.concat("html", F.lit(html)))
+    links = G.extract_links(pages, keep=["page_id", "own"]).where("pos >= own")
+    return links.select("page_id", (F.col("pos") - F.col("own")).cast("int").alias("pos"), "target")
 
 
 REFERENCES = "&scaron;&eacute;&notin; &#38;lt; &copy 2020 &notit; &#x41;&#0065 &#128; &unknown; &amp;amp; a&b"
 
 
-@query(
-    "P4 X26",
-    """
-    SELECT page_id, lang || ' šé∉ &lt; © 2020 ¬it; AA € &unknown; &amp; a&b' AS text, true AS same
-    FROM (SELECT page_id, regexp_extract(html, '<html lang="([^"]*)"', 1) AS lang FROM pages)
-    """,
-)
-def decoded_references(t: Tables):
-    # Both ways to the text of a page read character references alike.
-    lang = F.regexp_extract("html", '<html lang="([^"]*)"', 1)
-    pages = t.pages.select("page_id", F.concat(F.lit("<p>"), lang, F.lit(f" {REFERENCES}</p>")).alias("html"))
-    other = G.extract_text_without(pages, []).withColumnRenamed("text", "other")
-    both = G.extract_text(pages).join(other, "page_id")
-    return both.select("page_id", "text", (F.col("text") == F.col("other")).alias("same"))
-
-
 TEXT_SQL = r"""
     SELECT page_id, array_to_string(list_filter(list_transform(
         string_split(
@@ -119,6 +105,23 @@ TEXT_SQL = r"""
 HIDDEN_SQL = r"regexp_replace(html, '(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>', '', 'g')"
 
 
+@query(
+    "P4 X26",
+    f"""
+    SELECT page_id, text || chr(10) || chr(10) || lang || ' šé∉ &lt; © 2020 ¬it; AA € &unknown; &amp; a&b' AS text, true AS same
+    FROM ({TEXT_SQL.format(source=HIDDEN_SQL)}) JOIN
+         (SELECT page_id, regexp_extract(html, '<html lang="([^"]*)"', 1) AS lang FROM pages) USING (page_id)
+    """,
+)
+def decoded_references(t: Tables):
+    # Both ways to the text of a page read character references alike, behind what the page holds.
+    lang = F.regexp_extract("html", '<html lang="([^"]*)"', 1)
+    pages = t.pages.select("page_id", F.concat("html", F.lit("<p>"), lang, F.lit(f" {REFERENCES}</p>")).alias("html"))
+    other = G.extract_text_without(pages, []).withColumnRenamed("text", "other")
+    both = G.extract_text(pages).join(other, "page_id")
+    return both.select("page_id", "text", (F.col("text") == F.col("other")).alias("same"))
+
+
 @query("P4 X26", TEXT_SQL.format(source=HIDDEN_SQL))
 def page_text(t: Tables):
     return G.extract_text(t.pages)
@@ -149,6 +152,22 @@ def valid_captures(t: Tables):
     )
 
 
+@query(
+    "S3",
+    """
+    SELECT page_id, whole, count(*) OVER (PARTITION BY whole) AS n
+    FROM (SELECT page_id, contains(html, '</html>') AND contains(html, '<title>') AS whole FROM pages)
+    """,
+)
+def quarantined_captures(t: Tables):
+    # One pass: pages are checked, written by outcome and counted together.
+    check = F.col("html").contains("</html>") & F.col("html").contains("<title>")
+    passed, rejects, counts = G.quarantine(t.pages, check, scratch_path(t.spark, "captures"))
+    sides = ((passed, True, counts["passed"]), (rejects, False, counts["quarantined"]))
+    good, bad = (df.select("page_id", F.lit(ok).alias("whole"), F.lit(n).cast("bigint").alias("n")) for df, ok, n in sides)
+    return good.unionByName(bad)
+
+
 @query(
     "P1 P8 X8",
     r"""

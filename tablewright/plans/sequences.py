@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from ..functions.table import register
 from ..operators import sequence as Q
 from .base import Tables, query
 from .joins import surname
@@ -241,3 +242,26 @@ def series_stats(t: Tables):
     cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
     rows = t.orders.select("o_custkey", cents.alias("cents"), rank.alias("rank"))
     return Q.series_stats(rows, "o_custkey", "cents", "rank")
+
+
+@query(
+    "U2 W2",
+    """
+    WITH c AS (
+        SELECT conv_id::VARCHAR AS key, turn, role, text,
+               sum(length(text) + 1) OVER (PARTITION BY conv_id ORDER BY turn) AS ends
+        FROM conversations
+    ), w AS (
+        SELECT *, ends - length(text) - 1 AS start, max(ends) OVER (PARTITION BY key) AS whole FROM c
+    ), m AS (SELECT * FROM w WHERE role = 'user')
+    SELECT key, (row_number() OVER o - 1)::INT AS pos, start::BIGINT AS start,
+           (coalesce(lead(start) OVER o, whole) - 1)::BIGINT AS stop, split_part(text, ' ', 1) AS marker
+    FROM m WINDOW o AS (PARTITION BY key ORDER BY turn)
+    """,
+)
+def question_spans(t: Tables):
+    # What a user says opens a segment of the conversation's text; the call is SQL.
+    marker = F.when(F.col("role") == "user", F.substring_index("text", " ", 1))
+    turns = t.conversations.select(F.col("conv_id").cast("string").alias("key"), F.col("turn").alias("ord"), marker.alias("marker"), "text")
+    register(t.spark)
+    return t.spark.sql("SELECT * FROM segment_spans(TABLE({turns}) PARTITION BY key ORDER BY ord)", turns=turns)
