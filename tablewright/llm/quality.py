@@ -105,21 +105,37 @@ def bounded(ids: DataFrame, most: int) -> DataFrame:
     return ids.orderBy(F.xxhash64("doc"), "doc").limit(most)
 
 
+def handed_over(scores: DataFrame, judged: DataFrame, giver: str, confident: float, most: int) -> DataFrame:
+    """(``doc``, ``label``): up to ``most`` of the ids without a label that ``giver`` is sure of.
+
+    ``scores`` holds the log-odds of every document; only what is handed over is bounded, by the
+    smallest hash of the id. Rows that repeat an id are judged by their mean.
+    """
+    odds = F.log(F.lit(confident / (1 - confident)))
+    mean = scores.groupBy("doc").agg(F.avg(f"{giver}_logit").alias("logit"))
+    sure = mean.where(F.col("doc").isNotNull() & (F.abs("logit") >= odds)).join(judged, "doc", "left_anti")
+    return bounded(sure, most).select("doc", (F.col("logit") > 0).cast("double").alias("label"))
+
+
 def co_train(
+    base: DataFrame,
+    fields: tuple,
+    judged: DataFrame,
     labelled: DataFrame,
-    unlabelled: DataFrame,
     *,
     rounds: int,
     confident: float,
     text_features: int,
     meta_features: int,
-    steps: int = 15,
+    max_handed: int,
+    steps: int = 40,
 ) -> CoTrained | None:
     """Fit both views; None if the labelled rows are not of two classes.
 
-    Each round fits one classifier per view, lets both score the unlabelled rows, and gives
-    every row that one view is ``confident`` of to the other view's next fit, with that label.
-    A row keeps the label of the round that comes last, and none if no view is sure any more.
+    Each round fits one classifier per view and lets both score all documents, in one pass that
+    keeps two numbers of each. Of the documents without a label that one view is ``confident``
+    of, up to ``max_handed`` go to the other view's next fit, with that label. A row keeps the
+    label of the round that comes last, and none if no view is sure any more.
     """
     views = Pipeline(stages=[*view_of_text(text_features), *view_of_meta(meta_features)])
     if labelled.select("label").distinct().count() < 2:
@@ -128,30 +144,30 @@ def co_train(
     keep = ["doc", "label", "text_features", "meta_features"]
     gold = write_once(made.transform(labelled).select("fold", *keep), "labelled_views")
     train, check = gold.where("not fold").drop("fold"), gold.where("fold")
-    pool = write_once(made.transform(unlabelled).select(keep), "unlabelled_views")
     if train.select("label").distinct().count() < 2 or check.select("label").distinct().count() < 2:
         train = check = gold.drop("fold")
 
     fit = lambda view, rows: LogisticRegression(
         featuresCol=f"{view}_features", probabilityCol=f"{view}_probability", predictionCol=f"{view}_prediction",
-        rawPredictionCol=f"{view}_raw", regParam=1e-3, maxIter=steps,
+        rawPredictionCol=f"{view}_raw", regParam=1e-4, maxIter=steps,
     ).fit(rows)
     given = {TEXT: train, META: train}
     exchanged = {TEXT: 0, META: 0}
-    odds = F.log(F.lit(confident / (1 - confident)))
     models: dict = {}
     for number in range(rounds + 1):
         models = {view: fit(view, given[view]) for view in (TEXT, META)}
         if number == rounds:
             break
-        now = write_once(scored(pool, models).select(*keep, "text_logit", "meta_logit"), "scored_pool")
+        now = scored(made.transform(inputs(base, *fields)), models).select("doc", "text_logit", "meta_logit")
+        now = write_once(now, "scores")
         for taker, giver in ((TEXT, META), (META, TEXT)):
-            sure = now.where(F.abs(f"{giver}_logit") >= odds).withColumn("label", (F.col(f"{giver}_logit") > 0).cast("double"))
+            sure = write_once(handed_over(now, judged, giver, confident, max_handed), "handed_over")
             exchanged[taker] = sure.count()
-            given[taker] = train.unionByName(sure.select(keep))
+            rows = inputs(base.join(F.broadcast(sure), "doc"), *fields)  # at most ``max_handed`` ids
+            given[taker] = write_once(train.unionByName(made.transform(rows).select(keep)), "given")
     calibration, judged = {}, write_once(scored(check, models).select("label", "text_logit", "meta_logit"), "checked")
     for view in (TEXT, META):
-        platt = LogisticRegression(maxIter=10).fit(
+        platt = LogisticRegression(maxIter=50).fit(
             VectorAssembler(inputCols=[f"{view}_logit"], outputCol="features").transform(judged)
         )
         calibration[view] = (float(platt.coefficients[0]), float(platt.intercept))
@@ -172,7 +188,7 @@ def score_quality(
     rounds: int = 2,
     confident: float = 0.95,
     max_labelled: int = 12_000,
-    max_unlabelled: int = 12_000,
+    max_handed: int = 12_000,
     text_features: int = 4096,
     meta_features: int = 256,
 ) -> DataFrame:
@@ -184,13 +200,15 @@ def score_quality(
     log-odds less the prior's, as for views that are independent given the class) and
     ``quality`` (1 if the score is at least one half, else 0).
 
-    Classifiers are fitted on at most ``max_labelled`` labelled and ``max_unlabelled`` other rows,
-    taken by the smallest hash of the id. All documents are scored, over their whole texts.
+    Classifiers are fitted on at most ``max_labelled`` labelled rows, taken by the smallest hash
+    of the id, and in each round on at most ``max_handed`` rows that the other view labelled.
+    Both views score all documents in every round, over their whole texts, and so does the end.
 
     * Null texts count as empty; null metadata is a value of its own; a null or negative size is
       zero.
     * Several labels of an id count by their mean, one half as good. Labels that are null or
       without a document count for nothing; a null id has no label.
+    * A score of exactly one half is good.
     * If the labelled rows are not of two classes nothing can be learned: all scores are one half.
     * Rows that repeat an id are scored each. An empty table gives an empty result.
     """
@@ -198,21 +216,14 @@ def score_quality(
     judged = labels.groupBy(col(doc_id).alias("doc")).agg((F.avg(col(label)) >= 0.5).cast("double").alias("label"))
     judged = judged.where(F.col("doc").isNotNull() & F.col("label").isNotNull())
     ids = docs.select(col(doc_id).alias("doc")).distinct()
-    chosen = {
-        "labelled": bounded(ids.join(judged, "doc"), max_labelled),
-        "unlabelled": bounded(ids.join(judged, "doc", "left_anti"), max_unlabelled).withColumn(
-            "label", F.lit(None).cast("double")
-        ),
-    }
-    # Only the ids of the samples are sent to the documents, which are not shuffled.
-    met = {name: base.join(F.broadcast(some), "doc") for name, some in chosen.items()}
-    samples = [
-        write_once(inputs(rows, *fields).drop("row").withColumn("fold", held_out(F.col("doc"))), name)
-        for name, rows in met.items()
-    ]
+    judged = write_once(judged, "judged")
+    chosen = bounded(ids.join(judged, "doc"), max_labelled)
+    # Only the ids of the sample are sent to the documents, which are not shuffled.
+    sample = inputs(base.join(F.broadcast(chosen), "doc"), *fields).drop("row")
     learned = co_train(
-        *samples, rounds=rounds, confident=confident, text_features=text_features, meta_features=meta_features
-    )
+        base, fields, judged, write_once(sample.withColumn("fold", held_out(F.col("doc"))), "labelled"), rounds=rounds,
+        confident=confident, text_features=text_features, meta_features=meta_features, max_handed=max_handed,
+    )
     named = [F.col("row"), F.col("doc"), held_out(F.col("doc")).alias("held_out")]
     if learned is None:
         half = [F.lit(0.5).alias(n) for n in ("text_score", "meta_score", "score")]

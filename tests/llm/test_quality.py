@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from tablewright.llm.quality import score_quality
+from tablewright.llm.quality import handed_over, score_quality
 
 from .helpers import docs_of, long_text
 
@@ -58,3 +58,18 @@ def test_nothing_to_learn(spark):
         done = score_quality(docs_of(spark, docs), labels_of(spark, labels)).select(F.col("score")).collect()
         assert [r.score for r in done] == [0.5] * 5
     assert score_quality(docs_of(spark, []), labels_of(spark, [(1, 1)])).collect() == []
+
+
+def test_handed_over_are_the_sure_ones_without_a_label(spark):
+    scores = spark.createDataFrame([(i, float(i - 50)) for i in range(100)] + [(None, 99.0), (99, 47.0)], "doc long, text_logit double")
+    judged = spark.createDataFrame([(0, 1.0), (98, 0.0)], "doc long, label double")
+    sure = {i for i in range(100) if abs(i - 50) >= 3} - {0, 98}  # log(0.95 / 0.05) is 2.94
+    done = handed_over(scores, judged, "text", 0.95, 1000).collect()
+    assert {(r.doc, r.label) for r in done} == {(i, float(i > 50)) for i in sure} and len(done) == len(sure)
+    assert {r.doc for r in handed_over(scores, judged, "text", 0.95, 7).collect()} < sure
+
+
+def test_a_score_of_one_half_is_good(spark):
+    docs, _ = corpus(5)
+    done = score_quality(docs_of(spark, docs), labels_of(spark, [])).collect()
+    assert {(r.score, r.quality) for r in done} == {(0.5, 1)}
