@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..operators import log as L
 from ..operators import project as P
-from ..operators.graph import reachable
+from ..operators.graph import Closure, reachable
 from ..operators.pages import extract_links
 from ..session import scratch_path
 from ..sources import tables as S
@@ -192,9 +192,7 @@ def union_terms(t: Tables):
     return P.union_tagged({"open": current, "ended": ended}, "term")
 
 
-@query(
-    "T7 J13",
-    r"""
+REACHED_SQL = r"""
     WITH RECURSIVE nav AS (
         SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)">', 1) AS hrefs FROM pages
     ), chain AS (
@@ -207,15 +205,33 @@ def union_terms(t: Tables):
         SELECT dst FROM walk JOIN chain ON src = node
     )
     SELECT DISTINCT node FROM walk WHERE node IS NOT NULL
-    """,
-)
-def reachable_links(t: Tables):
-    # The chain of a page's links, followed from the first links of .org pages.
+"""
+
+
+def page_chains(t: Tables):
+    """The chain of each page's links, and its first link where the page is one of .org."""
     links = extract_links(t.pages, keep=["page_id"]).select("page_id", "src_url", "pos", "href")
     following = links.select("page_id", (F.col("pos") - 1).alias("pos"), F.col("href").alias("dst"))
-    chain = links.join(following, ["page_id", "pos"]).select(F.col("href").alias("src"), "dst")
+    chain = links.join(following, ["page_id", "pos"]).select("page_id", F.col("href").alias("src"), "dst")
     seeds = links.where((F.col("pos") == 0) & F.col("src_url").rlike(r"^https?://[^/]*\.org/"))
-    return reachable(chain, seeds.select(F.col("href").alias("node"))).select("node")
+    return chain, seeds.select("page_id", F.col("href").alias("node"))
+
+
+@query("T7 J13", REACHED_SQL)
+def reachable_links(t: Tables):
+    # The chain of a page's links, followed from the first links of .org pages.
+    chain, seeds = page_chains(t)
+    return reachable(chain, seeds.select("node")).select("node")
+
+
+@query("T7", REACHED_SQL)
+def extended_links(t: Tables):
+    # The even pages come first; the odd ones extend what was reached from them.
+    chain, seeds = page_chains(t)
+    closure = Closure(t.spark)
+    for part in ("page_id % 2 = 0", "page_id % 2 = 1"):
+        closure.extend(chain.where(part), seeds.where(part).select("node"))
+    return closure.nodes().select("node")
 
 
 @query(

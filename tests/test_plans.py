@@ -122,7 +122,7 @@ OPERATORS = {
     "X18": "bracket_items", "X19": "first_acronym", "X20": "clock", "X21": "emphasis_head", "X22": "row_hash", "X23": "script_json from_json",
     "X24": "forecast_time clock date_format", "X25": "cast from_json", "X26": "clean_space extract_links extract_text decode_entities", "X27": "", "X28": "mayor_flag",
     "X29": "", "X30": "mercator_x", "X31": "centroid", "T1": "stream_captures stream_latest", "T2": "stream_latest run_latest", "T3": "stream_dedup dedup_within",
-    "T4": "run_incremental run_partials", "T5": "mark_seen skip_to_end", "T6": "retain clean_log", "T7": "reachable", "T8": "overwrite_table",
+    "T4": "run_incremental run_partials", "T5": "mark_seen skip_to_end", "T6": "retain clean_log", "T7": "reachable extend", "T8": "overwrite_table",
     "U1": "strip_tone_accents", "U2": "register extract_text_without packed_items classify_segments", "U3": "latest run_incremental requeue_latest", "U4": "in_list",
 }
 

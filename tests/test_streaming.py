@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from tablewright.operators import log as L
-from tablewright.operators.graph import reachable
+from tablewright.operators.graph import Closure, reachable
 from tablewright.streaming import jobs as S
 from tablewright.streaming import state as K
 
@@ -171,3 +171,50 @@ def test_reachable(spark):
     df = spark.createDataFrame(links, "src string, dst string")
     seeds = spark.createDataFrame([("a",), ("lone",)], "node string")
     assert {r.node: r.depth for r in reachable(df, seeds).collect()} == {"a": 0, "lone": 0, "b": 1, "d": 1, "c": 2}
+
+
+def distances(links, seeds):
+    depth, front = {s: 0 for s in seeds}, list(seeds)
+    while front:
+        nxt = []
+        for node in front:
+            for a, b in links:
+                if a == node and b not in depth:
+                    depth[b] = depth[node] + 1
+                    nxt.append(b)
+        front = nxt
+    return depth
+
+
+def test_closure_in_deliveries_equals_one(spark):
+    import random
+
+    rng = random.Random(11)
+    links = [(f"n{rng.randint(0, 40)}", f"n{rng.randint(0, 40)}") for _ in range(70)]
+    links += [("s", "n1"), *[(f"long{i}", f"long{i + 1}") for i in range(5)], ("s", "long0"), ("long5", "n7")]
+    schema, late = "src string, dst string", [("s", "long4"), ("t", "only t"), ("n1", None), (None, "n1"), ("s", "n1")]
+    closure = Closure(spark)
+    seeds = lambda *names: spark.createDataFrame([(n,) for n in names], "node string")
+    closure.extend(spark.createDataFrame(links[:40], schema), seeds("s", None))
+    closure.extend(spark.createDataFrame(links[40:], schema))
+    closure.extend(spark.createDataFrame(late, schema), seeds("t"))  # a shorter way, and a new seed
+    have = {r.node: r.depth for r in closure.nodes().collect()}
+    known = [(a, b) for a, b in links + late if a is not None and b is not None]
+    assert have == distances(known, ["s", "t"])
+    again = Closure(spark, closure.name)  # found again by its name; nothing new, nothing changes
+    again.extend(spark.createDataFrame(links, schema))
+    assert {r.node: r.depth for r in again.nodes().collect()} == have
+
+
+def test_rounds_shuffle_what_is_new_only(spark):
+    closure = Closure(spark).extend(spark.createDataFrame([("a", "b"), ("b", "c")], "src string, dst string"), spark.createDataFrame([("a",)], "node string"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frontier = spark.createDataFrame([("b", 1)], "node string, depth int")
+        for step in (closure.beyond(frontier), closure.nearer(frontier)):
+            text = step._jdf.queryExecution().executedPlan().toString()
+            # one exchange, and it is that of the frontier: the bucketed side has none
+            assert "Bucketed: true" in text and text.count("Exchange hashpartitioning") == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
