@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import itertools
 import re
 import zipfile
 from collections.abc import Iterator, Sequence
@@ -41,6 +42,43 @@ def read_keyed_csv(
     return rows.select(chosen.alias("key"), *rest)
 
 
+def decode_single_byte(raw: Column, encoding: str) -> Column:
+    """Bytes of an encoding with one byte for each character, as text; runs in the JVM.
+
+    Spark reads Latin-1 and not all of its relatives, so bytes are read as Latin-1 and the upper
+    half is replaced. A byte without a character becomes U+FFFD.
+    """
+    upper = bytes(range(128, 256))
+    if len(bytes(range(128)).decode(encoding)) != 128 or len(upper.decode(encoding, "replace")) != 128:
+        raise ValueError(f"{encoding} has characters of several bytes")
+    return F.translate(F.decode(raw, "ISO-8859-1"), upper.decode("latin-1"), upper.decode(encoding, "replace"))
+
+
+def _plain_lines(spark: SparkSession, paths: list[str], encoding: str) -> DataFrame:
+    """``file, line_no, line`` of plain files, which Spark cuts into ranges of bytes."""
+    lines = spark.read.text(paths).select("value", "_metadata")
+    rows = with_row_numbers(lines, "__n").select(F.col("_metadata.file_path").alias("file"), "__n", "value")
+    first = rows.groupBy("file").agg(F.min("__n").alias("__first"))  # a row per file
+    numbered = rows.join(first, "file").withColumn("line_no", F.col("__n") - F.col("__first") + 1)
+    return numbered.select("file", "line_no", decode_single_byte(F.col("value").cast("binary"), encoding).alias("line"))
+
+
+def _zipped_lines(spark: SparkSession, paths: list[str], encoding: str, member: str | None) -> DataFrame:
+    """``file, line_no, line`` of a member of each archive; an archive is one row and one task."""
+
+    def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for file, content in zip(batch["path"], batch["content"]):
+                archive = zipfile.ZipFile(io.BytesIO(content))
+                stream = io.TextIOWrapper(archive.open(member or archive.namelist()[0]), encoding=encoding, errors="replace")
+                numbered = enumerate((line.rstrip("\r\n") for line in stream), 1)
+                while out := list(itertools.islice(numbered, 10_000)):
+                    yield pd.DataFrame([(file, *x) for x in out], columns=["file", "line_no", "line"])
+
+    files = spark.read.format("binaryFile").load(paths).select("path", "content")
+    return files.mapInPandas(lines, "file string, line_no bigint, line string")
+
+
 def read_legacy_report(
     spark: SparkSession,
     path: str,
@@ -50,33 +88,22 @@ def read_legacy_report(
     encoding: str = "iso-8859-4",
     member: str | None = None,
 ) -> DataFrame:
-    """Report files, plain or zipped, in an encoding Spark does not read, as a keyed table.
+    """Report files, plain or zipped (``.zip``), in an encoding Spark does not read, as a keyed table.
 
-    ``names`` maps the columns, in order, to types. Python only unzips and decodes to lines;
-    splitting on ``;`` and the decimal comma are left to Spark.
+    ``names`` maps the columns, in order, to types. The first ``skip`` lines of each file and
+    blank lines do not count, but are numbered. A plain file is read in ranges of bytes by several
+    tasks and never leaves the JVM; Python only unpacks archives. What is collected are file names.
     """
-
-    def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for file, content in zip(batch["path"], batch["content"]):
-                stream = io.BytesIO(content)
-                if zipfile.is_zipfile(stream):
-                    archive = zipfile.ZipFile(stream)
-                    stream = archive.open(member or archive.namelist()[0])
-                else:
-                    stream.seek(0)
-                out = []
-                for number, line in enumerate(io.TextIOWrapper(stream, encoding=encoding), 1):
-                    if number <= skip or not line.strip():
-                        continue
-                    out.append((file, number, line.rstrip("\r\n")))
-                    if len(out) == 10000:
-                        yield pd.DataFrame(out, columns=["file", "line_no", "line"])
-                        out = []
-                yield pd.DataFrame(out, columns=["file", "line_no", "line"])
-
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    read = files.mapInPandas(lines, "file string, line_no bigint, line string")
+    found = [r.path for r in spark.read.format("binaryFile").load(path).select("path").collect()]
+    zipped = [p for p in found if p.lower().endswith(".zip")]
+    plain = [p for p in found if p not in set(zipped)]
+    parts = []
+    if plain or not found:
+        parts.append(_plain_lines(spark, plain or [path], encoding))
+    if zipped:
+        parts.append(_zipped_lines(spark, zipped, encoding, member))
+    read = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    read = read.where((F.col("line_no") > skip) & (F.trim("line") != ""))
     cells = F.split("line", r";\s*")
 
     def typed(i: int, kind: str) -> Column:

@@ -97,3 +97,27 @@ def test_a_table_is_refreshed_from_itself(spark, tmp_path):
     T.overwrite_table(spark.read.parquet(path).where("id > 6"), path)
     assert sorted(r.id for r in spark.read.parquet(path).collect()) == [7, 8, 9]
     assert [p.name for p in tmp_path.iterdir()] == ["table"]
+
+
+def test_a_plain_report_is_read_by_several_tasks(spark, tmp_path):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    body = b"".join("{}; Š\u012fmon\u0117 {};{},5\r\n".format(i, i, i).encode("iso-8859-4", "replace") for i in range(6000))
+    for name in ("a.txt", "b.txt"):
+        (tmp_path / name).write_bytes(b"first\n\n" + body)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        read = R.read_legacy_report(spark, str(tmp_path / "*.txt"), 1, {"n": "bigint", "who": "string", "x": "double"}, "n")
+        assert spark.read.text(str(tmp_path / "*.txt")).rdd.getNumPartitions() > 8
+        rows = {(r.file.rpartition("/")[2], r.line_no): (r.n, r.who, r.x, r.key) for r in read.collect()}
+        who = "Š\u012fmon\u0117 ".encode("iso-8859-4", "replace").decode("iso-8859-4")
+        assert rows == {(f, i + 3): (i, f"{who}{i}", i + 0.5, str(i)) for f in ("a.txt", "b.txt") for i in range(6000)}
+        text = read._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in text and "InPandas" not in text
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_every_byte_of_an_encoding(spark):
+    raw = spark.createDataFrame([(bytes(range(256)),)], "raw binary")
+    for encoding in ("iso-8859-4", "cp1257", "iso-8859-13"):
+        assert raw.select(R.decode_single_byte(F.col("raw"), encoding)).first()[0] == bytes(range(256)).decode(encoding, "replace")
