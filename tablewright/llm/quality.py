@@ -62,6 +62,7 @@ class CoTrained:
     """The two classifiers after the last round, how to calibrate them, and what they reached."""
 
     views: PipelineModel
+    features: DataFrame
     models: dict
     calibration: dict[str, tuple[float, float]]
     prior: float
@@ -132,8 +133,8 @@ def co_train(
 ) -> CoTrained | None:
     """Fit both views; None if the labelled rows are not of two classes.
 
-    Each round fits one classifier per view and lets both score all documents, in one pass that
-    keeps two numbers of each. Of the documents without a label that one view is ``confident``
+    Both views' features of all documents are made and written once. Each round fits one
+    classifier per view and lets both score all documents from there. Of the documents without a label that one view is ``confident``
     of, up to ``max_handed`` go to the other view's next fit, with that label. A row keeps the
     label of the round that comes last, and none if no view is sure any more.
     """
@@ -151,6 +152,8 @@ def co_train(
         featuresCol=f"{view}_features", probabilityCol=f"{view}_probability", predictionCol=f"{view}_prediction",
         rawPredictionCol=f"{view}_raw", regParam=1e-4, maxIter=steps,
     ).fit(rows)
+    every = made.transform(inputs(base, *fields)).select("doc", "text_features", "meta_features")
+    every = write_once(every, "features")
     given = {TEXT: train, META: train}
     exchanged = {TEXT: 0, META: 0}
     models: dict = {}
@@ -158,13 +161,12 @@ def co_train(
         models = {view: fit(view, given[view]) for view in (TEXT, META)}
         if number == rounds:
             break
-        now = scored(made.transform(inputs(base, *fields)), models).select("doc", "text_logit", "meta_logit")
-        now = write_once(now, "scores")
+        now = write_once(scored(every, models).select("doc", "text_logit", "meta_logit"), "scores")
         for taker, giver in ((TEXT, META), (META, TEXT)):
             sure = write_once(handed_over(now, judged, giver, confident, max_handed), "handed_over")
             exchanged[taker] = sure.count()
-            rows = inputs(base.join(F.broadcast(sure), "doc"), *fields)  # at most ``max_handed`` ids
-            given[taker] = write_once(train.unionByName(made.transform(rows).select(keep)), "given")
+            rows = every.join(F.broadcast(sure), "doc")  # at most ``max_handed`` ids
+            given[taker] = write_once(train.unionByName(rows.select(keep)), "given")
     calibration, judged = {}, write_once(scored(check, models).select("label", "text_logit", "meta_logit"), "checked")
     for view in (TEXT, META):
         platt = LogisticRegression(maxIter=50).fit(
@@ -172,7 +174,7 @@ def co_train(
         )
         calibration[view] = (float(platt.coefficients[0]), float(platt.intercept))
     prior = judged.agg((F.sum("label") + 1) / (F.count("*") + 2)).first()[0]
-    return CoTrained(made, models, calibration, float(prior), exchanged)
+    return CoTrained(made, every, models, calibration, float(prior), exchanged)
 
 
 def score_quality(
@@ -191,6 +193,7 @@ def score_quality(
     max_handed: int = 12_000,
     text_features: int = 4096,
     meta_features: int = 256,
+    with_rows: bool = True,
 ) -> DataFrame:
     """Score every document with two classifiers that taught each other.
 
@@ -203,6 +206,8 @@ def score_quality(
     Classifiers are fitted on at most ``max_labelled`` labelled rows, taken by the smallest hash
     of the id, and in each round on at most ``max_handed`` rows that the other view labelled.
     Both views score all documents in every round, over their whole texts, and so does the end.
+    Without ``with_rows`` there is no ``row``: then the end, too, works on the features written
+    once, and texts are read no second time.
 
     * Null texts count as empty; null metadata is a value of its own; a null or negative size is
       zero.
@@ -224,11 +229,12 @@ def score_quality(
         base, fields, judged, write_once(sample.withColumn("fold", held_out(F.col("doc"))), "labelled"), rounds=rounds,
         confident=confident, text_features=text_features, meta_features=meta_features, max_handed=max_handed,
     )
-    named = [F.col("row"), F.col("doc"), held_out(F.col("doc")).alias("held_out")]
+    named = [*([F.col("row")] if with_rows else []), F.col("doc"), held_out(F.col("doc")).alias("held_out")]
     if learned is None:
         half = [F.lit(0.5).alias(n) for n in ("text_score", "meta_score", "score")]
         return base.select(*named, *half, F.lit(1).alias("quality"))
-    frame = scored(learned.views.transform(inputs(base, *fields)), learned.models)
+    frame = learned.views.transform(inputs(base, *fields)) if with_rows else learned.features
+    frame = scored(frame, learned.models)
     odds = {v: a * F.col(f"{v}_logit") + b for v, (a, b) in learned.calibration.items()}
     share = lambda x: 1 / (1 + F.exp(-x))
     both = odds[TEXT] + odds[META] - F.log(F.lit(learned.prior / (1 - learned.prior)))

@@ -166,7 +166,7 @@ def op9_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
-    judged = quality.score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    judged = quality.score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"), with_rows=False)
     return judged.select(F.col("doc").alias("doc_id"), "held_out", "text_score", "meta_score", "score", "quality")
 
 

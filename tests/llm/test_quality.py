@@ -73,3 +73,12 @@ def test_a_score_of_one_half_is_good(spark):
     docs, _ = corpus(5)
     done = score_quality(docs_of(spark, docs), labels_of(spark, [])).collect()
     assert {(r.score, r.quality) for r in done} == {(0.5, 1)}
+
+
+def test_scores_are_the_same_without_rows(spark):
+    docs, truth = corpus(200)
+    args = docs_of(spark, docs), labels_of(spark, list(truth.items()))
+    one, other = (score_quality(*args, rounds=1, with_rows=w) for w in (True, False))
+    assert "row" in one.columns and "row" not in other.columns
+    plain = lambda df: sorted((r.doc, round(r.score, 9), r.quality, r.held_out) for r in df.collect())
+    assert plain(one) == plain(other)
