@@ -278,6 +278,7 @@ class _Plan:
         self.known = write_once(direct.unionByName(literals, allowMissingColumns=True).where("text <> ''"), "known_texts")
 
         slot = self.templates.select(F.explode("slots").alias("s")).select("s.name", "s.flags")
+        self.asked = write_once(slot.select(F.col("name").alias("dictionary")).distinct(), "asked_dictionaries")
         flagged = slot.where(F.size("flags") > 0).distinct()
         facts = self.templates.agg(
             F.max(F.size("symbols")), F.max(F.size("render")),
@@ -479,9 +480,9 @@ def resolve_entities(
         known = hits.select(*[F.col(c).alias(f"__{c}") for c in columns])
         same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in columns])
         new = write_once(found.join(known, same, "left_anti").withColumn("round", F.lit(number)), "hits")
-        if new.isEmpty():
-            break
         hits = hits.unionByName(new)
+        if new.join(plan.asked, "dictionary", "left_semi").isEmpty():  # nothing that a slot could take
+            break
     blank = plan.direct.where("text = ''").select("dictionary", "text", *_HIT)  # names of no letters, for mentions alike
     whole = hits.where((F.col("start") == 0) & (F.col("stop") == F.col("n"))).select("dictionary", F.col("span").alias("text"), *_HIT)
     return asked.join(whole.unionByName(blank), ["dictionary", "text"]).select("dictionary", "mention", *_HIT).distinct()
