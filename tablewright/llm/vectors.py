@@ -17,6 +17,10 @@ from .frames import col, packed
 SHARD_ROWS, MOST_SHARDS = 1500, 4096
 #: Rows the centres are fitted on.
 SAMPLE_ROWS = 16_384
+#: Shards a node is a member of; its list is pruned in each, and the lists are united.
+HOMES = 2
+#: How many of its nearest shards a node may be searched for in; the last stands for all.
+VISITS = (2, 3, 4, 5, 6, 8, 12, 16, 24, 32, 64, 128, 256, 512, 1024, MOST_SHARDS)
 
 
 def usable(vector: Column) -> Column:
@@ -184,12 +188,15 @@ def _expand(q: np.ndarray, vectors: np.ndarray, graph: np.ndarray, seen: np.ndar
 
 def least_linked(links: np.ndarray) -> np.ndarray:
     """For each row of a symmetric matrix of links, the first row of its component."""
-    n = len(links)
+    return _first_of_component(*np.nonzero(links), len(links))
+
+
+def _first_of_component(one: np.ndarray, other: np.ndarray, n: int) -> np.ndarray:
     root = np.arange(n)
     while True:
-        r, v = np.nonzero(links)
         new = root.copy()
-        np.minimum.at(new, r, root[v])
+        np.minimum.at(new, one, root[other])
+        np.minimum.at(new, other, root[one])
         new = np.minimum(new, new[new])
         if (new == root).all():
             return root
@@ -200,14 +207,14 @@ def _stack(column: pd.Series) -> np.ndarray:
     return unit(np.stack([np.asarray(v, np.float64) for v in column]))
 
 
-def nearest_shards(vector: Column, held: dict[int, np.ndarray]) -> Column:
-    """The two shards with the nearest centres, for a vector of as many components."""
+def nearest_shards(vector: Column, held: dict[int, np.ndarray], most: int) -> Column:
+    """The ``most`` shards with the nearest centres, nearest first, for a vector of as many components."""
 
     @F.pandas_udf("array<int>")
     def nearest(vectors: pd.Series) -> pd.Series:
         out = pd.Series([[]] * len(vectors), index=vectors.index, dtype=object)
         for size, rows in vectors.groupby(vectors.map(len)):
-            order = np.argsort(-(_stack(rows) @ held[size].T), axis=1, kind="stable")[:, :2] if size in held else np.zeros((len(rows), 1), int)
+            order = _by_likeness(_stack(rows) @ held[size].T)[:, :most] if size in held else np.zeros((len(rows), 1), int)
             for i, o in zip(rows.index, order.tolist(), strict=True):
                 out[i] = o
         return out
@@ -215,24 +222,35 @@ def nearest_shards(vector: Column, held: dict[int, np.ndarray]) -> Column:
     return nearest(vector)
 
 
-def shard_of(nodes: DataFrame, threshold: float) -> DataFrame:
-    """Each node once for each of its two shards: ``dim``, ``shard``, ``other`` (-1 if there is
-    none), ``block`` and ``blocks`` (into how many the shard is cut)."""
-    sizes = {r.dim: r.n for r in nodes.groupBy("dim").agg(F.count("*").alias("n")).collect()}
-    total = sum(sizes.values())
+def _by_likeness(score: np.ndarray) -> np.ndarray:
+    return np.argsort(-score, axis=1, kind="stable")
+
+
+def fit_centres(nodes: DataFrame, threshold: float) -> dict[int, np.ndarray]:
+    """Centres of the shards for each length of vectors, fitted on ``SAMPLE_ROWS`` nodes."""
+    total = nodes.count()
     sample = nodes.orderBy(F.xxhash64("vector"), "node").limit(SAMPLE_ROWS).select("dim", "vector").toPandas()
-    held = {
+    return {
         int(dim): centres(_stack(rows["vector"]), min(MOST_SHARDS, max(1, -(-2 * total // SHARD_ROWS))), threshold)
         for dim, rows in sample.groupby("dim")
     }
-    near = nodes.withColumn("shards", nearest_shards(F.col("vector"), held))
-    laid = near.select(
-        "node", "dim", "vector", "copies", F.posexplode("shards").alias("at", "shard"), F.col("shards")
-    ).select(
-        "node", "dim", "vector", "copies", "shard",
-        F.coalesce(F.get("shards", 1 - F.col("at")), F.lit(-1)).alias("other"),
-    )
-    blocks = laid.groupBy("dim", "shard").agg(F.ceil(F.count("*") / (2 * SHARD_ROWS)).cast("int").alias("blocks"))
+
+
+def shard_of(nodes: DataFrame, held: dict[int, np.ndarray], visits: int = HOMES) -> DataFrame:
+    """Each node once for each of its ``visits`` nearest shards: ``dim``, ``shard``, ``visited``
+    (all of them, nearest first), ``member`` (it is one of the first ``HOMES``), ``block`` and
+    ``blocks`` (into how many the shard is cut, so that a block stays small in memory)."""
+    laid = (
+        nodes.withColumn("visited", nearest_shards(F.col("vector"), held, max(HOMES, visits)))
+        .select("node", "dim", "vector", "copies", "visited", F.posexplode("visited").alias("at", "shard"))
+        .withColumn("member", F.col("at") < HOMES)
+        .drop("at")
+    )
+    blocks = laid.groupBy("dim", "shard").agg(
+        F.greatest(F.ceil(F.count_if("member") / (2 * SHARD_ROWS)), F.ceil(F.count("*") / (8 * SHARD_ROWS)))
+        .cast("int")
+        .alias("blocks")
+    )
     return laid.join(blocks, ["dim", "shard"]).withColumn(
         "block", F.pmod(F.xxhash64("node", "shard"), F.col("blocks")).cast("int")
     )
@@ -247,7 +265,7 @@ def build_graph(laid: DataFrame) -> DataFrame:
         names = rows["node"].to_numpy()
         return pd.DataFrame({"node": names, "near": [names[g[g >= 0]] for g in graph]})
 
-    lists = laid.select("node", "dim", "shard", "block", "vector").groupBy("dim", "shard", "block").applyInPandas(
+    lists = laid.where("member").select("node", "dim", "shard", "block", "vector").groupBy("dim", "shard", "block").applyInPandas(
         built, "node long, near array<long>"
     )
     return lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
@@ -264,12 +282,31 @@ def _graph_of(names: np.ndarray, near: pd.Series) -> np.ndarray:
     return out
 
 
-def search_cells(laid: DataFrame, graph: DataFrame, threshold: float) -> DataFrame:
+def compared_before(visited: list[np.ndarray], shard: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two 0/1 matrices, homes and visits, of rows by the shards before ``shard``.
+
+    A pair is also compared in an earlier shard if one of them visits a home of the other there.
+    """
+    known = sorted({int(t) for v in visited for t in v if t < shard})
+    at = {t: i for i, t in enumerate(known)}
+    homes = np.zeros((len(visited), len(known)), np.float32)
+    visits = np.zeros_like(homes)
+    for i, v in enumerate(visited):
+        for rank, t in enumerate(v):
+            if t < shard:
+                visits[i, at[int(t)]] = 1
+                homes[i, at[int(t)]] = rank < HOMES
+    return homes, visits
+
+
+def search_cells(laid: DataFrame, graph: DataFrame, threshold: float, *, whole: bool = False) -> DataFrame:
     """Links found, as (``node``, ``links``, ``root``) for each cell: how many other vectors the
     node links with there, and the first node of its component there.
 
-    A cell is a pair of blocks of one shard (mostly a shard is one block). A pair of nodes that
-    two shards share counts in the smaller one only, so links are never handed around in pairs.
+    A cell is a pair of blocks of one shard (mostly a shard is one block). Members and visitors
+    are searched for among the members. A pair that several shards compare counts in the first
+    of them only, so links are never handed around in pairs. ``whole`` compares the rows of a
+    cell with its members one by one instead of walking the graph.
     """
     pairs = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
@@ -282,24 +319,41 @@ def search_cells(laid: DataFrame, graph: DataFrame, threshold: float) -> DataFra
         low, high = rows["low"].iloc[0], rows["high"].iloc[0]
         names, vectors = rows["node"].to_numpy(), _stack(rows["vector"])
         copies, shard = rows["copies"].to_numpy(np.int64), rows["shard"].iloc[0]
-        links = np.zeros((len(rows), len(rows)), bool)
+        member = rows["member"].to_numpy(bool)
+        column = np.cumsum(member) - 1  # where a member lies among the members
+        members = np.flatnonzero(member)
+        links = np.zeros((len(rows), len(members)), bool)
         for side in {low, high}:
-            there = np.flatnonzero(rows["block"] == side)
+            there = np.flatnonzero((rows["block"] == side) & member)
             asking = np.flatnonzero((rows["block"] != side) | (low == high))
             if not len(there) or not len(asking):
                 continue
+            if whole:
+                for at in range(0, len(asking), 512):
+                    some = asking[at : at + 512]
+                    links[np.ix_(some, column[there])] = vectors[some] @ vectors[there].T >= threshold
+                continue
             graph = _graph_of(names[there], rows["near"].iloc[there])
-            own = np.arange(len(there)) if low == high else np.full(len(asking), -1)
-            links[np.ix_(asking, there)] = range_search(vectors[asking], vectors[there], graph, own, threshold)
-        links |= links.T
-        np.fill_diagonal(links, False)
-        other = rows["other"].to_numpy()
-        elsewhere = (other[:, None] == other) & (other >= 0) & (other < shard)
-        counted = np.concatenate([(links[i : i + 512] & ~elsewhere[i : i + 512]) @ copies for i in range(0, len(rows), 512)])
-        return pd.DataFrame({"node": names, "links": counted, "root": names[least_linked(links)]})
+            own = np.where(member[asking], np.searchsorted(there, asking), -1) if low == high else np.full(len(asking), -1)
+            links[np.ix_(asking, column[there])] = range_search(vectors[asking], vectors[there], graph, own, threshold)
+        links[members] |= links[members].T
+        links[members, np.arange(len(members))] = False
+        one, other = np.nonzero(links)
+        root = names[_first_of_component(one, members[other], len(rows))]
+        homes, visits = compared_before(list(rows["visited"]), shard)
+        for at in range(0, len(rows), 512):
+            some = slice(at, at + 512)
+            links[some] &= (homes[some] @ visits[members].T + visits[some] @ homes[members].T) == 0
+        counted = np.concatenate([links[at : at + 512] @ copies[members] for at in range(0, len(rows), 512)])
+        guests = np.flatnonzero(~member)
+        for at in range(0, len(guests), 512):
+            some = guests[at : at + 512]
+            counted[members] += copies[some] @ links[some]
+        return pd.DataFrame({"node": names, "links": counted, "root": root})
 
     keep = celled.select(
-        "node", "dim", "shard", "other", "vector", "copies", "block", "near",
+        "node", "dim", "shard", "visited", "member", "vector", "copies", "block",
+        F.when(F.col("member"), F.col("near")).alias("near"),
         F.col("cell.low").alias("low"), F.col("cell.high").alias("high"),
     )
     return keep.groupBy("dim", "shard", "low", "high").applyInPandas(searched, "node long, links long, root long")
@@ -317,19 +371,29 @@ def distinct_vectors(vectors: DataFrame, vec_id: str, vector: str) -> DataFrame:
 
 
 def near_duplicates(
-    vectors: DataFrame, *, vec_id: str = "vec_id", vector: str = "embedding", threshold: float = 0.9, audit: int = 64
+    vectors: DataFrame,
+    *,
+    vec_id: str = "vec_id",
+    vector: str = "embedding",
+    threshold: float = 0.9,
+    audit: int = 1000,
+    reach: float = 0.98,
+    least_recall: float = 0.9,
 ) -> DataFrame:
     """Link vectors whose cosine is at least ``threshold``.
 
     Returns one row per vector: ``row`` (the input row as a struct), ``vec``, ``n_links`` (other
     rows linked directly), ``component_id`` (smallest id reachable), ``kept`` and ``recall`` (see
-    :func:`audit_recall`; null without usable vectors).
+    :class:`Audit`; null without usable vectors).
 
-    Equal vectors are one node with its number of copies. Nodes go to the shards of their two
-    nearest centres, which are fitted on a bounded sample; each shard's graph is robust-pruned,
-    the lists of a node are united, and every node is searched for in the shards it lies in.
-    Links are verified in double precision as they are found, so none is below the threshold;
-    one that lies across shards with none in common is missed.
+    Equal vectors are one node with its number of copies. Nodes are members of the shards of their
+    two nearest centres, which are fitted on a bounded sample; each shard's graph is robust-pruned,
+    the lists of a node are united, and every node is searched for in the shards it lies in and in
+    as many further ones as it takes: ``audit`` nodes are compared with all rows, and the number of
+    shards to visit is the least that reaches the share ``reach`` of their links, all shards if
+    need be. So the losses over shard borders do not grow with the rows. If the search itself then
+    finds less than ``least_recall`` of the audited links, cells are compared row by row instead.
+    Links are verified in double precision as they are found, so none is below the threshold.
 
     * Vectors that are null, zero, or hold null or non-finite components link with nothing and
       are components of their own. Vectors of different length do not link.
@@ -338,24 +402,20 @@ def near_duplicates(
     * An empty table gives an empty result.
     """
     nodes = distinct_vectors(vectors, vec_id, vector)
-    laid = write_once(shard_of(nodes, threshold), "shards")
-    cells = write_once(search_cells(laid, build_graph(laid), threshold), "cells")
-    roots = stars(cells.select(F.col("node").alias("a"), F.col("root").alias("b")))
-    found = (
-        nodes.join(cells.groupBy("node").agg(F.sum("links").alias("links")), "node", "left")
-        .join(roots, "node", "left")
-        .withColumn("root", F.coalesce("root", "node"))
-    )
-    least = found.groupBy("root").agg(F.min("least").alias("component"))
-    judged = found.join(least, "root").select(
-        "vector", (F.col("links") + F.col("copies") - 1).alias("links"), "component"
-    )
-    recall = audit_recall(nodes, judged, threshold, audit)
+    held = fit_centres(nodes, threshold)
+    checked = Audit(nodes, held, threshold, audit)
+    laid = write_once(shard_of(nodes, held, checked.visits(reach)), "shards")
+    graph = build_graph(laid)
+    judged = join_cells(nodes, write_once(search_cells(laid, graph, threshold), "cells"))
+    recall = checked.recall(judged)
+    if recall is not None and recall < least_recall:
+        judged = join_cells(nodes, write_once(search_cells(laid, graph, threshold, whole=True), "cells"))
+        recall = checked.recall(judged)
     named = packed(vectors, vec=col(vec_id), vector=col(vector).cast("array<double>"))
     sound = F.when(usable(F.col("vector")), F.col("vector"))
     return (
         named.withColumn("vector", sound)
-        .join(judged, "vector", "left")
+        .join(judged.drop("node", "others"), "vector", "left")
         .select(
             "row",
             "vec",
@@ -367,26 +427,78 @@ def near_duplicates(
     )
 
 
-def audit_recall(nodes: DataFrame, judged: DataFrame, threshold: float, queries: int) -> float | None:
-    """The part of the true links of ``queries`` nodes that was found.
+def join_cells(nodes: DataFrame, cells: DataFrame) -> DataFrame:
+    """What the cells found, per node: ``vector``, ``links`` and ``component``."""
+    roots = stars(cells.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    found = (
+        nodes.join(cells.groupBy("node").agg(F.sum("links").alias("links")), "node", "left")
+        .join(roots, "node", "left")
+        .withColumn("root", F.coalesce("root", "node"))
+    )
+    least = found.groupBy("root").agg(F.min("least").alias("component"))
+    return found.join(least, "root").select(
+        "node", "vector", F.col("links").alias("others"),
+        (F.col("links") + F.col("copies") - 1).alias("links"), "component",
+    )
 
-    The nodes with the smallest hash are compared with all rows by brute force, in one pass;
-    only they are sent to the tasks, and only counts come back.
+
+class Audit:
+    """The true links of ``queries`` nodes, those with the smallest hash, by brute force.
+
+    They are compared with all rows in one pass. Only they are sent to the tasks, and what comes
+    back is, for each of them, how many links a given number of visited shards reaches.
     """
-    chosen = nodes.orderBy(F.xxhash64("vector"), "node").limit(queries).select("dim", "vector").toPandas()
-    if not len(chosen):
-        return None
-    asked = {int(dim): _stack(rows["vector"]) for dim, rows in chosen.groupby("dim")}
-
-    def counted(batches):
-        for rows in batches:
-            out = [(q, int((near * rows["copies"].to_numpy()[at]).sum()))
-                   for dim, at in ((d, np.flatnonzero(rows["dim"] == d)) for d in asked) if len(at)
-                   for q, near in enumerate(asked[dim] @ _stack(rows["vector"].iloc[at]).T >= threshold)]
-            yield pd.DataFrame({"n": [n for _, n in out]}, dtype="int64")
-
-    there = nodes.select("dim", "vector", "copies").mapInPandas(counted, "n long").agg(F.sum("n")).first()[0]
-    keys = nodes.orderBy(F.xxhash64("vector"), "node").limit(queries).select("vector")
-    here = judged.join(F.broadcast(keys), "vector").agg(F.sum(F.col("links") + 1)).first()[0]
-    itself = len(chosen)
-    return (here - itself) / (there - itself) if there > itself else 1.0
+
+    def __init__(self, nodes: DataFrame, held: dict[int, np.ndarray], threshold: float, queries: int) -> None:
+        chosen = nodes.orderBy(F.xxhash64("vector"), "node").limit(queries).select("node", "dim", "vector").toPandas()
+        self.nodes = [int(n) for n in chosen["node"]]
+        asked = {int(dim): (rows["node"].to_numpy(), _stack(rows["vector"])) for dim, rows in chosen.groupby("dim")}
+        orders = {dim: _by_likeness(v @ held[dim].T) for dim, (_, v) in asked.items()}
+        ranks = {dim: np.argsort(order, axis=1) for dim, order in orders.items()}
+
+        def counted(batches):
+            for rows in batches:
+                out = []
+                for dim, (names, queries) in asked.items():
+                    at = np.flatnonzero(rows["dim"] == dim)
+                    if not len(at):
+                        continue
+                    here, there = _stack(rows["vector"].iloc[at]), rows["node"].to_numpy()[at]
+                    r, q = np.nonzero(here @ queries.T >= threshold)
+                    others = there[r] != names[q]
+                    r, q = r[others], q[others]
+                    linked, r_at = np.unique(r, return_inverse=True)
+                    order = _by_likeness(here[linked] @ held[dim].T)
+                    rank = np.argsort(order, axis=1)
+                    need = np.minimum(
+                        ranks[dim][q[:, None], order[r_at][:, :HOMES]].min(1, initial=MOST_SHARDS),
+                        np.take_along_axis(rank[r_at], orders[dim][q][:, :HOMES], 1).min(1, initial=MOST_SHARDS),
+                    )
+                    level = np.searchsorted(VISITS, np.minimum(need + 1, MOST_SHARDS))
+                    out.append(pd.DataFrame({"node": names[q], "level": level, "n": rows["copies"].to_numpy()[at][r]}))
+                if out:
+                    yield pd.concat(out).groupby(["node", "level"], as_index=False)["n"].sum()
+
+        self.true = pd.DataFrame({"node": [], "level": [], "n": []})
+        if self.nodes:
+            links = nodes.select("node", "dim", "vector", "copies").mapInPandas(counted, "node long, level long, n long")
+            self.true = links.groupBy("node", "level").agg(F.sum("n").alias("n")).toPandas()
+        self.total = self.true.groupby("node")["n"].sum()
+
+    def visits(self, reach: float) -> int:
+        """The least number of visited shards that reaches this share of the links, on average over the nodes."""
+        for level, visits in enumerate(VISITS):
+            reached = self.true[self.true["level"] <= level].groupby("node")["n"].sum()
+            if not len(self.total) or (reached.reindex(self.total.index, fill_value=0) / self.total).mean() >= reach:
+                return visits
+        return MOST_SHARDS
+
+    def recall(self, judged: DataFrame) -> float | None:
+        """The share of its true links that was found, on average over the nodes that have any."""
+        if not self.nodes:
+            return None
+        keys = judged.sparkSession.createDataFrame([(n,) for n in self.nodes], "node long")
+        found = judged.join(F.broadcast(keys), "node").select("node", F.col("others").alias("links")).toPandas()
+        if not len(self.total):
+            return 1.0
+        return float((found.set_index("node")["links"].reindex(self.total.index) / self.total).mean())

@@ -102,3 +102,33 @@ def test_range_search_never_goes_below_the_threshold():
     graph = V.with_back_links(V.robust_prune(points))
     hits = V.range_search(points, points, graph, np.full(len(points), -1), 0.9)
     assert (points @ points.T)[hits].min() >= 0.9
+
+
+def spread(rng, n, intrinsic=3, dim=16):
+    return rng.normal(size=(n, intrinsic)) @ rng.normal(size=(intrinsic, dim))
+
+
+def test_links_over_shard_borders_are_found(spark, monkeypatch):
+    """Spread vectors in many small shards: two homes alone lose many of their links."""
+    monkeypatch.setattr(V, "SHARD_ROWS", 40)
+    rows = list(enumerate(spread(np.random.default_rng(11), 900)))
+    nodes = V.distinct_vectors(table(spark, rows), "vec_id", "embedding").cache()
+    held = V.fit_centres(nodes, 0.9)
+    checked = V.Audit(nodes, held, 0.9, 300)
+    units = V.unit(np.array([v for _, v in rows], np.float32))
+    assert checked.total.sum() == sum(
+        int((units @ V.unit(np.array([r.vector]))[0] >= 0.9).sum()) - 1
+        for r in nodes.where(nodes.node.isin(checked.nodes)).collect()
+    )
+    assert len(next(iter(held.values()))) > 10 and checked.visits(0.98) > V.HOMES
+    found, want = sorted(ours(spark, rows)), sorted(brute(rows))
+    assert all(f[1] <= w[1] for f, w in zip(found, want, strict=True))
+    assert np.mean([f[1] / w[1] for f, w in zip(found, want, strict=True) if w[1]]) >= 0.95
+    assert [f[2] for f in found] == [w[2] for w in want]
+
+
+def test_all_shards_and_whole_cells_find_every_link_once(spark, monkeypatch):
+    monkeypatch.setattr(V, "SHARD_ROWS", 30)
+    rows = list(enumerate(spread(np.random.default_rng(12), 400))) + [(900, [1.0] * 16), (901, [1.0] * 16)]
+    found, want = sorted(ours(spark, rows, reach=1.1, least_recall=1.1)), sorted(brute(rows))
+    assert found == want
