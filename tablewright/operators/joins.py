@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import is_upper, title_case, words
+from ..session import write_once
 
 # Days since 0001-01-01 fit into RADIX ** LEVELS. A date looks up one block per level, and
 # dates outnumber periods: few levels, more blocks per period.
@@ -63,6 +64,8 @@ def period_lookup(
     )
     blocks = _blocks(table.where("__lo < __hi"), [*keys, order])
     first = blocks.groupBy(*keys, "level", "block").agg(F.min(order).alias("__first"))
+    if keys:  # many times the periods, which the size of their table does not show: never to be broadcast
+        first = first.hint("merge")
 
     day = _day(F.col("__date"))
     levels = F.array(
@@ -151,6 +154,9 @@ def name_variants(first_names: Column, surname: Column) -> Column:
 
 SPEAKER = ["__surname", "__variant"]
 
+#: Terms of one surname that may be carried along in a row; a surname with more is looked up by blocks.
+FEW = 64
+
 
 def _asked(speeches: DataFrame, who: Column, date: str) -> DataFrame:
     """``__who`` and ``__date`` next to the speeches.
@@ -164,22 +170,53 @@ def _asked(speeches: DataFrame, who: Column, date: str) -> DataFrame:
     return speeches.withColumn("__who", F.coalesce(named, nobody)).withColumn("__date", F.col(date).cast("date"))
 
 
-def _members_lookup(asked: DataFrame, members: DataFrame) -> DataFrame:
-    """Member in office per distinct ``__who, __date``: names are taken apart once each."""
+def _with_member(asked: DataFrame, members: DataFrame) -> DataFrame:
+    """``asked`` with ``__p_vardas, __p_pavarde`` of the member in office: names are taken apart once each.
+
+    The terms of a name variant are carried as one row, so that speeches meet them once, by name,
+    and compare days in place. A surname with more than ``FEW`` terms is looked up by blocks of days.
+    What terms and variants come to is not to be seen from the size of ``members``: no such side is
+    left to a broadcast.
+    """
     table = members.select(
         "seq",
-        "nuo",
-        "iki",
+        F.col("nuo").cast("date").alias("nuo"),
+        F.col("iki").cast("date").alias("iki"),
+        "vardas",
+        "pavarde",
         F.upper("pavarde").alias("__surname"),
-        F.explode(name_variants(F.col("vardas"), F.col("pavarde"))).alias("__variant"),
-    )
-    names = asked.select("__who", "__date").where(~F.col("__who").startswith("\u0000")).distinct()
+    ).where("seq IS NOT NULL")
+    many = table.groupBy("__surname").count().where(F.col("count") > FEW).select("__surname")
+    many = write_once(many, "many_terms")
+    some_many = not many.isEmpty()
+    variants = F.explode(name_variants(F.col("vardas"), F.col("pavarde"))).alias("__variant")
+    few = table.join(many.hint("merge"), "__surname", "left_anti") if some_many else table
+    few = few.select("*", variants)
+    terms = F.sort_array(F.collect_list(F.struct("seq", "nuo", "iki", "vardas", "pavarde")))
+    terms = few.groupBy(*SPEAKER).agg(terms.alias("__terms"))
+
+    names = asked.select("__who").where(~F.col("__who").startswith("\u0000")).distinct()
     keyed = names.select(
-        "*", speaker_surname(F.col("__who")).alias("__surname"), speaker_key(F.col("__who")).alias("__variant")
+        "__who", speaker_surname(F.col("__who")).alias("__surname"), speaker_key(F.col("__who")).alias("__variant")
     ).where("__surname IS NOT NULL")
-    dates = keyed.select(*SPEAKER, "__date").distinct()
-    found = period_lookup(dates, table, "nuo", "iki", "seq", ["vardas", "pavarde"], SPEAKER, members)
-    return keyed.join(found, [*SPEAKER, "__date"]).drop(*SPEAKER)
+    known = keyed.join(terms.hint("merge"), SPEAKER).select("__who", "__terms")
+    day = F.col("__date")
+    valid = F.filter("__terms", lambda p: (p["nuo"] < day) & (p["iki"].isNull() | (p["iki"] > day)))
+    joined = asked.join(known, "__who", "left").withColumn("__term", F.try_element_at(valid, F.lit(1))).drop("__terms")
+    here = [F.col("__term")[c].alias(f"__p_{c}") for c in ("vardas", "pavarde")]
+    if not some_many:
+        return joined.select(*asked.columns, *here)
+
+    dates = asked.join(keyed.join(many, "__surname"), "__who").select("__who", "__date", *SPEAKER).distinct()
+    found = period_lookup(
+        dates.select(*SPEAKER, "__date").distinct(),
+        table.join(many.hint("merge"), "__surname", "left_semi").select("*", variants),
+        "nuo", "iki", "seq", ["vardas", "pavarde"], SPEAKER, members,
+    )
+    found = dates.join(found, [*SPEAKER, "__date"]).drop(*SPEAKER)
+    joined = joined.select(*asked.columns, "__term").join(found, ["__who", "__date"], "left")
+    here = [F.coalesce(F.col("__term")[c], F.col(f"__p_{c}")).alias(f"__p_{c}") for c in ("vardas", "pavarde")]
+    return joined.select(*asked.columns, *here)
 
 
 def resolve_speaker(speeches: DataFrame, members: DataFrame, speaker: str, date: str) -> DataFrame:
@@ -189,7 +226,7 @@ def resolve_speaker(speeches: DataFrame, members: DataFrame, speaker: str, date:
     """
     days_only(speeches, date)
     asked = _asked(speeches, F.col(speaker), date)
-    found = asked.join(_members_lookup(asked, members), ["__who", "__date"], "left")
+    found = _with_member(asked, members)
     return found.select(
         *speeches.columns, F.col("__p_vardas").alias("vardas"), F.col("__p_pavarde").alias("pavarde")
     )
@@ -201,7 +238,7 @@ def attribute_roles(speeches: DataFrame, members: DataFrame, chairs: DataFrame,
     ``speeches`` has ``speaker, is_chair, chair_name`` (the carried chair). A chair with a
     carried name is looked up among the members only; a chair without one is the chair in
     office; anybody else is a member when found. Both lookups start from the speeches, which
-    then are joined to the two small outcomes.
+    then are joined to the two outcomes.
     """
     days_only(speeches, date)
     asked = _asked(speeches, F.when(F.col("is_chair"), F.col("chair_name")).otherwise(F.col("speaker")), date)
@@ -211,7 +248,7 @@ def attribute_roles(speeches: DataFrame, members: DataFrame, chairs: DataFrame,
         asked.where(by_office).select("__date").distinct(),
         holders, "start", "end", "seq", ["c_vardas", "c_pavarde"],
     )
-    joined = asked.join(_members_lookup(asked, members), ["__who", "__date"], "left").join(office, "__date", "left")
+    joined = _with_member(asked, members).join(office, "__date", "left")
 
     def person(field: str) -> Column:
         return F.when(by_office, F.col(f"__p_c_{field}")).otherwise(F.col(f"__p_{field}"))

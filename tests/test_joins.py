@@ -1,5 +1,6 @@
 import math
 import random
+import re
 from datetime import date, timedelta
 
 import pytest
@@ -51,6 +52,71 @@ def test_chair_with_a_carried_name_never_falls_back(spark):
     assert out == {1: ("pirmininkas", None), 2: ("pirmininkas", "L"), 3: ("seimo narys", "Jonaitis"), 4: ("seimo narys", "Jonaitis"), 5: (None, None)}
 
 
+def lookup_case(rng):
+    """Members of few and of many terms, and what brute force finds for a speech."""
+    day0 = date(1999, 12, 20)
+    members = []
+    for i in range(160):
+        start = day0 + timedelta(days=rng.randint(0, 300))
+        end = None if i % 9 == 0 else start + timedelta(days=rng.randint(-1, 90))
+        # one surname holds most terms
+        surname = "Jonaitis" if i % 4 else f"Pavardė{i % 7}"
+        members.append((1000 - i, rng.choice(["Jonas", "Jonas Petras", ""]), surname, start if i % 31 else None, end))
+    names = ["J. JONAITIS.", "J.P. JONAITIS", "JONAITIS", "P. J. JONAITIS", *[f"J. PAVARDĖ{n}" for n in range(8)], "...", None]
+    said = [(i, rng.choice(names), day0 + timedelta(days=rng.randint(-5, 420))) for i in range(300)] + [(999, "JONAITIS", None)]
+
+    def expected(who, d):
+        key = " ".join((who or "").replace(".", " ").split())
+        hits = []
+        for seq, first, last, nuo, iki in members:
+            letters = [w[0] for w in first.split()]
+            forms = [letters, letters[:1], letters[:-1], letters[::-1], []]
+            spelled = {" ".join([*f, last]).upper() for f in forms}
+            if d and nuo and key in spelled and nuo < d and (iki is None or iki > d):
+                hits.append((seq, first, last))
+        return min(hits)[1:] if hits else (None, None)
+
+    return members, said, expected
+
+
+@pytest.mark.parametrize("few", [0, 30, 1000])
+def test_speakers_match_brute_force(spark, monkeypatch, few):
+    monkeypatch.setattr(J, "FEW", few, raising=False)
+    members, said, expected = lookup_case(random.Random(5))
+    out = J.resolve_speaker(
+        spark.createDataFrame(said, "id int, speaker string, d date"),
+        spark.createDataFrame(members, "seq int, vardas string, pavarde string, nuo date, iki date"), "speaker", "d",
+    )
+    assert {r.id: (r.vardas, r.pavarde) for r in out.collect()} == {i: expected(who, d) for i, who, d in said}
+
+
+def unsized(spark, tmp_path):
+    """Members in a file much smaller than what their variants and days come to, and speeches."""
+    path = str(tmp_path / "members")
+    name = F.concat(F.lit("Pav"), F.col("id").cast("string"))
+    terms = spark.range(3000).select(
+        F.col("id").alias("seq"), F.lit("Jonas Petras").alias("vardas"), name.alias("pavarde"),
+        F.lit("1990-01-01").cast("date").alias("nuo"), F.lit(None).cast("date").alias("iki"),
+    )
+    terms.write.parquet(path)
+    said = spark.range(50).select("id", F.upper(F.concat(F.lit("J. Pav"), F.col("id").cast("string"))).alias("speaker"), F.lit("2000-01-01").cast("date").alias("d"))
+    return said, spark.read.parquet(path)
+
+
+def broadcast_keys(df):
+    """The keys of all broadcast joins in the plan before it runs."""
+    return re.findall(r"BroadcastHashJoin \[([^\]]*)\]", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_roles_leave_no_variants_to_a_broadcast(spark, tmp_path):
+    said, members = unsized(spark, tmp_path)
+    said = said.withColumn("is_chair", F.col("id") % 2 == 0).withColumn("chair_name", F.when(F.col("id") % 4 == 0, F.col("speaker")))
+    chairs = spark.createDataFrame([(1, "V", "L", date(1990, 1, 1), None)], "seq int, vardas string, pavarde string, start date, end date")
+    out = J.attribute_roles(said, members, chairs, "d")
+    assert not any("__variant" in keys for keys in broadcast_keys(out))
+    assert {r.id: r.pavarde for r in out.collect()} == {i: "L" if i % 4 == 2 else f"Pav{i}" for i in range(50)}
+
+
 def test_split_names(spark):
     people = spark.createDataFrame([(n,) for n in ("JONAITIS JONAS", "van DYKAS Jonas PETRAS", "Vienas", "A B C", None)], "n string")
     known = spark.createDataFrame([("Jonas",), ("PETRAS",)], "f string")
