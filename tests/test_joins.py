@@ -117,6 +117,13 @@ def test_roles_leave_no_variants_to_a_broadcast(spark, tmp_path):
     assert {r.id: r.pavarde for r in out.collect()} == {i: "L" if i % 4 == 2 else f"Pav{i}" for i in range(50)}
 
 
+def test_variants_of_names_are_not_left_to_a_broadcast(spark, tmp_path):
+    said, members = unsized(spark, tmp_path)
+    out = J.resolve_speaker(said, members, "speaker", "d")
+    assert not any("__variant" in keys for keys in broadcast_keys(out))
+    assert out.where("pavarde IS NOT NULL").count() == 50
+
+
 def test_split_names(spark):
     people = spark.createDataFrame([(n,) for n in ("JONAITIS JONAS", "van DYKAS Jonas PETRAS", "Vienas", "A B C", None)], "n string")
     known = spark.createDataFrame([("Jonas",), ("PETRAS",)], "f string")
