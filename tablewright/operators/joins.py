@@ -202,7 +202,7 @@ def _with_member(asked: DataFrame, members: DataFrame) -> DataFrame:
     known = keyed.join(terms.hint("merge"), SPEAKER).select("__who", "__terms")
     day = F.col("__date")
     valid = F.filter("__terms", lambda p: (p["nuo"] < day) & (p["iki"].isNull() | (p["iki"] > day)))
-    joined = asked.join(known, "__who", "left").withColumn("__term", F.try_element_at(valid, F.lit(1))).drop("__terms")
+    joined = asked.join(known.hint("merge"), "__who", "left").withColumn("__term", F.try_element_at(valid, F.lit(1))).drop("__terms")
     here = [F.col("__term")[c].alias(f"__p_{c}") for c in ("vardas", "pavarde")]
     if not some_many:
         return joined.select(*asked.columns, *here)

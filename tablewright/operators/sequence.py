@@ -159,7 +159,7 @@ def assemble_turns(
     opening = base.where("__time IS NOT NULL").groupBy(*doc).agg(F.min_by("__time", "pos").alias("__first"))
     opening = opening.withColumnsRenamed({d: f"__d{i}" for i, d in enumerate(doc)})
     same = reduce(and_, [F.col(d).eqNullSafe(F.col(f"__d{i}")) for i, d in enumerate(doc)])
-    timed = turns.join(opening, same, "left")
+    timed = turns.join(opening.hint("merge"), same, "left")  # as many rows as documents, which packed files do not show
     return timed.select(*doc, "rowno", F.coalesce("__t", "__first").alias("time"), "text", *carried)
 
 

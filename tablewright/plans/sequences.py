@@ -157,7 +157,7 @@ def transcript_turns(t: Tables):
         F.make_date(first + 1990, F.lit(1), F.lit(1)).alias("start"),
         F.when(F.col("r_regionkey") < 4, F.make_date(first + 1993, F.lit(1), F.lit(1))).alias("end"),
     )
-    return Q.parse_transcripts(t.dealt(docs), members, chairs, ["date"]).drop("date")
+    return Q.parse_transcripts(t.dealt(docs), t.dealt(members), chairs, ["date"]).drop("date")
 
 
 INTERVALS_SQL = """

@@ -155,3 +155,16 @@ def test_null_is_a_group_too(spark, parts):
     df = spark.createDataFrame(rows, "key string, pos int, v string")
     out = Q.carry_forward(df, ["key"], "pos", F.col("v"), "seen", parts=parts).collect()
     assert {(r.key, r.pos): r.seen for r in out} == {(None, i): "x" if i else None for i in range(6)} | {("g", i): "y" for i in range(4)}
+
+
+def test_openings_are_not_broadcast(spark):
+    """A row per document, whose number the placed file does not show; only border rows are sent to all tasks."""
+    import re
+
+    rows = spark.range(2000).select(
+        (F.col("id") % 500).alias("doc"), F.col("id").alias("pos"), (F.col("id") < 1000).alias("open"), F.when(F.col("id") >= 500, F.lit("14:05")).alias("t")
+    )
+    turns = Q.assemble_turns(rows, ["doc"], F.col("open"), F.lit("x"), time=F.col("t"))
+    joins = re.findall(r"BroadcastHashJoin \[([^\]]*)\], \[([^\]]*)\]", turns._jdf.queryExecution().executedPlan().toString())
+    assert joins and all("__next" in right for _, right in joins)
+    assert {r.time for r in turns.collect()} == {"14:05"} and turns.count() == 1000
