@@ -102,12 +102,15 @@ def stream_latest_kept(t: Tables):
     return L.retain(last, "ts", asof, F.expr("INTERVAL 6 DAYS")).select("user_id", "event_id")
 
 
-def deliveries(t: Tables, *parts):
-    """A folder that takes the given rows as one delivery after the other, as a stream of one file each."""
+def deliver(t: Tables, run, *parts):
+    """Bring the given rows to a folder, one delivery after the other; ``run`` takes up its stream after each.
+
+    A delivery is as many files as tasks write, and one batch: what came since the checkpoint.
+    """
     source = scratch_path(t.spark, "source")
     for part in parts:
-        part.coalesce(1).write.mode("append").parquet(source)
-    return S.read_stream(t.spark, source, parts[0].schema, files_per_batch=1)
+        part.write.mode("append").parquet(source)
+        run(S.read_stream(t.spark, source, part.schema))
 
 
 @query(
@@ -120,9 +123,9 @@ def deliveries(t: Tables, *parts):
 def stream_latest_state(t: Tables):
     # The odd events come first, then the even ones; half of the batches are folded in between.
     rows = t.events.select("user_id", "event_id", "event_type", "value", F.col("ts").cast("string").alias("ts"))
-    stream = deliveries(t, rows.where("event_id % 2 = 1"), rows.where("event_id % 2 = 0"))
     out, checkpoint = (scratch_path(t.spark, name) for name in ("out", "checkpoint"))
-    K.run_latest(stream, "user_id", "ts", out, checkpoint, tie="event_id")
+    run = lambda stream: K.run_latest(stream, "user_id", "ts", out, checkpoint, tie="event_id")
+    deliver(t, run, rows.where("event_id % 2 = 1"), rows.where("event_id % 2 = 0"))
     K.fold_updates(t.spark, out, "user_id")
     return K.read_current(t.spark, out, "user_id").drop("ts")
 
@@ -148,9 +151,9 @@ def stream_totals(t: Tables):
     # Three deliveries; the second comes once more, corrected, and replaces what it brought before.
     rows = t.events.select("event_id", "user_id", "event_type", "value", (F.col("event_id") % 3).alias("delivery"))
     wrong = rows.where("delivery = 1").withColumn("value", -F.col("value"))
-    stream = deliveries(t, rows.where("delivery = 0"), wrong, rows.where("delivery = 2"), rows.where("delivery = 1"))
     out, checkpoint = (scratch_path(t.spark, name) for name in ("out", "checkpoint"))
-    K.run_partials(stream, "delivery", K.partial_aggregates("user_id", totals()), out, checkpoint)
+    run = lambda stream: K.run_partials(stream, "delivery", K.partial_aggregates("user_id", totals()), out, checkpoint)
+    deliver(t, run, rows.where("delivery = 0"), wrong, rows.where("delivery = 2"), rows.where("delivery = 1"))
     states = K.read_partials(t.spark, out, "delivery")
     merged = K.merge_aggregates(states, "user_id", totals())
     return merged.withColumn("mean", F.round(F.col("mean").cast("double"), 6))
@@ -167,7 +170,7 @@ def stream_intervals(t: Tables):
     parts = [rows.where(f"delivery = {n}") for n in range(3)]
     out, checkpoint = (scratch_path(t.spark, name) for name in ("out", "checkpoint"))
     merged = lambda df, more: Q.merge_intervals(df, [*more, "l_suppkey"], "lo", "hi")
-    K.run_partials(deliveries(t, *parts, parts[1]), "delivery", merged, out, checkpoint)
+    deliver(t, lambda stream: K.run_partials(stream, "delivery", merged, out, checkpoint), *parts, parts[1])
     return Q.merge_intervals(K.read_partials(t.spark, out, "delivery"), ["l_suppkey"], "lo", "hi")
 
 
@@ -176,7 +179,10 @@ def stream_dedup_within(t: Tables):
     # What comes more than a day behind the latest event is too late.
     late = F.col("ts") < F.lit("2024-01-20 00:00:00").cast("timestamp")
     rows = t.events.select("user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
-    stream = deliveries(t, rows.where(~late), rows.where(late))
     out, checkpoint = (scratch_path(t.spark, name) for name in ("out", "checkpoint"))
-    S.stream_captures(S.dedup_within(stream, ["user_id", "event_type"], "ts", "1 day").select("user_id", "event_type"), out, checkpoint)
+
+    def run(stream):
+        S.stream_captures(S.dedup_within(stream, ["user_id", "event_type"], "ts", "1 day").select("user_id", "event_type"), out, checkpoint)
+
+    deliver(t, run, rows.where(~late), rows.where(late))
     return t.spark.read.parquet(out)

@@ -100,6 +100,28 @@ def test_quarantine_reads_the_captures_once(spark):
     assert given_scans(spark, "quarantined_captures") == []
 
 
+@pytest.mark.parametrize("whole", [5000, 7])
+def test_a_delivery_is_many_files_and_one_batch(spark, whole):
+    from tablewright.plans import streams
+    from tablewright.plans.base import Tables
+
+    seen = []
+
+    def run(stream):
+        def batch(df, number):
+            files = df.select(streams.F.input_file_name()).distinct().count()
+            seen[-1].append((number, df.count(), files))
+
+        seen.append([])
+        streams.S.run_batches(stream, batch, checkpoint)
+
+    checkpoint = streams.scratch_path(spark, "checkpoint")
+    rows = spark.range(0, whole, 1, 4)
+    streams.deliver(Tables(spark, SF), run, rows, rows.where("id < 3"), rows)
+    assert [[n[:2] for n in batches] for batches in seen] == [[(0, whole)], [(1, 3)], [(2, whole)]]
+    assert seen[0][0][2] == 4
+
+
 #: By operator: the functions one of which a query that claims it must reach.
 OPERATORS = {
     "S1": "read_log overwrite_table", "S2": "append_log", "S3": "valid_pages split_required quarantine", "S4": "read_keyed_csv",
