@@ -22,6 +22,12 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 # ---- the latest row per key -----------------------------------------------------------
 
 
+def _plain(column: pd.Series) -> list:
+    """The values as Python objects, None for missing ones."""
+    values = column.astype(object).tolist()
+    return [None if gone else value for value, gone in zip(values, column.isna(), strict=True)] if column.hasnans else values
+
+
 class _Latest(StatefulProcessor):
     """Keeps one row per key and hands a row on only if it is later than the one kept."""
 
@@ -36,10 +42,10 @@ class _Latest(StatefulProcessor):
         names = self.rest.fieldNames()
         at = [names.index(c) for c in self.by]
         place = lambda row: tuple(row[i] for i in at)
-        kept = self.kept.get() if self.kept.exists() else None
+        kept = self.kept.get()  # None where there is none
         best = tuple(kept) if kept is not None else None
         for frame in rows:
-            for row in frame[names].astype(object).where(frame[names].notna(), None).itertuples(index=False, name=None):
+            for row in zip(*[_plain(frame[c]) for c in names], strict=True):
                 if row[at[0]] is not None and (best is None or place(row) > place(best)):
                     best = row
         if best is not None and (kept is None or best != tuple(kept)):

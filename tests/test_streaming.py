@@ -118,6 +118,32 @@ def test_latest_state_over_restarts_late_and_equal_rows(spark, tmp_path):
     assert K.fold_updates(spark, out, "key") == 2 and now()["a"] == (10, "z")
 
 
+def test_a_key_costs_one_read_of_state_and_no_frame_of_objects(monkeypatch):
+    import pandas as pd
+    from pyspark.sql import types as T
+
+    class Kept:
+        value, calls = None, []
+
+        def get(self):
+            self.calls.append("get")
+            return self.value
+
+        def exists(self):
+            self.calls.append("exists")
+            return self.value is not None
+
+        def update(self, row):
+            self.value = row
+
+    latest = K._Latest(["key"], ["seq"], T.StructType().add("seq", "long").add("v", "string").add("x", "double"), None, 0)
+    latest.kept = Kept()
+    monkeypatch.setattr(pd.DataFrame, "astype", lambda *a, **k: 1 / 0)
+    frame = pd.DataFrame({"key": ["a"] * 3, "seq": [1, 3, 2], "v": ["p", None, "q"], "x": [0.5, float("nan"), 1.0]})
+    out = list(latest.handleInputRows(("a",), iter([frame]), None))
+    assert latest.kept.value == (3, None, None) and len(out) == 1 and latest.kept.calls == ["get"]
+
+
 def test_ties_are_broken_by_a_column(spark, tmp_path):
     write(spark, tmp_path / "in", [("a", 5, "x"), ("a", 5, "z"), ("a", 5, "y")])
     out = str(tmp_path / "out")
