@@ -84,7 +84,8 @@ def period_lookup(
     )
     source = periods if lookup is None else lookup
     held = source.select(F.col(order).alias("__order"), *[F.col(c).alias(f"__p_{c}") for c in payload])
-    return found.join(held, "__order").drop("__order")
+    # As many rows as periods, however few they are found for and however small their file is.
+    return found.join(held.hint("merge"), "__order").drop("__order")
 
 
 def days_only(df: DataFrame, *columns: str) -> None:
@@ -207,14 +208,15 @@ def _with_member(asked: DataFrame, members: DataFrame) -> DataFrame:
     if not some_many:
         return joined.select(*asked.columns, *here)
 
-    dates = asked.join(keyed.join(many, "__surname"), "__who").select("__who", "__date", *SPEAKER).distinct()
+    asked_many = keyed.join(many.hint("merge"), "__surname")
+    dates = asked.join(asked_many.hint("merge"), "__who").select("__who", "__date", *SPEAKER).distinct()
     found = period_lookup(
         dates.select(*SPEAKER, "__date").distinct(),
         table.join(many.hint("merge"), "__surname", "left_semi").select("*", variants),
         "nuo", "iki", "seq", ["vardas", "pavarde"], SPEAKER, members,
     )
-    found = dates.join(found, [*SPEAKER, "__date"]).drop(*SPEAKER)
-    joined = joined.select(*asked.columns, "__term").join(found, ["__who", "__date"], "left")
+    found = dates.join(found.hint("merge"), [*SPEAKER, "__date"]).drop(*SPEAKER)
+    joined = joined.select(*asked.columns, "__term").join(found.hint("merge"), ["__who", "__date"], "left")
     here = [F.coalesce(F.col("__term")[c], F.col(f"__p_{c}")).alias(f"__p_{c}") for c in ("vardas", "pavarde")]
     return joined.select(*asked.columns, *here)
 

@@ -132,6 +132,15 @@ def test_terms_are_not_broadcast_to_speeches_in_packed_files(spark, tmp_path):
     assert out.where("pavarde IS NOT NULL").count() == 50
 
 
+def test_surnames_of_many_terms_are_not_left_to_a_broadcast(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(J, "FEW", 0)
+    said, members = unsized(spark, tmp_path)
+    said.write.parquet(str(tmp_path / "said"))
+    out = J.resolve_speaker(spark.read.parquet(str(tmp_path / "said")), members, "speaker", "d")
+    assert broadcast_keys(out) == []
+    assert {r.id: r.pavarde for r in out.collect()} == {i: f"Pav{i}" for i in range(50)}
+
+
 def test_split_names(spark):
     people = spark.createDataFrame([(n,) for n in ("JONAITIS JONAS", "van DYKAS Jonas PETRAS", "Vienas", "A B C", None)], "n string")
     known = spark.createDataFrame([("Jonas",), ("PETRAS",)], "f string")
